@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 # Largest set of repeated-row keys (8 bytes each) that may be broadcast.
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 4_000_000
 
 
 def split_by_repetition(df: DataFrame, cols: list[str] | None = None) -> tuple[DataFrame | None, DataFrame]:

@@ -65,13 +65,19 @@ def binary_metrics(scored: DataFrame, digits: int = 6) -> DataFrame:
 def score_table(
     scored: DataFrame, by: list[str] | None = None, limit: int = ROW_LIMIT, range_col: str | None = None
 ) -> DataFrame:
-    """One row per distinct score, descending: ``[by,] prob, p, f, cum_p, cum_f``.
+    """One row per distinct score: ``[by,] prob, p, f, hit_p, hit_f, cum_p, cum_f``.
+
+    ``p`` and ``f`` count the positive and negative rows, ``hit_`` those predicted positive, ``cum_``
+    runs from the highest score.
 
     Rows are counted per score before anything is ordered, so tied scores cost one row.
     """
     by = by or []
     per_score = scored.groupBy(*by, "prob").agg(
-        F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("f")
+        F.count_if(F.col("label") == 1).alias("p"),
+        F.count_if(F.col("label") == 0).alias("f"),
+        F.count_if((F.col("label") == 1) & (F.col("prediction") == 1)).alias("hit_p"),
+        F.count_if((F.col("label") == 0) & (F.col("prediction") == 1)).alias("hit_f"),
     )
     return running_totals(per_score, "prob", ["p", "f"], by=by, descending=True, limit=limit, range_col=range_col)
 
@@ -100,10 +106,9 @@ def average_precision(scored: DataFrame, digits: int = 6, limit: int = ROW_LIMIT
     )
 
 
-def _totals(scored: DataFrame) -> tuple[Column, Column]:
-    both = scored.agg(
-        F.struct(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("f"))
-    ).scalar()
+def _totals(table: DataFrame) -> tuple[Column, Column]:
+    """All positives and negatives, from ``score_table`` rows."""
+    both = table.agg(F.struct(F.sum("p").alias("p"), F.sum("f").alias("f"))).scalar()
     return both["p"], both["f"]
 
 
@@ -112,7 +117,7 @@ def roc_curve(
 ) -> DataFrame:
     """``threshold, fpr, tpr`` per distinct score, plus the origin (threshold null)."""
     table = score_table(scored, limit=limit, range_col="_range")
-    all_p, all_f = _totals(scored)
+    all_p, all_f = _totals(table)
     if drop_collinear:
         # A point inside a straight run goes: the step after it equals the step into it. The first
         # and last point of every key range stay.
@@ -133,8 +138,9 @@ def roc_curve(
 
 def pr_curve(scored: DataFrame, digits: int = 9, limit: int = ROW_LIMIT) -> DataFrame:
     """``threshold, precision, recall`` per distinct score, plus the end point (1, 0)."""
-    all_p, _ = _totals(scored)
-    points = score_table(scored, limit=limit).select(
+    table = score_table(scored, limit=limit)
+    all_p, _ = _totals(table)
+    points = table.select(
         F.col("prob").alias("threshold"),
         half_up(ratio(F.col("cum_p"), F.col("cum_p") + F.col("cum_f")), digits).alias("precision"),
         half_up(ratio(F.col("cum_p"), all_p), digits).alias("recall"),
@@ -177,15 +183,19 @@ def classification_report(scored: DataFrame, names: tuple[str, str] = (CLASS_LAB
 def model_metrics(scored: DataFrame, digits: int | None = None, limit: int = ROW_LIMIT) -> DataFrame:
     """``name, position, roc_auc, recall, precision, f1`` per model of a long scored table."""
     by = ["model", "position"]
+    table = score_table(scored, by, limit).groupBy(*by).agg(
+        *_areas(),
+        F.sum("hit_p").alias("tp"),
+        F.sum("hit_f").alias("fp"),
+        F.sum(F.col("p") - F.col("hit_p")).alias("fn"),
+    )
     precision, recall, f1 = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
-    hard = scored.groupBy(*by).agg(*_counts()).select(
-        *by, precision.alias("precision"), recall.alias("recall"), f1.alias("f1")
+    metrics = {"roc_auc": F.col("roc_auc"), "recall": recall, "precision": precision, "f1": f1}
+    return table.select(
+        F.col("model").alias("name"),
+        "position",
+        *[(c if digits is None else half_up(c, digits)).alias(n) for n, c in metrics.items()],
     )
-    areas = score_table(scored, by, limit).groupBy(*by).agg(*_areas())
-    # One row per model on either side.
-    joined = hard.join(F.broadcast(areas), by)
-    metrics = [F.col(c) if digits is None else half_up(F.col(c), digits).alias(c) for c in ("roc_auc", "recall", "precision", "f1")]
-    return joined.select(F.col("model").alias("name"), "position", *metrics)
 
 
 def model_comparison(scored: DataFrame, base: str | None = None, digits: int = 6) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up, percent
-from ..plans.quantiles import group_lookup, quantile_table
+from ..plans.quantiles import group_lookup, group_map, quantile_table
 from .features import feat_clip, feat_log_amount, with_hour
 
 CORRELATION_COLUMNS = [*[f"v{i}" for i in range(1, 15)], "amount", "class"]
@@ -51,7 +51,8 @@ def histogram(
         table = feat_clip(table, "_x", *clip)
     half = F.when(F.max("_x") == F.min("_x"), 0.5).otherwise(0.0)
     bounds = table.groupBy(by).agg((F.min("_x") - half).alias("lo"), (F.max("_x") + half).alias("hi"))
-    edge = group_lookup(bounds, by, F.struct("lo", "hi"))
+    edges = group_map(bounds, by, F.struct("lo", "hi"))
+    edge = F.try_element_at(edges, F.col(by))
     lo, hi = F.col("_e.lo"), F.col("_e.hi")
     slot = F.least(F.floor((F.col("_x") - lo) * bins / (hi - lo)), F.lit(bins - 1).cast("bigint"))
     counted = (
@@ -59,7 +60,8 @@ def histogram(
         .groupBy(by, slot.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    empty = bounds.select(by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).alias("n"))
+    groups = df.sparkSession.range(1).select(F.explode(F.map_keys(edges)).alias(by))
+    empty = groups.select(by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).alias("n"))
     full = counted.unionByName(empty).groupBy(by, "bin").agg(F.sum("n").alias("n"))
     width = (hi - lo) / bins
     return full.withColumn("_e", edge).select(
@@ -116,7 +118,7 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]], digits: int = 6) -
         todo = [p for p in pairs if p not in done]
     rows = None
     if todo:
-        cells = [f"struct('{a}' AS column_a, '{b}' AS column_b, corr(`{a}`, `{b}`) AS r)" for a, b in todo]
+        cells = [f"struct('{a}' AS column_a, '{b}' AS column_b, {_pearson(a, b)} AS r)" for a, b in todo]
         rows = df.agg(F.expr(f"array({', '.join(cells)})").alias("cells")).select(F.inline("cells"))
     if done:
         known = df.sparkSession.createDataFrame(
@@ -126,6 +128,13 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]], digits: int = 6) -
     return rows.select("column_a", "column_b", half_up(F.when(~F.isnan("r"), F.col("r")), digits).alias("r"))
 
 
+def _pearson(a: str, b: str) -> str:
+    # The built-in corr fails on a constant column under ANSI rules.
+    both = f"`{a}` IS NOT NULL AND `{b}` IS NOT NULL"
+    spread = " * ".join(f"stddev_pop(`{c}`) FILTER (WHERE {both})" for c in (a, b))
+    return f"try_divide(covar_pop(`{a}`, `{b}`), {spread})"
+
+
 def _matrix(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float]:
     vectors = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="keep").transform(df.select(cols))
     values = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()

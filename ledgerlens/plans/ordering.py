@@ -86,18 +86,18 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<name>`` for each of ``sums``, in the order of the double column ``key``.
 
-    ``counts`` has one row per (by, key). Up to ``limit`` rows one window per group is enough;
-    beyond that rows go to key ranges, and the totals of earlier ranges are added. ``range_col``
-    keeps the range number (0 when there is one range).
+    ``counts`` has one row per (by, key); it is written once, so its input is scanned once. Up to
+    ``limit`` rows one window per group is enough; beyond that rows go to key ranges, and the totals
+    of earlier ranges are added. ``range_col`` keeps the range number (0 when there is one range).
     """
     by = by or []
     direction = F.desc if descending else F.asc
+    counts = materialize(counts, "totals")
     total = counts.count()
     if total <= limit:
         frame = Window.partitionBy(*by).orderBy(direction(key)).rowsBetween(Window.unboundedPreceding, 0)
         summed = counts.withColumns({f"cum_{s}": F.sum(s).over(frame) for s in sums})
         return summed.withColumn(range_col, F.lit(0.0)) if range_col else summed
-    counts = materialize(counts, "totals")
     buckets = min(MAX_BUCKETS, math.ceil(total / limit) + 1)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = counts.agg(F.percentile_approx(key, probs, max(10_000, 2 * buckets))).first()[0]

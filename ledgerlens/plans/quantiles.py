@@ -122,14 +122,12 @@ def quantile_table(
     if approx:
         sketch = F.percentile_approx("x", [float(q) for q in qs], 10000)
         return values.groupBy("g").agg(sketch.alias("quantiles")).select(*names, "quantiles")
-    sizes = values.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    ranges = sizes.collect()  # one row per group
+    ranges = values.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    ).collect()  # one row per group
     if all(r.n <= limit for r in ranges):
         exact = values.groupBy("g").agg(F.percentile("x", probs).alias("quantiles"))
         return exact.select(*names, "quantiles")
-    ranges = values.groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
-    ).collect()
     ranks: dict = {}
     for r in ranges:
         wanted: set[int] = set()
@@ -158,10 +156,11 @@ def quantile(df: DataFrame, col: str, q: float, approx: bool = False, **options)
     return None if row is None else row["quantiles"][0]
 
 
-def group_lookup(table: DataFrame, by: str, value: Column, key: Column | None = None) -> Column:
-    """Look up a per-group value without a join.
+def group_map(table: DataFrame, by: str, value: Column) -> Column:
+    """``table`` (one row per group of a label column) as a one-row subquery: a map by group."""
+    return table.agg(F.map_from_entries(F.collect_list(F.struct(F.col(by), value)))).scalar()
 
-    ``table`` has one row per group of a label column; it becomes a one-row map subquery.
-    """
-    pairs = F.collect_list(F.struct(F.col(by), value))
-    return F.try_element_at(table.agg(F.map_from_entries(pairs)).scalar(), F.col(by) if key is None else key)
+
+def group_lookup(table: DataFrame, by: str, value: Column) -> Column:
+    """The value of each row's group, without a join."""
+    return F.try_element_at(group_map(table, by, value), F.col(by))
