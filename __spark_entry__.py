@@ -174,6 +174,15 @@ def _quality(scored: DataFrame, name: str, floor: float = 0.85) -> DataFrame:
     return counted.select(F.lit(name).alias("name"), "*").withColumn("auc_above_floor", good)
 
 
+def _compared(scored: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Scored rows and invariants per model."""
+    counted = scored.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_test"), F.sum("label").cast("bigint").alias("test_fraud")
+    )
+    good = metrics.select("name", "position", (F.col("roc_auc") > 0.85).alias("auc_above_floor"))
+    return good.join(F.broadcast(counted), F.col("name") == F.col("model")).drop("model")
+
+
 def _trained(trainer, name: str, **params) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         train, test = _train_test(spark, sf)
@@ -207,37 +216,34 @@ def score(spark: SparkSession, sf: str) -> DataFrame:
 def train_all(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _train_test(spark, sf)
     _, scored = models.train_all(train, test, settings=BASELINES)
-    return models.baseline_metrics(scored).select(
-        "name", "position", (F.col("roc_auc") > 0.85).alias("auc_above_floor")
-    )
+    return _compared(scored, models.baseline_metrics(scored))
 
 
 def grid_search_forest(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _train_test(spark, sf)
     search = models.grid_search_forest(train, grid=SMALL_GRID, folds=SMALL_FOLDS)
-    table = models.grid_table(spark, search)
-    return table.select("combination", "params", F.col("mean_recall").between(0.5, 1.0).alias("recall_in_range"))
+    table = models.grid_table(spark, search).withColumn("n_train", F.lit(train.count()).cast("bigint"))
+    good = F.col("mean_recall").between(0.5, 1.0).alias("recall_in_range")
+    return table.select("combination", "params", "n_train", good)
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    model = models.train_forest(_featured(spark, sf), **FOREST_SETTINGS)
-    table = models.feature_importance(spark, model, n=None)
+    rows = _featured(spark, sf)
+    model = models.train_forest(rows, **FOREST_SETTINGS)
+    ranked = models.feature_importance(spark, model, n=None)
+    table = ranked.withColumn("n_rows", F.lit(rows.count()).cast("bigint"))
     return table.agg(
+        F.max("n_rows").alias("n_rows"),
         F.count(F.lit(1)).alias("n_features"),
         half_up(F.sum("importance"), 6).alias("total_importance"),
         (F.max(F.when(F.col("feature") == "v17", F.col("importance"))) > 0.01).alias("signal_found"),
     )
 
 
-def _run_training(spark: SparkSession, sf: str) -> tuple[pipelines.TrainingResult, str, str]:
+def ml_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     splits, model = _stored_splits(spark, sf), scratch_path(spark, "best")
     result = pipelines.ml_pipeline(spark, splits, model, settings=BASELINES, grid=SMALL_GRID, folds=SMALL_FOLDS)
-    return result, splits, model
-
-
-def ml_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    result, _, _ = _run_training(spark, sf)
-    return result.metrics.select("name", "position", (F.col("roc_auc") > 0.85).alias("auc_above_floor"))
+    return _compared(result.scored, result.metrics)
 
 
 def evaluation_run(spark: SparkSession, sf: str) -> DataFrame:

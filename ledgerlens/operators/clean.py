@@ -11,35 +11,45 @@ from ..session import materialize
 BROADCAST_KEYS = 4_000_000
 
 
-def split_by_repetition(df: DataFrame, cols: list[str] | None = None) -> tuple[DataFrame | None, DataFrame]:
+def row_hash(cols: list[str]) -> Column:
+    """8-byte hash of a row; different rows may share it."""
+    return F.xxhash64(*cols)
+
+
+def split_by_repetition(
+    df: DataFrame, cols: list[str] | None = None, hash_col: str | None = None
+) -> tuple[DataFrame | None, DataFrame]:
     """Split into (rows that certainly occur once, rows that may repeat).
 
     Only an 8-byte row hash is shuffled to find the hashes seen more than once. While those fit a
     checked broadcast, the wide rows outside them never move. With too many of them the first part
-    is None and the second is the whole table.
+    is None and the second is the whole table. ``hash_col`` names a column that already holds the hash.
     """
-    row_hash = F.xxhash64(*(cols or df.columns))
-    keys = df.select(row_hash.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    wanted = F.col(hash_col) if hash_col else row_hash(cols or df.columns)
+    keys = df.select(wanted.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
     repeated = materialize(keys.where("_n > 1").select("_h"), "repeated")
     if repeated.count() > BROADCAST_KEYS:
-        return None, df
-    hashed = df.withColumn("_h", row_hash)
+        return None, df.drop("_h")
+    hashed = df if hash_col == "_h" else df.withColumn("_h", wanted)
     small = F.broadcast(repeated)
     return hashed.join(small, "_h", "left_anti").drop("_h"), hashed.join(small, "_h", "left_semi").drop("_h")
 
 
-def dedup_rows(df: DataFrame, id_col: str | None = None) -> DataFrame:
+def dedup_rows(df: DataFrame, id_col: str | None = None, hash_col: str | None = None) -> DataFrame:
     """Drop rows equal in all columns (nulls compare equal), keeping one.
 
-    With ``id_col`` the other columns are compared and the smallest id is kept.
+    With ``id_col`` the other columns are compared and the smallest id is kept. ``hash_col`` names a
+    column with ``row_hash`` of the compared columns; it is not part of the result.
     """
-    cols = [c for c in df.columns if c != id_col]
-    single, repeated = split_by_repetition(df, cols)
+    out = [c for c in df.columns if c != hash_col]
+    cols = [c for c in out if c != id_col]
+    single, repeated = split_by_repetition(df, cols, hash_col)
+    repeated = repeated.select(out)
     if id_col is None:
         kept = repeated.dropDuplicates()
     else:
-        kept = repeated.groupBy(*cols).agg(F.min(id_col).alias(id_col)).select(df.columns)
-    return kept if single is None else single.select(df.columns).unionByName(kept)
+        kept = repeated.groupBy(*cols).agg(F.min(id_col).alias(id_col)).select(out)
+    return kept if single is None else single.select(out).unionByName(materialize(kept, "kept"))
 
 
 def removed_rows(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from contextlib import contextmanager
+
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -38,9 +40,18 @@ def assemble(df: DataFrame, features: list[str] = FEATURES, out: str = "features
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="error").transform(df)
 
 
-def _pipeline(classifier: Estimator, features: list[str]) -> Pipeline:
-    stage = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[stage, classifier])
+def _assembler(features: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+
+
+@contextmanager
+def _ready(train: DataFrame, features: list[str], *keep: str):
+    """The assembled training rows, kept while a model passes over them again and again."""
+    rows = _assembler(features).transform(train).select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
 
 
 def logreg(n_train: int, max_iter: int = 1000, scale: bool = False, label: str = "class") -> LogisticRegression:
@@ -66,24 +77,34 @@ def boosted(rounds: int = 100, depth: int = 6, step: float = 0.3, seed: int = 42
     return GBTClassifier(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, **params)
 
 
-def fit(train: DataFrame, classifier: Estimator, features: list[str] = FEATURES, label: str = "class") -> PipelineModel:
-    return _pipeline(classifier, features).fit(train.select(*features, label))
+def _fit(rows: DataFrame, name: str, features: list[str], label: str, params: dict) -> PipelineModel:
+    if name == LOGREG:
+        classifier = logreg(rows.count(), label=label, **params)
+    else:
+        classifier = {TREE: tree, FOREST: forest, BOOSTED: boosted}[name](label=label, **params)
+    return PipelineModel(stages=[_assembler(features), classifier.fit(rows)])
+
 
+def train(df: DataFrame, name: str, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
+    """Fit one baseline by name; the model carries its assembler."""
+    with _ready(df, features, label) as rows:
+        return _fit(rows, name, features, label, params)
 
-def train_logreg(train: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
-    return fit(train, logreg(train.count(), label=label, **params), features, label)
 
+def train_logreg(df: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
+    return train(df, LOGREG, features, label, **params)
 
-def train_tree(train: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
-    return fit(train, tree(label=label, **params), features, label)
 
+def train_tree(df: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
+    return train(df, TREE, features, label, **params)
 
-def train_forest(train: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
-    return fit(train, forest(label=label, **params), features, label)
 
+def train_forest(df: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
+    return train(df, FOREST, features, label, **params)
 
-def train_gbt(train: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
-    return fit(train, boosted(label=label, **params), features, label)
+
+def train_gbt(df: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
+    return train(df, BOOSTED, features, label, **params)
 
 
 def score(model: Model, df: DataFrame, label: str = "class") -> DataFrame:
@@ -97,7 +118,7 @@ def score(model: Model, df: DataFrame, label: str = "class") -> DataFrame:
 
 
 def train_all(
-    train: DataFrame,
+    df: DataFrame,
     test: DataFrame,
     features: list[str] = FEATURES,
     label: str = "class",
@@ -105,14 +126,11 @@ def train_all(
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit the four baselines; returns the models and the long scored table of the test rows."""
     settings = settings or {}
-    cached = train.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        trainers = {LOGREG: train_logreg, TREE: train_tree, FOREST: train_forest, BOOSTED: train_gbt}
+    with _ready(df, features, label) as rows:
         models = {
-            name: trainer(cached, features, label, **settings.get(name, {})) for name, trainer in trainers.items()
+            name: _fit(rows, name, features, label, settings.get(name, {}))
+            for name in (LOGREG, TREE, FOREST, BOOSTED)
         }
-    finally:
-        cached.unpersist()
     return models, score_all(models, test, label)
 
 
@@ -125,7 +143,7 @@ def baseline_metrics(scored: DataFrame, digits: int | None = None) -> DataFrame:
 
 
 def grid_search_forest(
-    train: DataFrame,
+    df: DataFrame,
     features: list[str] = FEATURES,
     label: str = "class",
     grid: dict[str, list] = FULL_GRID,
@@ -140,8 +158,7 @@ def grid_search_forest(
 
     The minimum rows to split a node has no Spark parameter, so the grid has no such axis.
     """
-    folded = stratified_kfold(train, label, folds, seed, keys)
-    stage = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+    folded = stratified_kfold(df, label, folds, seed, keys)
     classifier = forest(seed=seed, label=label, **params)
     builder = ParamGridBuilder()
     for name, values in grid.items():
@@ -155,17 +172,13 @@ def grid_search_forest(
         parallelism=parallelism,
         seed=seed,
     )
-    ready = stage.transform(folded).select("features", label, "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return search.fit(ready)
-    finally:
-        ready.unpersist()
+    with _ready(folded, features, label, "fold") as rows:
+        return search.fit(rows)
 
 
 def best_pipeline(search: CrossValidatorModel, features: list[str] = FEATURES) -> PipelineModel:
     """The refitted best model behind the same assembler as the baselines."""
-    stage = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    return PipelineModel(stages=[stage, search.bestModel])
+    return PipelineModel(stages=[_assembler(features), search.bestModel])
 
 
 def grid_table(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:

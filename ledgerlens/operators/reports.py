@@ -150,8 +150,8 @@ def q08_threshold_coverage_join(df: DataFrame, thresholds: Sequence[int] = THRES
     Fraud rows are first counted per band (the largest threshold they reach), so the inequality join
     only meets one row per threshold on either side.
     """
-    spark = df.sparkSession
-    table = spark.createDataFrame([(int(t),) for t in thresholds], "amount_threshold int")
+    levels = F.array(*[F.lit(int(t)) for t in thresholds])
+    table = df.sparkSession.range(1).select(F.explode(levels).alias("amount_threshold"))
     reached = [F.when(F.col("amount") >= t, t) for t in thresholds]
     band = F.greatest(*reached) if len(reached) > 1 else reached[0]
     bands = df.where("class = 1").groupBy(band.alias("band")).agg(_rows().alias("n"))

@@ -10,6 +10,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..operators import clean, dashboard, evaluate, features, models, profile
 from ..operators.sampling import resampled_splits
+from ..session import materialize
 from ..sources import files
 from ..sources.schema import CLEANED_SCHEMA, FEATURES
 
@@ -23,17 +24,22 @@ def inspect(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def clean_table(df: DataFrame) -> DataFrame:
+def clean_table(df: DataFrame, hash_col: str | None = None) -> DataFrame:
     """Drop duplicates, scale the amount, drop the raw amount, label last."""
-    unique = clean.dedup_rows(df)
+    unique = clean.dedup_rows(df, hash_col=hash_col)
     scaled = clean.standard_scale(unique, stats=clean.fit_scaler(unique))
     return clean.reorder_label_last(clean.drop_columns(scaled, "amount"))
 
 
 def clean_pipeline(spark: SparkSession, raw_path: str, out_path: str) -> DataFrame:
-    """Raw CSV to cleaned CSV; returns the cleaned table as read back from ``out_path``."""
+    """Raw CSV to cleaned CSV; returns the cleaned table as read back from ``out_path``.
+
+    The text is parsed once, into a columnar copy with the row hash: finding repeats reads only the
+    hash, fitting the scaler the hash and the amount.
+    """
     raw = files.raw_to_transactions(files.load_raw(spark, raw_path))
-    files.save(clean_table(raw), out_path)
+    staged = materialize(raw.withColumn("_h", clean.row_hash(raw.columns)), "staged")
+    files.save(clean_table(staged, hash_col="_h"), out_path)
     return files.load_raw(spark, out_path, CLEANED_SCHEMA)
 
 

@@ -208,6 +208,12 @@ def trained(name: str) -> str:
         true as auc_above_floor from ts"""
 
 
+def compared(names: list[str]) -> str:
+    rows = values("name, position, auc_above_floor", [(n, i + 1, True) for i, n in enumerate(names)])
+    return f"""{TESTED}, mo as ({rows}) select name, position, auc_above_floor, n as n_test, frauds as test_fraud
+        from mo, ts"""
+
+
 def values(columns: str, rows: list[tuple]) -> str:
     def cell(v) -> str:
         return f"'{v}'" if isinstance(v, str) else str(v).lower()
@@ -246,6 +252,10 @@ def all_queries() -> dict[str, str]:
         ["id", *V, f"{r('amount_scaled', 6)} as amount_scaled", "class", "hour_of_day", "high_risk_hour",
          f"{r('amount_zscore', 6)} as amount_zscore", "high_value_flag", "v1_v3_interact", "v4_v11_interact"]
     )
+    grid = values(
+        "combination, params, recall_in_range",
+        [(i, f"maxDepth={d}, numTrees={t}", True) for i, (t, d) in enumerate([(5, 5), (5, 8), (10, 5), (10, 8)])],
+    )
     baselines = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting"]
     return {
         # sources and sinks
@@ -380,16 +390,12 @@ def all_queries() -> dict[str, str]:
         "train_forest": trained(baselines[2]),
         "train_gbt": trained(baselines[3]),
         "score": f"{BASE} select count(*) as n_rows, count(*) as valid_prob, count(*) as consistent_rows from f",
-        "train_all": values("name, position, auc_above_floor", [(n, i + 1, True) for i, n in enumerate(baselines)]),
-        "grid_search_forest": values(
-            "combination, params, recall_in_range",
-            [(i, f"maxDepth={d}, numTrees={t}", True) for i, (t, d) in enumerate([(5, 5), (5, 8), (10, 5), (10, 8)])],
-        ),
-        "feature_importance": "select cast(35 as bigint) as n_features, 1.0::double as total_importance, true as signal_found",
-        "ml_pipeline": values(
-            "name, position, auc_above_floor",
-            [(n, i + 1, True) for i, n in enumerate([*baselines, "Random Forest (Tuned)"])],
-        ),
+        "train_all": compared(baselines),
+        "grid_search_forest": f"""{SPLIT}, tr as (select 2 * count(*) as n_train from sp where split = 'train' and class = 0),
+            gr as ({grid}) select combination, params, n_train, recall_in_range from gr, tr""",
+        "feature_importance": f"""{BASE} select count(*) as n_rows, cast(35 as bigint) as n_features,
+            1.0::double as total_importance, true as signal_found from f""",
+        "ml_pipeline": compared([*baselines, "Random Forest (Tuned)"]),
         # evaluation
         "confusion_matrix": f"""{CM} select 'TN' as cell, 0 as actual, 0 as predicted, tn as n from cm
             union all select 'FP', 0, 1, fp from cm union all select 'FN', 1, 0, fn from cm
