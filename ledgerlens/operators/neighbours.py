@@ -172,34 +172,54 @@ def nearest_neighbours(
     total = points.count()
     if total <= k:
         raise ValueError(f"{k} neighbours need at least {k + 1} rows, got {total}")
-    # Of identical rows only the k+1 smallest ids can be anyone's neighbour.
+    # Of identical rows only the k+1 smallest ids can be anyone's neighbour, and only these need a search.
     copies = Window.partitionBy("x").orderBy("id")
-    members = points.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
-    pivot_count = min(max_pivots, math.ceil(total / cell_rows))
+    numbered = points.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
+    members = materialize(numbered, "members")
+    held = members.count()
+    result = _ranked(_search_members(members, held, k, cell_rows, max_pivots, query_chunk, member_chunk, seed))
+    return result if held == total else result.unionByName(_copies(points, members, k))
+
+
+def _copies(points: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """Rows beyond the k+1 smallest ids of identical rows: their neighbours are the first k of those."""
+    first = members.where(F.col("copy") <= k).groupBy("x").agg(
+        F.sort_array(F.collect_list("id")).alias("near")  # k ids
+    )
+    rest = points.join(members.select("id"), "id", "left_anti")
+    # The hot side of this join is split at run time; the other side has one row per key.
+    listed = rest.join(first, "x").select("id", F.posexplode("near").alias("pos", "neighbour_id"))
+    return listed.select("id", (F.col("pos") + 1).alias("rank"), "neighbour_id", F.lit(0.0).alias("distance"))
+
+
+def _search_members(
+    members: DataFrame,
+    held: int,
+    k: int,
+    cell_rows: int,
+    max_pivots: int,
+    query_chunk: int,
+    member_chunk: int,
+    seed: int,
+) -> DataFrame:
+    pivot_count = min(max_pivots, math.ceil(held / cell_rows))
     if pivot_count == 1:
-        one = {0: (total, total)}
-        single = F.lit(0).alias("cell")
-        pairs = _search(
-            points.select("id", "x", single), members.select("id", "x", single), one, k, query_chunk, member_chunk
-        )
-        return _ranked(_best(pairs, k))
+        rows = members.select("id", "x", F.lit(0).alias("cell"))
+        return _best(_search(rows, rows, {0: (held, held)}, k, query_chunk, member_chunk), k)
 
     distinct = members.where("copy = 1")
     chosen = distinct.orderBy(hash32(f"{seed}:pivot", F.col("id")), "id").limit(pivot_count).select("x").collect()
     pivots = np.array([row.x for row in chosen])
     home = F.pandas_udf(_home_kernel(pivots), "cell int, gap double")
-    placed = points.withColumn("_home", home("x")).select("id", "x", "_home.cell", "_home.gap")
+    placed = members.withColumn("_home", home("x")).select("id", "x", "_home.cell", "_home.gap")
     placed = materialize(placed, "cells")
-    members = materialize(
-        placed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).drop("copy"), "members"
-    )
     radius = np.full(len(pivots), -1.0)
-    held = {}
-    for row in members.groupBy("cell").agg(F.max("gap").alias("r"), F.count(F.lit(1)).alias("n")).collect():
-        radius[row.cell], held[row.cell] = row.r, row.n
-    asked = {row.cell: row.n for row in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = {c: (asked[c], held[c]) for c in asked}
-    near = materialize(_best(_search(placed, members, sizes, k, query_chunk, member_chunk), k), "near")
+    inside = {}
+    # One row per pivot cell.
+    for row in placed.groupBy("cell").agg(F.max("gap").alias("r"), F.count(F.lit(1)).alias("n")).collect():
+        radius[row.cell], inside[row.cell] = row.r, row.n
+    at_home = {c: (n, n) for c, n in inside.items()}
+    near = materialize(_best(_search(placed, placed, at_home, k, query_chunk, member_chunk), k), "near")
 
     reach = near.groupBy("id").agg(
         F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("d2"))).otherwise(F.lit(math.inf)).alias("reach")
@@ -209,11 +229,12 @@ def nearest_neighbours(
     bounded = placed.join(reach, "id", "left").fillna({"reach": math.inf})
     visits = bounded.withColumn("visit", open_cells("x", "cell", "reach")).where(F.size("visit") > 0)
     visits = materialize(visits.select("id", "x", "visit"), "visits").select("id", "x", F.explode("visit").alias("cell"))
-    visited = {r.cell: (r.n, held.get(r.cell, 0)) for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not visited:
-        return _ranked(near)
-    more = _search(visits, members, visited, k, query_chunk, member_chunk)
-    return _ranked(_best(near.select("id", "neighbour_id", "d2").unionByName(more), k))
+    asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not asked:
+        return near
+    visited = {r.cell: (r.n, inside[r.cell]) for r in asked}
+    more = _search(visits, placed, visited, k, query_chunk, member_chunk)
+    return _best(near.select("id", "neighbour_id", "d2").unionByName(more), k)
 
 
 def _ranked(best: DataFrame) -> DataFrame:
