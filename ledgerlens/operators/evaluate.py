@@ -206,7 +206,8 @@ def model_comparison(scored: DataFrame, base: str | None = None, digits: int = 6
         base_recall = F.max(F.when(F.col("name") == base, F.col("recall"))).over(Window.partitionBy())
         gain = F.try_divide(F.col("recall") - base_recall, base_recall) * 100
     rounded = [half_up(F.col(c), digits).alias(c) for c in ("roc_auc", "recall", "precision", "f1")]
-    return metrics.select("name", "position", *rounded, half_up(gain, digits).alias("recall_gain_pct"))
+    table = metrics.select("name", "position", *rounded, half_up(gain, digits).alias("recall_gain_pct"))
+    return table.orderBy("position")
 
 
 def flag_best(metrics: DataFrame) -> DataFrame:

@@ -9,11 +9,6 @@ import pytest
 import __spark_entry__ as registered
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
-# These fit models; they are compared at the smallest scale only.
-TRAINING = {
-    "train_logreg", "train_tree", "train_forest", "train_gbt", "train_all", "grid_search_forest",
-    "feature_importance", "ml_pipeline", "evaluation_run", "model_store", "score",
-}
 KEYS = list(registered.queries())
 
 
@@ -41,16 +36,11 @@ def test_every_query_has_an_oracle():
     assert set(KEYS) == set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("key", [k for k in KEYS if k not in TRAINING])
+@pytest.mark.parametrize("key", KEYS)
 def test_query_matches_sql(spark, sf_check, key):
     _compare(spark, sf_check, key)
 
 
-@pytest.mark.parametrize("key", [k for k in KEYS if k in TRAINING and k != "train_forest"])
-def test_training_query_matches_sql(spark, sf_small, key):
-    _compare(spark, sf_small, key)
-
-
 def test_entry(spark):
     result = registered.entry(spark)
     assert result.columns == ["hour_of_day", "total_transactions", "fraud_count", "fraud_rate_pct"]
