@@ -148,7 +148,13 @@ def _section_sizes(sections: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-# ---------------------------------------------------------------- features
+# ---------------------------------------------------------------- cleaning and features
+def clean_run(spark: SparkSession, sf: str) -> DataFrame:
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "cleaned")
+    files.save(files.transactions_to_raw(_dirty(spark, sf)), raw)
+    return _rounded(pipelines.clean_pipeline(spark, raw, out), "amount_scaled")
+
+
 def _feature_columns(df: DataFrame) -> DataFrame:
     return _rounded(df, "amount_scaled", "amount_zscore").select(FEATURED_COLUMNS)
 
@@ -240,7 +246,7 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def ml_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def ml_run(spark: SparkSession, sf: str) -> DataFrame:
     splits, model = _stored_splits(spark, sf), scratch_path(spark, "best")
     result = pipelines.ml_pipeline(spark, splits, model, settings=BASELINES, grid=SMALL_GRID, folds=SMALL_FOLDS)
     return _compared(result.scored, result.metrics)
@@ -295,7 +301,7 @@ def queries() -> dict[str, Query]:
         "reorder_label_last": lambda s, d: clean.reorder_label_last(
             _narrow(s, d).select("class", "id", "time_seconds", "amount")
         ),
-        "clean_pipeline": _clean_pipeline,
+        "clean_run": clean_run,
         "filter_class": on(_full, clean.filter_class, value=1),
         "feat_hour_of_day": lambda s, d: features.feat_hour_of_day(_narrow(s, d)).select("id", "hour_of_day"),
         "feat_high_risk_hour": lambda s, d: features.feat_high_risk_hour(
@@ -313,7 +319,7 @@ def queries() -> dict[str, Query]:
             features.feat_log_amount(_narrow(s, d)).select("id", "log_amount"), "log_amount"
         ),
         "feat_clip": feat_clip,
-        "feature_pipeline": lambda s, d: _feature_columns(_featured(s, d)),
+        "feature_run": lambda s, d: _feature_columns(_featured(s, d)),
         "q01_class_distribution": on(_narrow, reports.q01_class_distribution),
         "q02_top_fraud": on(_narrow, reports.q02_top_fraud),
         "q03_amount_by_class": on(_narrow, reports.q03_amount_by_class),
@@ -360,7 +366,7 @@ def queries() -> dict[str, Query]:
         "train_all": train_all,
         "grid_search_forest": grid_search_forest,
         "feature_importance": feature_importance,
-        "ml_pipeline": ml_pipeline,
+        "ml_run": ml_run,
         "confusion_matrix": on(_scored, evaluate.confusion_matrix),
         "binary_metrics": on(_scored, evaluate.binary_metrics),
         "roc_auc": on(_scored, evaluate.roc_auc),
@@ -380,11 +386,5 @@ def queries() -> dict[str, Query]:
     }
 
 
-def _clean_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "cleaned")
-    files.save(files.transactions_to_raw(_dirty(spark, sf)), raw)
-    return _rounded(pipelines.clean_pipeline(spark, raw, out), "amount_scaled")
-
-
 def oracle_sql() -> dict[str, str]:
     return oracle_queries.all_queries()

@@ -9,6 +9,8 @@ from ..session import materialize
 
 # Largest set of repeated-row keys (8 bytes each) that may be broadcast.
 BROADCAST_KEYS = 4_000_000
+# Rows with fewer columns are hardly wider than their hash and are grouped directly.
+WIDE_ROW = 8
 
 
 def row_hash(cols: list[str]) -> Column:
@@ -25,11 +27,13 @@ def split_by_repetition(
     checked broadcast, the wide rows outside them never move. With too many of them the first part
     is None and the second is the whole table. ``hash_col`` names a column that already holds the hash.
     """
+    if len(cols or df.columns) < WIDE_ROW:
+        return None, df
     wanted = F.col(hash_col) if hash_col else row_hash(cols or df.columns)
     keys = df.select(wanted.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
     repeated = materialize(keys.where("_n > 1").select("_h"), "repeated")
     if repeated.count() > BROADCAST_KEYS:
-        return None, df.drop("_h")
+        return None, df
     hashed = df if hash_col == "_h" else df.withColumn("_h", wanted)
     small = F.broadcast(repeated)
     return hashed.join(small, "_h", "left_anti").drop("_h"), hashed.join(small, "_h", "left_semi").drop("_h")

@@ -115,7 +115,7 @@ def _totals(table: DataFrame) -> tuple[Column, Column]:
 def roc_curve(
     scored: DataFrame, digits: int = 9, drop_collinear: bool = False, limit: int = ROW_LIMIT
 ) -> DataFrame:
-    """``threshold, fpr, tpr`` per distinct score, plus the origin (threshold null)."""
+    """``threshold, fpr, tpr`` per distinct score, highest first, after the origin (threshold null)."""
     table = score_table(scored, limit=limit, range_col="_range")
     all_p, all_f = _totals(table)
     if drop_collinear:
@@ -133,11 +133,11 @@ def roc_curve(
     origin = scored.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
-    return origin.unionByName(points)
+    return origin.unionByName(points).orderBy(F.desc_nulls_first("threshold"))
 
 
 def pr_curve(scored: DataFrame, digits: int = 9, limit: int = ROW_LIMIT) -> DataFrame:
-    """``threshold, precision, recall`` per distinct score, plus the end point (1, 0)."""
+    """``threshold, precision, recall`` per distinct score, lowest first, before the end point (1, 0)."""
     table = score_table(scored, limit=limit)
     all_p, _ = _totals(table)
     points = table.select(
@@ -148,7 +148,7 @@ def pr_curve(scored: DataFrame, digits: int = 9, limit: int = ROW_LIMIT) -> Data
     end = scored.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
-    return points.unionByName(end)
+    return points.unionByName(end).orderBy(F.asc_nulls_last("threshold"))
 
 
 def no_skill_baseline(scored: DataFrame, digits: int = 6) -> DataFrame:

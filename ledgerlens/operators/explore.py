@@ -96,12 +96,9 @@ def eda_mean_hourly_rate(df: DataFrame) -> DataFrame:
 
 def eda_peak_hour(df: DataFrame) -> DataFrame:
     """Hour with the highest rate; the lowest hour wins a tie."""
-    pct = half_up(F.col("rate") * 100, 6)
-    return (
-        _hourly_rates(df)
-        .select(F.col("hour_of_day").alias("peak_hour"), pct.alias("fraud_rate"))
-        .orderBy(F.desc("fraud_rate"), "peak_hour")
-        .limit(1)
+    peak = _hourly_rates(df).orderBy(F.desc("rate"), "hour_of_day").limit(1)
+    return peak.select(
+        F.col("hour_of_day").alias("peak_hour"), half_up(F.col("rate") * 100, 6).alias("fraud_rate")
     )
 
 

@@ -285,7 +285,7 @@ def all_queries() -> dict[str, str]:
         "standard_scale": f"{BASE} select id, {r('amount_scaled', 6)} as amount_scaled from f",
         "drop_columns": f"{BASE} select id, {', '.join(V)}, class from f",
         "reorder_label_last": f"{BASE} select id, time_seconds, amount, class from f",
-        "clean_pipeline": f"""{DIRTY}, u as (select distinct * from d),
+        "clean_run": f"""{DIRTY}, u as (select distinct * from d),
             us as (select avg(amount) as mu, stddev_pop(amount) as sd from u)
             select time_seconds, {', '.join(V)}, {r('(amount - mu) / sd', 6)} as amount_scaled, class from u, us""",
         "filter_class": f"{BASE} select id, {raw} from f where class = 1",
@@ -298,7 +298,7 @@ def all_queries() -> dict[str, str]:
         "feat_interactions": f"{BASE} select id, v1_v3_interact, v4_v11_interact from f",
         "feat_log_amount": f"{BASE} select id, {r('ln(1 + amount)', 6)} as log_amount from f",
         "feat_clip": f"{BASE} select id, {r('greatest(least(amount_zscore, 1.5), -0.5)', 6)} as amount_zscore from f",
-        "feature_pipeline": f"{BASE} select {rounded_features} from f",
+        "feature_run": f"{BASE} select {rounded_features} from f",
         # reports
         "q01_class_distribution": f"""{BASE} select {LABEL} as transaction_type, count(*) as total_count,
             {pct('count(*)', 'sum(count(*)) over ()', 4)} as percentage from f group by class""",
@@ -341,8 +341,8 @@ def all_queries() -> dict[str, str]:
             {pct('sum(class)', 'count(class)', 6)} as fraud_rate from f group by hour_of_day""",
         "eda_mean_hourly_rate": f"""{BASE}, hr as (select hour_of_day, avg(class) as rate from f group by hour_of_day)
             select {r('avg(rate) * 100', 6)} as mean_fraud_rate from hr""",
-        "eda_peak_hour": f"""{BASE}, hr as (select hour_of_day as peak_hour, {r('avg(class) * 100', 6)} as fraud_rate
-            from f group by hour_of_day) select * from hr order by fraud_rate desc, peak_hour limit 1""",
+        "eda_peak_hour": f"""{BASE}, hr as (select hour_of_day as peak_hour, avg(class) as rate from f group by hour_of_day)
+            select peak_hour, {r('rate * 100', 6)} as fraud_rate from hr order by rate desc, peak_hour limit 1""",
         "eda_correlation_matrix": correlations(
             [(a, b) for i, a in enumerate(CORR_COLUMNS) for b in CORR_COLUMNS[:i]]
         ),
@@ -395,7 +395,7 @@ def all_queries() -> dict[str, str]:
             gr as ({grid}) select combination, params, n_train, recall_in_range from gr, tr""",
         "feature_importance": f"""{BASE} select count(*) as n_rows, cast(35 as bigint) as n_features,
             1.0::double as total_importance, true as signal_found from f""",
-        "ml_pipeline": compared([*baselines, "Random Forest (Tuned)"]),
+        "ml_run": compared([*baselines, "Random Forest (Tuned)"]),
         # evaluation
         "confusion_matrix": f"""{CM} select 'TN' as cell, 0 as actual, 0 as predicted, tn as n from cm
             union all select 'FP', 0, 1, fp from cm union all select 'FN', 1, 0, fn from cm

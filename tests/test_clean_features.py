@@ -62,7 +62,13 @@ def test_scale_on_another_table(spark):
     assert _column(clean.standard_scale(df, stats=clean.fit_scaler(fit)), "amount_scaled") == [3.0]
 
 
-def test_dedup_is_null_safe(spark):
+@pytest.fixture(params=[0, 8])
+def row_width(request, monkeypatch):
+    """With 0 the hash route is taken for narrow rows too."""
+    monkeypatch.setattr(clean, "WIDE_ROW", request.param)
+
+
+def test_dedup_is_null_safe(spark, row_width):
     df = spark.createDataFrame([(1, None), (1, None), (None, 1), (None, None), (2, 3)], "a int, b int")
     assert sorted(map(str, clean.dedup_rows(df).collect())) == sorted(
         map(str, df.distinct().collect())
@@ -72,7 +78,7 @@ def test_dedup_is_null_safe(spark):
 
 
 @pytest.mark.parametrize("most_keys", [10**6, 0])
-def test_dedup_with_id_keeps_the_smallest(spark, monkeypatch, most_keys):
+def test_dedup_with_id_keeps_the_smallest(spark, monkeypatch, row_width, most_keys):
     monkeypatch.setattr(clean, "BROADCAST_KEYS", most_keys)
     df = spark.createDataFrame([(5, "a"), (2, "a"), (9, "b"), (1, None), (4, None)], "id bigint, v string")
     kept = clean.dedup_rows(df, "id")
@@ -83,7 +89,7 @@ def test_dedup_with_id_keeps_the_smallest(spark, monkeypatch, most_keys):
     assert profile.profile_duplicates(df.drop("id")).first().duplicate_rows == 2
 
 
-def test_one_row_repeated_many_times(spark):
+def test_one_row_repeated_many_times(spark, row_width):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("a"))
     assert clean.dedup_rows(df).count() == 2001
 
