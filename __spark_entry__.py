@@ -25,7 +25,7 @@ from ledgerlens.operators import (  # noqa: E402
     sampling,
 )
 from ledgerlens.plans import pipelines  # noqa: E402
-from ledgerlens.session import scratch_path  # noqa: E402
+from ledgerlens.session import materialize, scratch_path  # noqa: E402
 from ledgerlens.sources import files, fixtures  # noqa: E402
 from ledgerlens.sources.schema import FEATURED_COLUMNS, FEATURES, V_COLUMNS  # noqa: E402
 
@@ -76,8 +76,13 @@ def _rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: half_up(F.col(c), digits) for c in cols})
 
 
+def _stored_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature table as a stage of its own: splitting passes over it several times."""
+    return materialize(_featured(spark, sf), "featured")
+
+
 def _splits(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.resampled_splits(_featured(spark, sf))
+    return sampling.resampled_splits(_stored_features(spark, sf))
 
 
 def _stored_splits(spark: SparkSession, sf: str) -> str:
@@ -350,7 +355,7 @@ def queries() -> dict[str, Query]:
         "stratified_split": lambda s, d: sampling.stratified_split(_narrow(s, d)).select("id", "class", "split"),
         "stratified_kfold": lambda s, d: sampling.stratified_kfold(_narrow(s, d)).select("id", "class", "fold"),
         "smote_knn": lambda s, d: _rounded(
-            sampling.smote_knn(sampling.stratified_split(_featured(s, d)).where("split = 'train'")), "distance"
+            sampling.smote_knn(sampling.stratified_split(_stored_features(s, d)).where("split = 'train'")), "distance"
         ),
         "smote_resample": lambda s, d: _rounded(
             _splits(s, d).where("is_synthetic").select("id", "copy_no", "class", *FEATURES), *smote_columns

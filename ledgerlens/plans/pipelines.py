@@ -43,10 +43,17 @@ def clean_pipeline(spark: SparkSession, raw_path: str, out_path: str) -> DataFra
     return files.load_raw(spark, out_path, CLEANED_SCHEMA)
 
 
-def features_and_splits(df: DataFrame, splits_path: str, **options) -> DataFrame:
-    """Feature table, split, over-sampled train rows; stored and read back."""
-    files.save_splits(resampled_splits(features.feature_pipeline(df), **options), splits_path)
-    return files.load_splits(df.sparkSession, splits_path)
+def features_and_splits(df: DataFrame, features_path: str, splits_path: str, **options) -> DataFrame:
+    """Feature table, then split and over-sampled train rows; both are stored and read back.
+
+    Splitting passes over the stored features several times, mostly over a few of their columns.
+    """
+    spark = df.sparkSession
+    featured = features.feature_pipeline(df)
+    files.save(featured, features_path, "parquet")
+    stored = spark.read.schema(featured.schema).parquet(features_path)
+    files.save_splits(resampled_splits(stored, **options), splits_path)
+    return files.load_splits(spark, splits_path)
 
 
 @dataclass

@@ -11,7 +11,7 @@ from ledgerlens.sources.schema import FEATURES
 @pytest.fixture(scope="module")
 def splits_path(spark, sf_small):
     path = scratch_path(spark, "test-splits")
-    pipelines.features_and_splits(fixtures.transactions(spark, sf_small), path)
+    pipelines.features_and_splits(fixtures.transactions(spark, sf_small), scratch_path(spark, "test-features"), path)
     return path
 
 
