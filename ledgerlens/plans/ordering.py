@@ -140,6 +140,7 @@ class Cut:
 
 
 _NOTHING, _EVERYTHING = -1, HASH_SPACE
+_FIRST_BITS, _NEXT_BITS = 10, 11
 
 
 def rank_cuts(
@@ -147,49 +148,58 @@ def rank_cuts(
 ) -> tuple[dict, dict[object, list[Cut]]]:
     """Exact rank thresholds over a 32-bit hash, so "the lowest r rows per group" is a plain filter.
 
-    Two counting passes over 16 hash bits each (at most 65,536 counters per group and per cut) replace
-    a sort of the table; ``ranks`` maps the group sizes to the wanted ranks. Returns (sizes, cuts).
+    Each scan counts rows per hash prefix (at most 2,048 counters per group, then per cut) and keeps the
+    prefix that holds the wanted rank; two or three scans replace a sort of the table. ``by`` is a label
+    with few values; ``ranks`` maps the group sizes to the wanted ranks. Returns (sizes, cuts).
     """
     keyed = df.select(F.col(by).alias("g"), hash_col.alias("h"), F.col(tie).alias("t"))
-    high = F.shiftright("h", 16)
-    coarse = keyed.groupBy("g", high.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    shift = 32 - _FIRST_BITS
+    counted = _prefix_counts(keyed, shift)
     sizes: dict = {}
-    for row in coarse:
-        sizes[row.g] = sizes.get(row.g, 0) + row.n
+    for group, rows in counted.items():
+        sizes[group] = sum(rows.values())
     wanted = ranks(sizes)
-    targets = []  # (group, rank, bucket, rank inside the bucket)
+    cuts: dict = {}
+    # (group, rank) -> (prefix, rank inside it, its rows)
+    open_ranks = {}
     for group, ks in wanted.items():
-        rows = sorted((r for r in coarse if r.g == group), key=lambda r: r.b)
+        cuts[group] = [Cut(k, _NOTHING if k <= 0 else _EVERYTHING) for k in ks if k <= 0 or k >= sizes.get(group, 0)]
         for k in ks:
-            before = 0
-            for row in rows:
-                if before < k <= before + row.n:
-                    targets.append((group, k, row.b, k - before))
-                    break
-                before += row.n
-    inner: dict = {}
-    if targets:
+            if 0 < k < sizes.get(group, 0):
+                open_ranks[(group, k)] = _locate(counted[group], k)
+    while open_ranks and shift:
+        old, few = shift, max(n for _, _, n in open_ranks.values()) <= 1 << _NEXT_BITS
+        shift = 0 if few else max(0, shift - _NEXT_BITS)
+        prefixes = sorted({(group, at[0]) for (group, _), at in open_ranks.items()}, key=str)
         hit = F.lit(False)
-        for group, bucket in sorted({(t[0], t[2]) for t in targets}):
-            hit = hit | ((F.col("g") == F.lit(group)) & (high == bucket))
-        for row in keyed.where(hit).groupBy("g", "h").agg(F.count(F.lit(1)).alias("n")).collect():
-            inner.setdefault((row.g, row.h >> 16), []).append((row.h, row.n))
-    cuts: dict = {}
-    for group, ks in wanted.items():
-        cuts[group] = [
-            Cut(k, _NOTHING) if k <= 0 else Cut(k, _EVERYTHING) for k in ks if k <= 0 or k >= sizes.get(group, 0)
-        ]
-    for group, k, bucket, left in targets:
-        if k >= sizes[group]:
-            continue
-        before = 0
-        for h, n in sorted(inner[(group, bucket)]):
-            if before < left <= before + n:
-                last = None
-                if left < before + n:  # a shared hash value is split by the tie column
-                    same = keyed.where((F.col("g") == F.lit(group)) & (F.col("h") == h))
-                    last = same.orderBy("t").limit(left - before).agg(F.max("t")).first()[0]
-                cuts[group].append(Cut(k, h, last))
-                break
-            before += n
+        for group, prefix in prefixes:
+            hit = hit | ((F.col("g") == F.lit(group)) & (F.shiftright("h", old) == prefix))
+        counted = _prefix_counts(keyed.where(hit), shift)
+        for (group, k), (prefix, left, _) in open_ranks.items():
+            inside = {b: n for b, n in counted[group].items() if b >> (old - shift) == prefix}
+            open_ranks[(group, k)] = _locate(inside, left)
+    for (group, k), (h, left, n) in open_ranks.items():
+        last = None
+        if left < n:  # rows that share the hash are split by the tie column
+            same = keyed.where((F.col("g") == F.lit(group)) & (F.col("h") == h))
+            last = same.orderBy("t").limit(left).agg(F.max("t")).first()[0]
+        cuts[group].append(Cut(k, h, last))
     return sizes, {g: sorted(cs, key=lambda c: c.rank) for g, cs in cuts.items()}
+
+
+def _prefix_counts(keyed: DataFrame, shift: int) -> dict[object, dict[int, int]]:
+    out: dict = {}
+    grouped = keyed.groupBy("g", F.shiftright("h", shift).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    for row in grouped.collect():
+        out.setdefault(row.g, {})[row.b] = row.n
+    return out
+
+
+def _locate(counts: dict[int, int], rank: int) -> tuple[int, int, int]:
+    """The key that holds the 1-based ``rank``: (key, rank inside it, its rows)."""
+    before = 0
+    for key in sorted(counts):
+        if rank <= before + counts[key]:
+            return key, rank - before, counts[key]
+        before += counts[key]
+    raise ValueError("rank beyond the counted rows")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import hash32
+from ledgerlens.plans import ordering
 from ledgerlens.plans.ordering import rank_cuts, rolling_sum, running_totals, with_global_index
 from ledgerlens.plans.quantiles import quantile, quantile_table
 
@@ -73,8 +74,16 @@ def test_running_totals_by_ranges(skewed, descending, by):
     assert sorted(small.select(cols).collect()) == sorted(ranged.select(cols).collect())
 
 
-def test_rank_cuts_with_shared_hashes(skewed):
-    coarse = (F.col("id") % 11 * 65536 + F.col("id") % 3).cast("bigint")
+@pytest.mark.parametrize("kind", ["shared", "spread", "one prefix", "dense"])
+def test_rank_cuts(skewed, kind, monkeypatch):
+    coarse = {
+        "shared": (F.col("id") % 11 * 65536 + F.col("id") % 3).cast("bigint"),
+        "spread": hash32("r", F.col("id")),
+        "one prefix": F.lit(2**32 - 1).cast("bigint"),
+        "dense": (F.col("id") % 4099 + 7).cast("bigint"),
+    }[kind]
+    if kind == "dense":
+        monkeypatch.setattr(ordering, "_NEXT_BITS", 5)
     wanted = {0: [0, 1, 777, 4000, 10**9], 1: [5]}
     sizes, cuts = rank_cuts(skewed, coarse, "id", "class", lambda _: wanted)
     for group, group_cuts in cuts.items():
