@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib import import_module
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -279,7 +281,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return reports.q05_fraud_rate_by_hour(_narrow(spark, "/root/testdata/sf0.001"))
 
 
+def _llm_modules() -> list:
+    """The modules that add the training-data queries; none if the subpackage is not there."""
+    if any(find_spec(name) is None for name in ("ledgerlens.llm", "corpus_pipeline")):
+        return []
+    try:
+        return [import_module("ledgerlens.llm.queries"), import_module("corpus_pipeline")]
+    except ModuleNotFoundError as missing:
+        if missing.name and missing.name.startswith("ledgerlens.llm"):  # an empty folder was left
+            return []
+        raise
+
+
 def queries() -> dict[str, Query]:
+    found = _core_queries()
+    for module in _llm_modules():
+        found.update(module.all_queries())
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = oracle_queries.all_queries()
+    for module in _llm_modules():
+        found.update(module.all_oracles())
+    return found
+
+
+def _core_queries() -> dict[str, Query]:
     def on(source: Query, operator: Callable[..., DataFrame], **params) -> Query:
         return lambda spark, sf: operator(source(spark, sf), **params)
 
@@ -389,7 +417,3 @@ def queries() -> dict[str, Query]:
         "report_model_table": on(_scored_models, dashboard.report_model_table),
         "report_build": report_build,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_queries()
