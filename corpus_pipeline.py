@@ -14,6 +14,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: In order; each takes the documents that the one before kept, and all but the last return the columns of documents.
 STAGES: list[tuple[str, Stage]] = [
     ("exact_dedup", stages.exact_dedup),
+    ("near_dedup", stages.near_dedup),
+    ("decontaminate", stages.decontaminate_docs),
     ("tokens", stages.tokens),
 ]
 

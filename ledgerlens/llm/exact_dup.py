@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .marks import keep_marked, text_hash
 
 BLOCK = 16384
 SHARED_LIMIT = 100_000  # so many shared hashes may be listed in a plan; above, every block carries its content
@@ -73,7 +74,7 @@ def _next_level(level: DataFrame) -> DataFrame:
 def identities(
     df: DataFrame, key: str = "doc_id", text: str = "text", size: int = BLOCK, hashed: Hash = F.xxhash64
 ) -> DataFrame:
-    """(row, key, text_sha256, n_bytes, name), one row per input row: texts are equal if (n_bytes, name) are.
+    """(row, key, text_sha256, text_hash, n_bytes, name), one row per input row: texts are equal if (n_bytes, name) are.
 
     ``row`` numbers the input rows and ``key`` holds the key column. Null texts count as empty; an empty table gives an
     empty result. ``hashed`` only spreads the work: whatever collides, the result is the same.
@@ -86,6 +87,7 @@ def identities(
             F.monotonically_increasing_id().alias("row"),
             "key",
             F.sha2("text", 256).alias("text_sha256"),
+            text_hash(F.col("text")).alias("text_hash"),
             F.octet_length("text").cast("long").alias("n_bytes"),
             F.transform(_blocks(F.col("text"), size), entry).alias("blocks"),
         ),
@@ -106,7 +108,7 @@ def identities(
 
 
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row per input row: row, key, keep_key, group_size, kept, text_sha256.
+    """One row per input row: row, key, keep_key, group_size, kept, text_sha256, text_hash.
 
     Of equal texts the row with the largest key stays; of repeated rows with that key, one (the last read). A null key
     is smaller than any other.
@@ -124,6 +126,7 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
         "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
         "text_sha256",
+        "text_hash",
     )
 
 
@@ -132,17 +135,5 @@ def drop_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **op
 
     Rows are told apart by key and text; where both are repeated, one of the repeated rows stays.
     """
-    marks = materialize(groups(df, key, text, **options), "marks")
-    sha = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
-    each = marks.groupBy("key", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    each = materialize(each.where("n > 1 OR NOT kept"), "changed")
-
-    def matches(listed: DataFrame):
-        return df[key].eqNullSafe(listed["key"]) & (sha == listed["text_sha256"])
-
-    out = df.join(each, matches(each), "left_anti")
-    repeated = each.where("kept")
-    if not repeated.isEmpty():
-        again = df.join(repeated, matches(repeated), "left_semi")
-        out = out.unionByName(again.withColumn("__sha", sha).dropDuplicates([key, "__sha"]).drop("__sha"))
-    return out
+    marks = materialize(groups(df, key, text, **options).select("key", "text_hash", "kept"), "marks")
+    return keep_marked(df, marks, key, text)

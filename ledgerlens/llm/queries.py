@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dup
+from . import bpe, decontaminate, exact_dup, near_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +23,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select(F.col("key").alias("doc_id"), "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_classes(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component_key").alias("component_id"), "kept")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dup.groups(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -34,7 +45,31 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES = {
+    "op3_decontaminate": f"""
+        with docs as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+        items as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
+        sized as (select item, w, least(13, len(w)) as n from items where len(w) > 0),
+        windows as (
+            select distinct item, n, array_to_string(w[i:i + n - 1], ' ') as gram
+            from (select item, w, n, unnest(range(1, len(w) - n + 2)) as i from sized)),
+        places as (
+            select rid, n, i, array_to_string(w[i:i + n - 1], ' ') as gram
+            from (select rid, w, n, unnest(range(1, len(w) - n + 2)) as i
+                  from docs, (select distinct n from windows) where len(w) >= n)),
+        found as (select rid, i, p.n, item from places p join windows using (n, gram)),
+        hit as (select rid, count(distinct word) as n_hit from (select rid, unnest(range(i, i + n)) as word from found)
+                group by rid),
+        told as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as listed
+                 from (select distinct rid, item from found) group by rid)
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(listed, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+        from docs left join hit using (rid) left join told using (rid)
+    """,
     "op10_exact_dedup": """
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
                doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
@@ -45,7 +80,9 @@ ORACLES = {
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op3_decontaminate": op3_decontaminate,
         "op5_bpe": op5_bpe,
+        "op6_near_dedup": op6_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dup
+from . import bpe, decontaminate, exact_dup, near_dup
 from .queries import vocabulary_path
 
 
@@ -13,6 +13,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dup.drop_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component stays: the one with the smallest doc_id."""
+    return near_dup.drop_near_duplicates(docs)
+
+
+def decontaminate_docs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with at least a twentieth of their words in benchmark passages go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.drop_contaminated(docs, benchmark)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and digests of ids and of the text decoded from them."""
     return bpe.digest(docs, vocabulary_path())
