@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dup, near_dup
+from . import bpe, decontaminate, exact_dup, labelled, language, near_dup, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,21 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def _held_out(parts: int, which: int):
+    return F.coalesce(labelled.remainder(F.col("doc_id"), parts) == which, F.lit(False))
+
+
+def _predicted():
+    return F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, "toxic", ~_held_out(4, 2))
+    scored = toxicity.score(docs, model).withColumnRenamed("key", "doc_id")
+    return scored.select("doc_id", _held_out(4, 2).alias("held_out"), "score", _predicted())
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(_table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -38,6 +53,25 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component_key").alias("component_id"), "kept")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit(docs, "lang", ~_held_out(4, 2))
+    found = language.predict(docs, model).withColumnRenamed("key", "doc_id")
+    return found.select("doc_id", _held_out(4, 2).alias("held_out"), F.col("language").alias("lang_pred"), "score")
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> dict:
+    """Learned from the labelled rows of the folder that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.fit(docs, labels, "quality", ~_held_out(5, 0))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+    return scored.select("doc_id", _held_out(5, 0).alias("held_out"), "score", _predicted())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dup.groups(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -81,8 +115,11 @@ ORACLES = {
 def all_queries() -> dict[str, Query]:
     return {
         "op3_decontaminate": op3_decontaminate,
+        "op4_toxicity": op4_toxicity,
         "op5_bpe": op5_bpe,
         "op6_near_dedup": op6_near_dedup,
+        "op8_language": op8_language,
+        "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
     }
 

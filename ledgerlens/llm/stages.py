@@ -3,9 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dup, near_dup
-from .queries import vocabulary_path
+from ..session import materialize
+from . import bpe, decontaminate, exact_dup, near_dup, quality as quality_classifier
+from .marks import drop_marked
+from .queries import quality_model, vocabulary_path
+
+KEEP_FROM = 0.3  # score from which a document is good enough
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    scored = quality_classifier.score(docs, quality_model(spark, sf_dir))
+    marks = scored.select("key", "text_hash", (F.col("score") >= KEEP_FROM).alias("kept"))
+    return drop_marked(docs, materialize(marks, "quality-marks"), "doc_id", "text")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
