@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dup, labelled, language, near_dup, quality, toxicity
+from . import bpe, decontaminate, exact_dup, labelled, language, licenses, near_dup, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    return secrets.digest(found).withColumnRenamed("key", "doc_id")
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans").withColumnRenamed("key", "doc_id")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -114,6 +123,8 @@ ORACLES = {
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_secrets": op1_secrets,
+        "op2_licenses": op2_licenses,
         "op3_decontaminate": op3_decontaminate,
         "op4_toxicity": op4_toxicity,
         "op5_bpe": op5_bpe,
