@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dup, labelled, language, licenses, near_dup, quality, secrets, toxicity
+from . import bpe, decontaminate, exact_dup, labelled, language, licenses, near_dup, pii, quality, secrets, toxicity
+
+#: Key of the registered query's surrogates; a user passes a secret one.
+SURROGATE_KEY = b"registered query"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +65,11 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component_key").alias("component_id"), "kept")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.replace(_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return replaced.withColumnRenamed("key", "doc_id")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language.fit(docs, "lang", ~_held_out(4, 2))
@@ -129,6 +137,7 @@ def all_queries() -> dict[str, Query]:
         "op4_toxicity": op4_toxicity,
         "op5_bpe": op5_bpe,
         "op6_near_dedup": op6_near_dedup,
+        "op7_pii": op7_pii,
         "op8_language": op8_language,
         "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
