@@ -67,7 +67,7 @@ def fit(df: DataFrame, label: str, usable: Column, key: str = "doc_id", text: st
     """
     picked = labelled.sample(df, label, usable, key, TRAINING_ROWS).withColumnRenamed("label", "language")
     joined = df.join(F.broadcast(picked), df[key] == picked["sample_key"])
-    texts = joined.select(df[text].cast("string").alias("text"), picked["language"].cast("string").alias("language"), "order")
+    texts = joined.select(df[text].cast("string").alias("text"), picked["language"].cast("string").alias("language"), picked["order"])
     languages = sorted(r[0] for r in picked.select(F.col("language").cast("string")).distinct().collect())
     if not languages:
         return {"languages": [], "landmarks": np.zeros((0, 1 << BITS), np.float32), "weights": np.zeros((0, 0))}

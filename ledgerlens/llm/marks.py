@@ -28,7 +28,9 @@ def keep_marked(df: DataFrame, marks: DataFrame, key: str, text: str) -> DataFra
     repeated = each.where("kept")
     if not repeated.isEmpty():
         again = df.join(repeated, matches(repeated), "left_semi")
-        out = out.unionByName(again.withColumn("__hash", text_hash(F.col(text))).dropDuplicates([key, "__hash"]).drop("__hash"))
+        extra = "_".join(["hash", *df.columns])  # a name that no column has
+        again = again.withColumn(extra, text_hash(F.col(text))).dropDuplicates([key, extra])
+        out = out.unionByName(again.drop(extra))
     return out
 
 
