@@ -24,9 +24,12 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node has one link and no node that is linked to is linked on."""
+    counts = edges.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("nodes")).first()
+    if counts["n"] != counts["nodes"]:
+        return False
+    return edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,15 +40,11 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     nodes = edges.where("u = v").select("u").distinct()
     edges = materialize(edges.where("u <> v").distinct(), "star-edges")
-    before = _state(edges)
-    while before[0]:
+    while not _all_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = materialize(_star(both, large=True), "star-large")
-        edges = materialize(_star(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), large=False), "star-small")
-        now = _state(edges)
-        if now == before:
-            break
-        before = now
+        downward = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        edges = materialize(_star(downward, large=False), "star-small")
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = found.select("component").unionByName(nodes.select(F.col("u").alias("component"))).distinct()
     roots = roots.join(found.select(F.col("node").alias("component")).distinct(), "component", "left_anti")

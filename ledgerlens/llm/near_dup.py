@@ -6,9 +6,10 @@ union are the larger ones of its parts, and the share of equal registers of two
 
 1. Rows with the same set are one class; only its first row goes on.
 2. Bands of registers are bucket keys. A first pass over a few bands links each class to the leading class of its
-   buckets; later passes look only at buckets that still hold several components.
-3. Pairs whose similarity cannot reach the threshold, by the joint likelihood of both sketches, are left; every other
-   pair is decided on the full sets.
+   buckets; a second pass does so for all buckets that still hold several components. Of these pairs, those whose
+   similarity cannot reach the threshold by the joint likelihood of both sketches are left.
+3. The classes of buckets that are open even then are paired by an exact prefix filter. All pairs are decided on the
+   full sets.
 4. Components of the confirmed links are the result.
 
 With 40 bands of 6 registers a pair at similarity 0.85 shares no bucket with probability 6e-9, and the likelihood
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -150,10 +151,9 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
 def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with the same full set are one class, named by its first row: (of every row, with sketch of the first)."""
     same = ["n_shingles", "print1", "print2"]
-    least = materialize(rows.where("n_shingles > 0").groupBy(same).agg(F.min("row").alias("class")), "classes")
-    members = materialize(
-        rows.where("n_shingles > 0").select("row", "key", *same).join(least, same).select("row", "key", "class"), "members"
-    )
+    filled = rows.where("n_shingles > 0")
+    least = materialize(filled.groupBy(same).agg(F.min("row").alias("class")), "classes")
+    members = filled.select("row", "key", *same).join(least, same).select("row", "key", "class")
     # the first rows carry the sketch: no copy of a text goes further
     lead = least.select(F.col("class").alias("row"))
     return members, materialize(rows.join(lead, "row").withColumnRenamed("row", "class"), "class-sketches")
@@ -183,12 +183,11 @@ def _plausible(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
     return sized.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, shingles) of the wanted classes, from the whole texts."""
+def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+    """(class, shingles) of ``wanted`` classes (at most ``count``), from the whole texts; stored."""
     listed = sketch.join(wanted, "class", "left_semi")
-    listed = listed.select("class", F.col("key").alias("wanted"), "n_shingles", "print1", "print2")
-    listed = materialize(listed, "wanted-classes")
-    if listed.count() <= BROADCAST_ROWS:
+    listed = listed.select("class", F.col("key").alias("wanted"), "n_shingles", "print1")
+    if count <= BROADCAST_ROWS:
         listed = F.broadcast(listed)
     texts = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     found = texts.join(listed, texts["key"].eqNullSafe(listed["wanted"]))
@@ -200,7 +199,10 @@ def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFra
                 told = batch.slice(at, len(sets)).select(["class", "n_shingles", "print1"]).to_pylist()
                 with np.errstate(over="ignore"):
                     # a key may stand on several rows: only the class's own text counts
-                    right = [i for i, (s, t) in enumerate(zip(sets, told)) if len(s) == t["n_shingles"] and int(s.sum()) == t["print1"]]
+                    right = [
+                        i for i, (s, t) in enumerate(zip(sets, told))
+                        if len(s) == t["n_shingles"] and int(s.sum()) == t["print1"]
+                    ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([told[i]["class"] for i in right], pa.int64()),
@@ -213,78 +215,98 @@ def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFra
     return materialize(made.dropDuplicates(["class"]), "shingle-sets")
 
 
-def _decided(df: DataFrame, key: str, text: str, sketch: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs with the size of intersection and union of their full sets: a, b, both, either."""
-    pairs = materialize(_plausible(pairs, sketch), "plausible-pairs")
-    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    sets = _sets(df, key, text, sketch, wanted)
+def _decided(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked, by their full sets; stored."""
     of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias(f"s{name}"))
-    both = F.size(F.array_intersect("sa", "sb")).cast("long")
     joined = pairs.join(of("b"), "b").join(of("a"), "a")
+    both = F.size(F.array_intersect("sa", "sb")).cast("long")
     counted = joined.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).cast("long").alias("sizes"))
-    decided = counted.select("a", "b", "both", (F.col("sizes") - F.col("both")).alias("either"))
-    return materialize(decided, "decided-pairs")
+    counted = counted.where(_linked(F.col("both"), F.col("sizes") - F.col("both")))
+    return materialize(counted.select("a", "b"), "linked-pairs")
 
 
 def _linked(both: Column, either: Column) -> Column:
     return THRESHOLD[1] * both >= THRESHOLD[0] * either
 
 
-def _crowded(placed: DataFrame) -> DataFrame:
-    """The rows (bucket, class, component) of buckets that hold several components."""
-    spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = materialize(spread.where("low <> high").select("bucket"), "open-buckets")
+def _open_rows(placed: DataFrame) -> DataFrame:
+    """The rows (bucket, class, component, size) of buckets that hold several components; stored."""
+    spread = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    several = materialize(spread.where("low <> high").select("bucket", "size"), "open-buckets")
     return materialize(placed.join(several, "bucket"), "open-rows")
 
 
-def _lead_pairs(crowded: DataFrame) -> DataFrame:
-    """(a, b), a < b: the leading class of each bucket with the bucket's classes of other components."""
-    lead = crowded.groupBy("bucket").agg(F.min(F.struct("class", "component")).alias("lead"))
-    joined = crowded.join(materialize(lead, "leads"), "bucket").where("component <> lead.component")
-    return joined.select(F.col("lead.class").alias("a"), F.col("class").alias("b")).distinct()
+def _lead_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): the leading class of each open bucket with the bucket's classes of other components.
 
+    The leading class is the one that meets the most others in all its buckets: in a group of near copies, the text
+    that they were made from.
+    """
+    degree = materialize(rows.groupBy("class").agg(F.sum("size").alias("degree")), "degrees")
+    order = F.struct("degree", (-F.col("class")).alias("first"), "component")
+    leads = rows.join(degree, "class").groupBy("bucket").agg(F.max(order).alias("lead"))
+    joined = rows.join(materialize(leads, "leads"), "bucket").where("component <> lead.component")
+    return joined.select((-F.col("lead.first")).alias("a"), F.col("class").alias("b")).distinct()
 
-def _cross_pairs(crowded: DataFrame, sketch: DataFrame) -> DataFrame:
-    """(a, b), a < b: every two classes of a bucket that are not in one component and whose set sizes allow a link."""
-    sized = crowded.join(sketch.select("class", "n_shingles"), "class")
-    other = sized.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("class", "component", "n_shingles")])
-    near = f"{THRESHOLD[1]} * least(n_shingles, o_n_shingles) >= {THRESHOLD[0]} * greatest(n_shingles, o_n_shingles)"
-    joined = sized.join(other, "bucket").where("class < o_class AND component <> o_component").where(near)
-    return joined.select(F.col("class").alias("a"), F.col("o_class").alias("b")).distinct()
 
+def _prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): classes of different components that may still be linked, by an exact prefix filter on their sets.
 
-def links(df: DataFrame, key: str, text: str, sketch: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between classes: enough of them that their components are those of all links.
+    Sets are put in one order, rarest shingle first. To reach the threshold, sets of n and m shingles must share
+    ``needed`` of them, so they share one among the first n - needed + 1 and m - needed + 1. Texts with many shingles of
+    their own thus meet nothing. For a shingle that many classes have, only classes outside its most frequent component
+    look for partners.
+    """
+    whole = sets.select("class", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = materialize(whole.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "shingle-counts")
+    rank = F.row_number().over(Window.partitionBy("class").orderBy("often", "shingle"))
+    ranked = whole.join(often, "shingle").withColumn("at", rank)
+    # the longest prefix, for a partner of the least size that may be linked
+    least = F.ceil(F.col("n") * THRESHOLD[0] / THRESHOLD[1])
+    first = ranked.where((F.col("at") <= F.col("n") - least + 1) & (F.col("often") > 1))
+    component = rows.select("class", "component").distinct()
+    first = materialize(first.join(component, "class").select("shingle", "class", "component", "n", "at"), "prefixes")
+    by = first.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("count"))
+    main = materialize(by.groupBy("shingle").agg(F.max(F.struct("count", "component")).alias("main")), "main-components")
+    seeking = first.join(main, "shingle").where("component <> main.component").drop("main")
+    other = first.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("class", "component", "n", "at")])
+    needed = f"ceil((n + o_n) * {THRESHOLD[0]} / {THRESHOLD[0] + THRESHOLD[1]})"
+    joined = seeking.join(other, "shingle").where(f"component <> o_component AND at <= n - {needed} + 1 AND o_at <= o_n - {needed} + 1")
+    return joined.select(F.least("class", "o_class").alias("a"), F.greatest("class", "o_class").alias("b")).distinct()
+
+
+def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame) -> DataFrame:
+    """(node, component) of the classes that are linked with others.
 
     A bucket is left as soon as all its classes are in one component. First each class meets the leading class of a few
-    buckets, then of all buckets; what is still apart in a bucket after that meets pair by pair.
+    buckets, then of all buckets; the classes of buckets that are still open then go through an exact prefix filter.
+    So a large group of near copies never meets pair by pair.
     """
-
-    def buckets(count: int) -> DataFrame:
-        return sketch.select("class", F.explode(F.slice("bands", 1, count)).alias("bucket"))
-
-    def placed(rows: DataFrame, found: DataFrame) -> DataFrame:
-        joined = rows.select("class", "bucket").join(found.withColumnRenamed("node", "class"), "class", "left")
-        return joined.select("bucket", "class", F.coalesce("component", "class").alias("component"))
-
-    linked = tested = None
-    rows = buckets(FIRST_BANDS).withColumn("component", F.col("class"))
+    found = df.sparkSession.createDataFrame([], "node bigint, component bigint")
+    linked = None
     for step in ("few", "all", "rest"):
-        if linked is not None:
-            found = materialize(components(linked), "components")
-            rows = placed(buckets(BANDS) if step == "all" else rows, found)
-        rows = _crowded(rows)
-        if step == "rest" and rows.isEmpty():
-            break
-        pairs = _cross_pairs(rows, sketch) if step == "rest" else _lead_pairs(rows)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        decided = _decided(df, key, text, sketch, pairs)
-        new = decided.where(_linked(F.col("both"), F.col("either"))).select("a", "b")
+        count = FIRST_BANDS if step == "few" else BANDS
+        placed = sketch.select("class", F.explode(F.slice("bands", 1, count)).alias("bucket"))
+        placed = placed.join(found.withColumnRenamed("node", "class"), "class", "left")
+        rows = _open_rows(placed.select("bucket", "class", F.coalesce("component", "class").alias("component")))
+        if rows.isEmpty():
+            continue
+        if step == "rest":
+            wanted = rows.select("class").distinct()
+            sets = _sets(df, key, text, sketch, wanted, wanted.count())
+            pairs = _prefix_pairs(rows, sets)
+        else:
+            pairs = materialize(_plausible(_lead_pairs(rows), sketch), "plausible-pairs")
+            wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+            sets = _sets(df, key, text, sketch, wanted, 2 * pairs.count())
+        new = _decided(pairs, sets)
+        if new.isEmpty():
+            continue
         linked = new if linked is None else linked.unionByName(new)
-    return linked
+        found = materialize(components(linked), "components")
+    return found
 
 
 def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,9 +318,9 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     rows = sketches(df, key, text)
     members, sketch = _classes(rows)
-    found = materialize(components(links(df, key, text, sketch)), "components")
+    found = linked_classes(df, key, text, sketch)
     joined = members.join(found.withColumnRenamed("node", "class"), "class", "left")
-    joined = materialize(joined.select("row", "key", F.coalesce("component", "class").alias("component")), "placed")
+    joined = joined.select("row", "key", F.coalesce("component", "class").alias("component"))
     order = F.struct(F.col("key").isNull().alias("last"), F.col("key"), F.col("row"))
     least = materialize(joined.groupBy("component").agg(F.min(order).alias("least")), "least-keys")
     told = joined.join(least, "component").select("row", F.col("least.key").alias("component_key"), F.col("least.row").alias("first"))
