@@ -103,9 +103,10 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
                         [pa.array([len(shard.label)], pa.int64()), pa.array([made], pa.binary())], ["n", "state"]
                     )
 
-        found = shards.mapInArrow(run, "n bigint, state binary").orderBy("n", F.xxhash64("state")).collect()
+        found = shards.mapInArrow(run, "n bigint, state binary").collect()
         if not found:
             return start
+        found.sort(key=lambda r: (r["n"], bytes(r["state"])))  # sums do not depend on which shard came first
         total = sum(r["n"] for r in found)
         mixed: State = {}
         for r in found:

@@ -6,6 +6,7 @@ sent to the executors is a short list of weights. A feature counts once for a te
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,13 +14,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import labelled
 from .labelled import Shard, State, sigmoid
 from .words import ALNUM, mix, slices, word_hashes
 
-BITS = 20
+BITS = 24  # hash space of the features
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 2.0, 0.0
 ROUNDS = 6
+LEAST_ROWS = 4  # rarer features of the sample are left out: the L1 term would hold them at zero anyway
 SKIP_SEED, PAIR_SEED = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -93,14 +96,49 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
                 )
 
     rows = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
-    made = rows.mapInArrow(run, "order bigint, label float, index array<int>, dense array<float>")
-    start = {name: np.zeros((1 << BITS) + 1, dtype=np.float32) for name in ("z", "n")}
-    state = labelled.fit(labelled.pack(made, picked.count()), start, _train, ROUNDS)
+    schema = "order bigint, label float, index array<int>, dense array<float>"
+    made = materialize(rows.mapInArrow(run, schema), "toxicity-features")
+    kept = _frequent(made)
+    shared = df.sparkSession.sparkContext.broadcast(kept)
+
+    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(1 << BITS, -1, dtype=np.int32)
+        place[shared.value] = np.arange(len(shared.value), dtype=np.int32)
+        for batch in batches:
+            lists = batch.column("index")
+            index = place[lists.flatten().to_numpy(zero_copy_only=False)]
+            sums = np.concatenate([[0], np.cumsum(index >= 0)])
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            stops = sums[np.concatenate([[0], ends])].astype(np.int32)
+            fewer = pa.ListArray.from_arrays(pa.array(stops), pa.array(index[index >= 0]))
+            columns = [batch.column("order"), batch.column("label"), fewer, batch.column("dense")]
+            yield pa.RecordBatch.from_arrays(columns, ["order", "label", "index", "dense"])
+
+    shards = labelled.pack(made.mapInArrow(renumber, schema), picked.count())
+    start = {name: np.zeros(len(kept) + 1, dtype=np.float32) for name in ("z", "n")}
+    state = labelled.fit(shards, start, _train, ROUNDS)
     state = {name: values.astype(np.float64) for name, values in state.items()}
     w = weights(state)[:-1]
-    index = np.flatnonzero(w)
+    some = np.flatnonzero(w)
     bias = -state["z"][-1] / ((BETA + np.sqrt(state["n"][-1])) / ALPHA)
-    return {"bias": float(bias), "index": index.astype(np.int32), "weight": w[index].astype(np.float32)}
+    return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w[some].astype(np.float32)}
+
+
+def _frequent(made: DataFrame) -> np.ndarray:
+    """The features that stand in at least ``LEAST_ROWS`` rows of the sample; one small count for each reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << BITS, dtype=np.uint8)
+        for batch in batches:
+            at, seen = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            counts[at] = np.minimum(counts[at] + seen, LEAST_ROWS)
+        packed = zlib.compress(counts.tobytes(), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["counts"])
+
+    total = np.zeros(1 << BITS, dtype=np.uint16)
+    for row in made.select("index").mapInArrow(run, "counts binary").collect():
+        total += np.frombuffer(zlib.decompress(bytes(row["counts"])), dtype=np.uint8)
+    return np.flatnonzero(total >= LEAST_ROWS)
 
 
 def score(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
