@@ -343,7 +343,7 @@ def _core_queries() -> dict[str, Query]:
         "feat_amount_zscore": lambda s, d: _rounded(
             features.feat_amount_zscore(_narrow(s, d)).select("id", "amount_zscore"), "amount_zscore"
         ),
-        "quantile_threshold": on(_narrow, features.quantile_threshold),
+        "quantile_threshold": lambda s, d: _rounded(features.quantile_threshold(_narrow(s, d)), "threshold", digits=9),
         "feat_high_value_flag": lambda s, d: features.feat_high_value_flag(_narrow(s, d)).select(
             "id", "amount", "high_value_flag"
         ),

@@ -9,8 +9,13 @@ HASH_SPACE = 1 << 32
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round half away from zero on the decimal value, returned as double."""
-    return F.round(value.cast("decimal(28,10)"), digits).cast("double")
+    """Round half away from zero on the decimal value, returned as double.
+
+    Values too large for a decimal with ten places have no digits to round and pass through, as infinities and NaN do.
+    """
+    number = value.cast("double")
+    rounded = F.round(value.try_cast("decimal(28,10)"), digits).cast("double")
+    return F.coalesce(rounded, number)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -47,6 +47,10 @@ def dedup_rows(df: DataFrame, id_col: str | None = None, hash_col: str | None =
     """
     out = [c for c in df.columns if c != hash_col]
     cols = [c for c in out if c != id_col]
+    if hash_col is None and len(cols) >= WIDE_ROW:
+        # The input is evaluated once: finding repeats reads only the stored hash.
+        hash_col = "_h"
+        df = materialize(df.withColumn(hash_col, row_hash(cols)), "staged")
     single, repeated = split_by_repetition(df, cols, hash_col)
     repeated = repeated.select(out)
     if id_col is None:

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import DASHBOARD_BANDS, audit_label, risk_band, risk_level_by_flags
 from ..functions.numeric import half_up, percent, ratio
+from ..plans.ordering import with_global_index
 from .evaluate import binary_metrics, flag_best, model_metrics, roc_auc
 
-FLAGGED_LIMIT = 500
-
 
 def _mean(amount: Column, label: int) -> Column:
     return F.avg(F.when(F.col("class") == label, amount))
@@ -44,6 +43,7 @@ def report_summary_formatted(summary: DataFrame) -> DataFrame:
     def dollars(name: str) -> Column:
         return F.concat(F.lit("$"), F.format_string("%.2f", F.col(name)))
 
+    # The names of the nine numbers.
     cells = [
         ("Total Transactions", F.format_number("total", 0)),
         ("Fraudulent", F.format_number("fraud", 0)),
@@ -74,16 +74,22 @@ def report_hourly(df: DataFrame, digits: int = 9) -> DataFrame:
     ).orderBy("hour")
 
 
-def report_flagged(df: DataFrame, limit: int = FLAGGED_LIMIT, amount_col: str = "amount") -> DataFrame:
-    """The fraud rows by falling amount: number, amount, hour, z-score, risk level, audit label."""
+def report_flagged(df: DataFrame, limit: int | None = None, amount_col: str = "amount") -> DataFrame:
+    """The fraud rows by falling amount: number, amount, hour, z-score, risk level, audit label.
+
+    All of them, or the first ``limit`` to show on one sheet.
+    """
     def optional(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(0)
 
-    first = df.where("class = 1").orderBy(F.desc(amount_col), "id").limit(limit)
-    # Numbered after the limit: the window sees at most ``limit`` rows.
-    number = F.row_number().over(Window.orderBy(F.desc(amount_col), "id"))
-    return first.select(
-        number.alias("txn_no"),
+    wanted = [c for c in ("id", "class", amount_col, "hour_of_day", "amount_scaled", "high_value_flag", "high_risk_hour")]
+    first = df.where("class = 1").select([c for c in dict.fromkeys(wanted) if c in df.columns])
+    if limit is not None:
+        first = first.orderBy(F.desc(amount_col), "id").limit(limit)
+    falling = first.withColumns({"_missing": F.col(amount_col).isNull(), "_falling": -F.col(amount_col)})
+    numbered = with_global_index(falling, ["_missing", "_falling", "id"], "_place")
+    return numbered.orderBy("_place").select(
+        (F.col("_place") + 1).cast("int").alias("txn_no"),
         "id",
         half_up(F.col(amount_col), 2).alias("amount"),
         optional("hour_of_day").alias("hour_of_day"),

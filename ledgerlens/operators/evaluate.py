@@ -70,10 +70,12 @@ def score_table(
     ``p`` and ``f`` count the positive and negative rows, ``hit_`` those predicted positive, ``cum_``
     runs from the highest score.
 
-    Rows are counted per score before anything is ordered, so tied scores cost one row.
+    Rows are counted per score before anything is ordered, so tied scores cost one row. Rows whose score
+    is null or NaN have no place in an order and are left out, here and in everything built on this table.
     """
     by = by or []
-    per_score = scored.groupBy(*by, "prob").agg(
+    known = scored.where(F.col("prob").isNotNull() & ~F.isnan("prob"))
+    per_score = known.groupBy(*by, "prob").agg(
         F.count_if(F.col("label") == 1).alias("p"),
         F.count_if(F.col("label") == 0).alias("f"),
         F.count_if((F.col("label") == 1) & (F.col("prediction") == 1)).alias("hit_p"),
@@ -94,14 +96,18 @@ def _areas() -> list[Column]:
     ]
 
 
-def roc_auc(scored: DataFrame, digits: int = 6, limit: int = ROW_LIMIT) -> DataFrame:
-    """Exact area; null when a class is missing."""
-    return score_table(scored, limit=limit).agg(*_areas()).select(half_up(F.col("roc_auc"), digits).alias("roc_auc"))
+def roc_auc(scored: DataFrame, digits: int = 6, limit: int = ROW_LIMIT, table: DataFrame | None = None) -> DataFrame:
+    """Exact area; null when a class is missing. ``table`` is a score table made before, here and below."""
+    table = score_table(scored, limit=limit) if table is None else table
+    return table.agg(*_areas()).select(half_up(F.col("roc_auc"), digits).alias("roc_auc"))
 
 
-def average_precision(scored: DataFrame, digits: int = 6, limit: int = ROW_LIMIT) -> DataFrame:
+def average_precision(
+    scored: DataFrame, digits: int = 6, limit: int = ROW_LIMIT, table: DataFrame | None = None
+) -> DataFrame:
     """Sum of recall steps times precision."""
-    return score_table(scored, limit=limit).agg(*_areas()).select(
+    table = score_table(scored, limit=limit) if table is None else table
+    return table.agg(*_areas()).select(
         half_up(F.col("average_precision"), digits).alias("average_precision")
     )
 
@@ -113,10 +119,14 @@ def _totals(table: DataFrame) -> tuple[Column, Column]:
 
 
 def roc_curve(
-    scored: DataFrame, digits: int = 9, drop_collinear: bool = False, limit: int = ROW_LIMIT
+    scored: DataFrame,
+    digits: int = 9,
+    drop_collinear: bool = False,
+    limit: int = ROW_LIMIT,
+    table: DataFrame | None = None,
 ) -> DataFrame:
     """``threshold, fpr, tpr`` per distinct score, highest first, after the origin (threshold null)."""
-    table = score_table(scored, limit=limit, range_col="_range")
+    table = score_table(scored, limit=limit, range_col="_range") if table is None else table
     all_p, all_f = _totals(table)
     if drop_collinear:
         # A point inside a straight run goes: the step after it equals the step into it. The first
@@ -136,9 +146,11 @@ def roc_curve(
     return origin.unionByName(points).orderBy(F.desc_nulls_first("threshold"))
 
 
-def pr_curve(scored: DataFrame, digits: int = 9, limit: int = ROW_LIMIT) -> DataFrame:
+def pr_curve(
+    scored: DataFrame, digits: int = 9, limit: int = ROW_LIMIT, table: DataFrame | None = None
+) -> DataFrame:
     """``threshold, precision, recall`` per distinct score, lowest first, before the end point (1, 0)."""
-    table = score_table(scored, limit=limit)
+    table = score_table(scored, limit=limit) if table is None else table
     all_p, _ = _totals(table)
     points = table.select(
         F.col("prob").alias("threshold"),

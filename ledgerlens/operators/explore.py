@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up, percent
 from ..plans.quantiles import group_lookup, group_map, quantile_table
+from ..sources.schema import DERIVED_FEATURES
 from .features import feat_clip, feat_log_amount, with_hour
 
 CORRELATION_COLUMNS = [*[f"v{i}" for i in range(1, 15)], "amount", "class"]
-# Up to this many pairs are aggregated directly.
-MAX_PAIRS = 20
-NEW_FEATURES = [
-    "hour_of_day",
-    "high_risk_hour",
-    "amount_zscore",
-    "high_value_flag",
-    "v1_v3_interact",
-    "v4_v11_interact",
-]
 
 
 def eda_amount_stats_by_class(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -105,37 +95,51 @@ def eda_peak_hour(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, pairs: list[tuple[str, str]], digits: int = 6) -> DataFrame:
     """Pearson r of column pairs over the rows where both are present; zero variance gives null.
 
-    Few pairs are one aggregation. For many the whole matrix is computed in one pass; only pairs it
-    leaves open (a column with nulls or without variance) are aggregated one by one.
+    One scan fits the means, a second adds up centred sums and products of all columns at once: a matrix product per
+    batch, merged per cell. Null and NaN are absent values.
     """
-    done, todo = {}, pairs
-    if len(pairs) > MAX_PAIRS:
-        matrix = _matrix(df, sorted({c for pair in pairs for c in pair}))
-        done = {p: matrix[p] for p in pairs if not math.isnan(matrix[p])}
-        todo = [p for p in pairs if p not in done]
-    rows = None
-    if todo:
-        cells = [f"struct('{a}' AS column_a, '{b}' AS column_b, {_pearson(a, b)} AS r)" for a, b in todo]
-        rows = df.agg(F.expr(f"array({', '.join(cells)})").alias("cells")).select(F.inline("cells"))
-    if done:
-        known = df.sparkSession.createDataFrame(
-            [(a, b, r) for (a, b), r in done.items()], "column_a string, column_b string, r double"
-        )
-        rows = known if rows is None else known.unionByName(rows)
-    return rows.select("column_a", "column_b", half_up(F.when(~F.isnan("r"), F.col("r")), digits).alias("r"))
-
-
-def _pearson(a: str, b: str) -> str:
-    # The built-in corr fails on a constant column under ANSI rules.
-    both = f"`{a}` IS NOT NULL AND `{b}` IS NOT NULL"
-    spread = " * ".join(f"stddev_pop(`{c}`) FILTER (WHERE {both})" for c in (a, b))
-    return f"try_divide(covar_pop(`{a}`, `{b}`), {spread})"
-
-
-def _matrix(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float]:
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="keep").transform(df.select(cols))
-    values = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
-    return {(a, b): float(values[i, j]) for i, a in enumerate(cols) for j, b in enumerate(cols)}
+    cols = sorted({c for pair in pairs for c in pair})
+    means = df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c) for c in cols]).first()
+    centre = np.array([means[c] if means[c] is not None else 0.0 for c in cols])
+    size = len(cols)
+
+    def run(batches):
+        sums = np.zeros((4, size, size))
+        for batch in batches:
+            columns = [c.fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in batch.columns]
+            x = np.column_stack(columns) - centre
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype("float64")
+            # rows with both, and over these the sums of the first, of its square and of the product
+            sums += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array([sums.ravel()], pa.list_(pa.float64()))], ["sums"])
+
+    parts = df.select([F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(run, "sums array<double>")
+    cells = parts.select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v"))
+    # 4 * size * size cells, in their order
+    ordered = F.array_sort(F.collect_list(F.struct("at", "v")))
+    total = cells.agg(F.transform(ordered, lambda c: c["v"]).alias("s"))
+    listed = ", ".join(f"struct('{a}' AS column_a, '{b}' AS column_b, {cols.index(a)} AS a, {cols.index(b)} AS b)" for a, b in pairs)
+    rows = total.select("s", F.expr(f"inline(array({listed}))"))
+
+    def cell(kind: int, i: str, j: str) -> Column:
+        return F.col("s")[F.lit(kind * size * size) + F.col(i) * size + F.col(j)]
+
+    n, sum_a, sum_b = cell(0, "a", "b"), cell(1, "a", "b"), cell(1, "b", "a")
+    square_a, square_b = cell(2, "a", "b"), cell(2, "b", "a")
+    rows = rows.select(
+        "column_a",
+        "column_b",
+        (cell(3, "a", "b") - F.try_divide(sum_a * sum_b, n)).alias("product"),
+        (square_a - F.try_divide(sum_a * sum_a, n)).alias("spread_a"),
+        (square_b - F.try_divide(sum_b * sum_b, n)).alias("spread_b"),
+        (square_a * 1e-14).alias("least_a"),
+        (square_b * 1e-14).alias("least_b"),
+    )
+    # what rounding leaves of a constant column is no variance
+    varied = (F.col("spread_a") > F.col("least_a")) & (F.col("spread_b") > F.col("least_b"))
+    r = F.when(varied, F.col("product") / (F.sqrt("spread_a") * F.sqrt("spread_b")))
+    return rows.select("column_a", "column_b", half_up(r, digits).alias("r"))
 
 
 def eda_correlation_matrix(df: DataFrame, cols: list[str] = CORRELATION_COLUMNS) -> DataFrame:
@@ -163,9 +167,7 @@ def box_stats(df: DataFrame, col: str, by: str = "class", approx: bool = False,
     quartiles = quantile_table(table, "_x", [0.25, 0.5, 0.75], by=by, approx=approx)
     lookup = group_lookup(quartiles, by, F.col("quantiles"))
     q1, q2, q3 = (F.col("_q")[i] for i in range(3))
-    # The fences are compared at 9 decimals.
-    low = F.round(q1 - 1.5 * (q3 - q1), 9)
-    high = F.round(q3 + 1.5 * (q3 - q1), 9)
+    low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = F.col("_x").between(low, high)
     grouped = (
         table.withColumn("_q", lookup)
@@ -240,5 +242,5 @@ def fe_interaction_corr(df: DataFrame, cols: tuple[str, ...] = ("v1_v3_interact"
     return correlations(df, [(c, "class") for c in cols]).select(F.col("column_a").alias("feature"), "r")
 
 
-def fe_feature_corr_ranking(df: DataFrame, cols: list[str] = NEW_FEATURES) -> DataFrame:
+def fe_feature_corr_ranking(df: DataFrame, cols: list[str] = DERIVED_FEATURES) -> DataFrame:
     return top_correlated(df, cols)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import LATE_NIGHT_END, LATE_NIGHT_START, is_late_night
-from ..functions.numeric import half_up
 from ..plans.quantiles import quantile, quantile_table
 from .clean import fit_scaler, standard_scale
 
@@ -38,15 +37,13 @@ def feat_amount_zscore(df: DataFrame, out: str = "amount_zscore") -> DataFrame:
     return table.withColumn(out, F.col("amount_scaled"))
 
 
-def quantile_threshold(df: DataFrame, col: str = "amount", q: float = 0.99, approx: bool = False) -> DataFrame:
-    """One row: the q-quantile (linear interpolation) rounded to 9 decimals."""
-    table = quantile_table(df, col, [q], approx=approx)
-    return table.select(half_up(F.col("quantiles")[0], 9).alias("threshold"))
+def quantile_threshold(df: DataFrame, col: str = "amount", q: float = 0.99, approx: bool = False, **options) -> DataFrame:
+    """One row: the q-quantile (linear interpolation), as it is compared with."""
+    return quantile_table(df, col, [q], approx=approx, **options).select(F.col("quantiles")[0].alias("threshold"))
 
 
 def fit_threshold(df: DataFrame, col: str = "amount", q: float = 0.99, approx: bool = False) -> float | None:
-    value = quantile(df, col, q, approx=approx)
-    return None if value is None else round(value, 9)
+    return quantile(df, col, q, approx=approx)
 
 
 def feat_high_value_flag(
@@ -93,19 +90,23 @@ class FeatureStats:
 
 
 def fit_feature_stats(df: DataFrame, amount: str = "amount", q: float = 0.99, approx: bool = False) -> FeatureStats:
-    mean, sd = fit_scaler(df, amount)
+    mean, sd = fit_scaler(df, amount) if amount != "amount_scaled" else (0.0, 1.0)
     return FeatureStats(mean, sd, fit_threshold(df, amount, q, approx))
 
 
-def feature_pipeline(df: DataFrame, stats: FeatureStats | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def feature_pipeline(
+    df: DataFrame, stats: FeatureStats | None = None, keep: tuple[str, ...] = (), fit_on: DataFrame | None = None
+) -> DataFrame:
     """Scaled amount, time, amount and interaction features; drops the raw time and amount.
 
-    The high-value flag compares raw amounts, which flags the same rows as comparing scaled ones.
+    A cleaned table has only the scaled amount, which is then used as it is. The high-value flag compares raw amounts
+    where there are any. The numbers are fitted on ``fit_on`` (default: ``df``), for instance on the train rows alone.
     """
-    stats = stats or fit_feature_stats(df)
-    scaled = standard_scale(df, stats=(stats.mean, stats.sd))
+    amount = "amount" if "amount" in df.columns else "amount_scaled"
+    stats = stats or fit_feature_stats(df if fit_on is None else fit_on, amount)
+    scaled = standard_scale(df, stats=(stats.mean, stats.sd)) if amount == "amount" else df
     timed = feat_high_risk_hour(feat_hour_of_day(scaled))
-    valued = feat_high_value_flag(feat_amount_zscore(timed), threshold=stats.high_value)
+    valued = feat_high_value_flag(feat_amount_zscore(timed), amount, threshold=stats.high_value)
     table = feat_interactions(valued)
     return table.drop(*[c for c in ("time_seconds", "amount") if c not in keep])
 

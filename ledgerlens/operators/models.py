@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..sources.schema import FEATURES
-from .evaluate import model_metrics, union_models
+from .evaluate import model_metrics
 from .sampling import stratified_kfold
 
 # Model names and the tuning grids. Spark caps tree depth at 30, which stands for "no limit".
@@ -135,7 +135,24 @@ def train_all(
 
 
 def score_all(models: dict[str, PipelineModel], test: DataFrame, label: str = "class") -> DataFrame:
-    return union_models({name: score(model, test, label) for name, model in models.items()})
+    """The long scored table of several models (which share one assembler), in one pass over the rows."""
+    rows, cells = test, []
+    for i, (name, model) in enumerate(models.items(), start=1):
+        if i == 1:
+            rows = model.stages[0].transform(rows)
+        classifier = model.stages[-1].copy()
+        classifier.setRawPredictionCol(f"_raw{i}").setProbabilityCol(f"_prob{i}").setPredictionCol(f"_pred{i}")
+        rows = classifier.transform(rows)
+        cells.append(
+            F.struct(
+                F.lit(name).alias("model"),
+                F.lit(i).alias("position"),
+                vector_to_array(f"_prob{i}")[1].alias("prob"),
+                F.col(f"_pred{i}").cast("int").alias("prediction"),
+            )
+        )
+    long = rows.select("id", F.col(label).cast("int").alias("label"), F.explode(F.array(*cells)).alias("m"))
+    return long.select("m.model", "m.position", "id", "label", "m.prob", "m.prediction")
 
 
 def baseline_metrics(scored: DataFrame, digits: int | None = None) -> DataFrame:
@@ -192,9 +209,9 @@ def grid_table(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:
 
 
 def feature_importance(
-    spark: SparkSession, model: PipelineModel, names: list[str] = FEATURES, n: int | None = 15
+    spark: SparkSession, model: PipelineModel, names: list[str] = FEATURES, n: int | None = None
 ) -> DataFrame:
-    """``feature, importance``, largest first."""
+    """``feature, importance``, largest first; all of them, or the first ``n``."""
     weights = model.stages[-1].featureImportances.toArray()
     rows = sorted(zip(names, (float(w) for w in weights)), key=lambda r: -r[1])
     return spark.createDataFrame(rows if n is None else rows[:n], "feature string, importance double")

@@ -94,9 +94,7 @@ def q05_fraud_rate_by_hour(df: DataFrame) -> DataFrame:
 def q06_fraud_above_p95(df: DataFrame, q: float = 0.95, approx: bool = False) -> DataFrame:
     table = with_hour(_with_scaled(df)).where("class = 1")
     fraud = df.where("class = 1")
-    limit = quantile_table(fraud, "amount", [q], approx=approx).select(
-        half_up(F.col("quantiles")[0], 9).alias("limit")
-    )
+    limit = quantile_table(fraud, "amount", [q], approx=approx).select(F.col("quantiles")[0].alias("limit"))
     return (
         table.where(F.col("amount") > limit.scalar())
         .orderBy(F.desc("amount"), "id")

@@ -13,6 +13,8 @@ from ..session import materialize
 from ..sources.schema import FEATURES
 from .neighbours import nearest_neighbours
 
+COPY_BLOCK = 10_000  # synthetic rows that one task grows from one base row at a time
+
 
 def apportion(sizes: dict, share: float) -> dict:
     """Split ``ceil(share * n)`` over the classes by largest remainder."""
@@ -163,10 +165,13 @@ def smote(
         .withColumn("_h", key)
         .withColumn("_take", takes.cast("bigint"))
         .where("_take > 0")
-        # A fixed number of partitions: each base grows into many rows right after this.
-        .repartition(spread, "id")
     )
-    grown = bases.withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take"))))
+    # In two steps: blocks of numbers are spread over the tasks before each grows its own rows.
+    last = F.floor((F.col("_take") - 1) / COPY_BLOCK)
+    blocks = bases.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    blocks = blocks.repartition(spread, "id", "_block")
+    start = F.col("_block") * COPY_BLOCK + 1
+    grown = blocks.withColumn("copy_no", F.explode(F.sequence(start, F.least(F.col("_take"), start + COPY_BLOCK - 1))))
     rank = hash32(f"{seed}:neighbour", F.col("id"), F.col("copy_no")) % k + 1
     step = hash32(f"{seed}:step", F.col("id"), F.col("copy_no")) / F.lit(float(HASH_SPACE))
     drawn = grown.select(

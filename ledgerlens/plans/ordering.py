@@ -87,24 +87,22 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<name>`` for each of ``sums``, in the order of the double column ``key``.
 
-    ``counts`` has one row per (by, key); it is written once, so its input is scanned once. Up to
-    ``limit`` rows one window per group is enough; beyond that rows go to key ranges, and the totals
-    of earlier ranges are added. ``range_col`` keeps the range number (0 when there is one range).
+    ``counts`` has one row per (by, key), without null or NaN keys; it is written once, so its input is
+    scanned once. Rows go to key ranges of about ``limit`` rows, and the totals of earlier ranges are
+    added. ``range_col`` keeps the range number.
     """
     by = by or []
     direction = F.desc if descending else F.asc
     counts = materialize(counts, "totals")
     total = counts.count()
-    if total <= limit:
-        frame = Window.partitionBy(*by).orderBy(direction(key)).rowsBetween(Window.unboundedPreceding, 0)
-        summed = counts.withColumns({f"cum_{s}": F.sum(s).over(frame) for s in sums})
-        return summed.withColumn(range_col, F.lit(0.0)) if range_col else summed
     buckets = min(MAX_BUCKETS, math.ceil(total / limit) + 1)
     # A bounded sample places the range bounds; they only decide how even the ranges are.
-    sample = counts.select(key).sample(min(1.0, buckets * SAMPLE_PER_BUCKET / total), seed=42).collect()
+    share = min(1.0, buckets * SAMPLE_PER_BUCKET / max(1, total))
+    sample = counts.select(key).sample(share, seed=42).limit(2 * buckets * SAMPLE_PER_BUCKET).collect()
     keys = sorted(row[0] for row in sample)
     cuts = {keys[i * len(keys) // buckets] for i in range(1, buckets)} if keys else set()
-    edges = [-math.inf, *sorted(cuts), math.inf]
+    edges = [-math.inf, *sorted(c for c in cuts if math.isfinite(c)), 0.0, math.inf]
+    edges = sorted(set(edges))
     placed = Bucketizer(splits=edges, inputCol=key, outputCol="_bucket").transform(counts)
     per_bucket = placed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(s) for s in sums])
     before = Window.partitionBy(*by).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)

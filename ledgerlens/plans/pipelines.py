@@ -6,13 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel
 
 from ..operators import clean, dashboard, evaluate, features, models, profile
 from ..operators.sampling import resampled_splits
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from ..sources import files
 from ..sources.schema import CLEANED_SCHEMA, FEATURES
+from .ordering import with_global_index
 
 
 def inspect(df: DataFrame) -> dict[str, DataFrame]:
@@ -25,8 +25,12 @@ def inspect(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def clean_table(df: DataFrame, hash_col: str | None = None) -> DataFrame:
-    """Drop duplicates, scale the amount, drop the raw amount, label last."""
-    unique = clean.dedup_rows(df, hash_col=hash_col)
+    """Drop duplicates, number the rows, scale the amount, drop the raw amount, label last.
+
+    The id is the place of a row in the order of all its columns, so the same rows always get the same ids.
+    """
+    order = [c for c in df.columns if c != hash_col]
+    unique = with_global_index(clean.dedup_rows(df, hash_col=hash_col), order, "id").select("id", *order)
     scaled = clean.standard_scale(unique, stats=clean.fit_scaler(unique))
     return clean.reorder_label_last(clean.drop_columns(scaled, "amount"))
 
@@ -38,8 +42,9 @@ def clean_pipeline(spark: SparkSession, raw_path: str, out_path: str) -> DataFra
     hash, fitting the scaler the hash and the amount.
     """
     raw = files.raw_to_transactions(files.load_raw(spark, raw_path))
-    staged = materialize(raw.withColumn("_h", clean.row_hash(raw.columns)), "staged")
-    files.save(clean_table(staged, hash_col="_h"), out_path)
+    with scratch_scope(spark):
+        staged = materialize(raw.withColumn("_h", clean.row_hash(raw.columns)), "staged")
+        files.save(clean_table(staged, hash_col="_h"), out_path)
     return files.load_raw(spark, out_path, CLEANED_SCHEMA)
 
 
@@ -52,7 +57,8 @@ def features_and_splits(df: DataFrame, features_path: str, splits_path: str, **o
     featured = features.feature_pipeline(df)
     files.save(featured, features_path, "parquet")
     stored = spark.read.schema(featured.schema).parquet(features_path)
-    files.save_splits(resampled_splits(stored, **options), splits_path)
+    with scratch_scope(spark):
+        files.save_splits(resampled_splits(stored, **options), splits_path)
     return files.load_splits(spark, splits_path)
 
 
@@ -82,8 +88,8 @@ def ml_pipeline(
     search = models.grid_search_forest(train, feature_names, label, **tuning)
     fitted[models.TUNED] = models.best_pipeline(search, feature_names)
     files.save_model(fitted[models.TUNED], model_path)
-    scored = models.score_all(fitted, test, label)
-    metrics = evaluate.model_comparison(scored, base=models.FOREST)
+    scored = materialize(models.score_all(fitted, test, label), "scored")
+    metrics = materialize(evaluate.model_comparison(scored, base=models.FOREST), "metrics").orderBy("position")
     gain = metrics.where(metrics["name"] == models.TUNED).first()["recall_gain_pct"]
     return TrainingResult(
         scored,
@@ -98,16 +104,20 @@ def ml_pipeline(
 def evaluation_run(
     spark: SparkSession, model_path: str, splits_path: str, feature_names: list[str] = FEATURES
 ) -> dict[str, DataFrame]:
-    """Load the model and the test rows; every metric and curve as a table."""
+    """Load the model and the test rows; every metric and curve as a table.
+
+    The model is applied once and scores are counted once; the tables are made from what is stored then.
+    """
     model = files.load_model(model_path)
-    scored = models.score(model, files.load_splits(spark, splits_path, "test"))
+    scored = materialize(models.score(model, files.load_splits(spark, splits_path, "test")), "scored")
+    table = materialize(evaluate.score_table(scored, range_col="_range"), "score-table")
     return {
         "classification_report": evaluate.classification_report(scored),
         "confusion_matrix": evaluate.confusion_matrix(scored),
-        "roc_curve": evaluate.roc_curve(scored),
-        "pr_curve": evaluate.pr_curve(scored),
-        "roc_auc": evaluate.roc_auc(scored),
-        "average_precision": evaluate.average_precision(scored),
+        "roc_curve": evaluate.roc_curve(scored, table=table),
+        "pr_curve": evaluate.pr_curve(scored, table=table),
+        "roc_auc": evaluate.roc_auc(scored, table=table),
+        "average_precision": evaluate.average_precision(scored, table=table),
         "no_skill_baseline": evaluate.no_skill_baseline(scored),
         "feature_importance": models.feature_importance(spark, model, feature_names),
     }
@@ -118,7 +128,8 @@ def report_build(
 ) -> dict[str, DataFrame]:
     """All four report sections, written under ``root`` and read back.
 
-    The featured table is read by three of them and kept meanwhile.
+    The featured table is read by three of them and kept meanwhile. ``amount_col`` may be ``amount_scaled``, the only
+    amount that a cleaned table has.
     """
     spark = df.sparkSession
     featured = features.feature_pipeline(df, keep=("amount",))
@@ -127,8 +138,8 @@ def report_build(
         for c in ("id", "class", "amount", "amount_scaled", "hour_of_day", "high_risk_hour", "high_value_flag")
         if c in featured.columns
     ]
-    kept = featured.select(wanted).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with scratch_scope(spark):
+        kept = materialize(featured.select(wanted), "report-rows")
         paths = files.save_report(
             {
                 "summary": dashboard.report_summary(kept, best_scored, amount_col),
@@ -138,6 +149,4 @@ def report_build(
             },
             root,
         )
-    finally:
-        kept.unpersist()
     return files.load_report(spark, paths)

@@ -47,8 +47,6 @@ def _refine(values: DataFrame, intervals: list[_Interval], wanted: dict[_Interva
     for i, iv in enumerate(intervals):
         step = (iv.hi / bins) - (iv.lo / bins)
         last = F.lit(bins - 1).cast("bigint")
-        if not math.isfinite(step):
-            raise ValueError("quantiles need finite values")
         if step > 0:
             slot = F.least(F.floor((F.col("x") - iv.lo) / F.lit(step)), last)
         else:  # lo and hi are neighbouring doubles
@@ -84,11 +82,21 @@ def _finish(values: DataFrame, interval: _Interval, ranks: list[int]) -> dict[in
 
 
 def _order_statistics(values: DataFrame, ranges: list, ranks: dict, limit: int, bins: int) -> dict:
-    """``{(group, rank): value}`` for 0-based ranks."""
-    pending = {
-        _Interval(r.g, r.lo, r.hi, 0, r.n): sorted(ranks[r.g]) for r in ranges if ranks.get(r.g)
-    }
+    """``{(group, rank): value}`` for 0-based ranks; infinities stand before and behind the finite values."""
     out: dict = {}
+    pending: dict[_Interval, list[int]] = {}
+    for r in ranges:
+        finite = r.n - r.below - r.above
+        inside = []
+        for k in sorted(ranks.get(r.g, ())):
+            if k < r.below:
+                out[(r.g, k)] = -math.inf
+            elif k >= r.below + finite:
+                out[(r.g, k)] = math.inf
+            else:
+                inside.append(k)
+        if inside:
+            pending[_Interval(r.g, r.lo, r.hi, r.below, finite)] = inside
     while pending:
         wide: dict[_Interval, list[int]] = {}
         for iv, ks in pending.items():
@@ -122,8 +130,13 @@ def quantile_table(
     if approx:
         sketch = F.percentile_approx("x", [float(q) for q in qs], 10000)
         return values.groupBy("g").agg(sketch.alias("quantiles")).select(*names, "quantiles")
+    finite = F.when(F.abs("x") < math.inf, F.col("x"))
     ranges = values.groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
+        F.count(F.lit(1)).alias("n"),
+        F.min(finite).alias("lo"),
+        F.max(finite).alias("hi"),
+        F.count_if(F.col("x") == -math.inf).alias("below"),
+        F.count_if(F.col("x") == math.inf).alias("above"),
     ).collect()  # one row per group
     if all(r.n <= limit for r in ranges):
         exact = values.groupBy("g").agg(F.percentile("x", probs).alias("quantiles"))
@@ -144,7 +157,7 @@ def quantile_table(
             low, high = math.floor(pos), math.ceil(pos)
             a, b = stats[(r.g, low)], stats[(r.g, high)]
             # Same interpolation rule as the built-in percentile.
-            result.append(a if low == high else (high - pos) * a + (pos - low) * b)
+            result.append(a if a == b else (high - pos) * a + (pos - low) * b)
         rows.append((r.g, result))
     kind = values.schema["g"].dataType.simpleString()
     return spark.createDataFrame(rows, f"g {kind}, quantiles array<double>").select(*names, "quantiles")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,12 +65,22 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch folders this process created; returns how many were removed."""
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders made inside are deleted at the end: for work whose results are stored elsewhere by then."""
+    before = len(_scratch_paths)
+    try:
+        yield
+    finally:
+        release_scratch(spark, keep=before)
+
+
+def release_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the scratch folders this process created (but the first ``keep``); returns how many were removed."""
     jvm = spark.sparkContext._jvm
     hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    while _scratch_paths:
+    while len(_scratch_paths) > keep:
         path = jvm.org.apache.hadoop.fs.Path(_scratch_paths.pop())
         if path.getFileSystem(hadoop_conf).delete(path, True):
             removed += 1

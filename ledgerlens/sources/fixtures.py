@@ -29,8 +29,7 @@ def class_of(event_type: Column, event_id: Column) -> Column:
 def transactions(spark: SparkSession, sf_dir: str, vectors: bool = True) -> DataFrame:
     """``id, time_seconds, [v1..v28,] amount, class``.
 
-    ``vectors=False`` leaves out the V columns and with them the join that brings them in;
-    vec_id covers 0..n-1, so the rows are the same.
+    ``vectors=False`` leaves out the V columns and with them the left join that brings them in.
     """
     events = _table(spark, sf_dir, "events")
     first = events.agg(F.min("ts")).scalar()
@@ -47,7 +46,7 @@ def transactions(spark: SparkSession, sf_dir: str, vectors: bool = True) -> Data
     size = embeddings.agg(F.count(F.lit(1))).scalar()
     # The planner broadcasts the vectors only when their size is under its threshold.
     joined = base.withColumn("vec_id", F.col("id") % size).join(
-        embeddings.select("vec_id", "embedding"), "vec_id"
+        embeddings.select("vec_id", "embedding"), "vec_id", "left"
     )
     shifted = [
         f"cast(embedding[{i - 1}] as double) + class * {SIGNAL.get(i, 0.0)}D as {v}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column and feature names of the data.
 V_COLUMNS = [f"v{i}" for i in range(1, 29)]
 
 RAW_SCHEMA = T.StructType(
@@ -13,7 +14,7 @@ RAW_SCHEMA = T.StructType(
 )
 
 CLEANED_SCHEMA = T.StructType(
-    [T.StructField("time_seconds", T.DoubleType())]
+    [T.StructField("id", T.LongType()), T.StructField("time_seconds", T.DoubleType())]
     + [T.StructField(v, T.DoubleType()) for v in V_COLUMNS]
     + [T.StructField("amount_scaled", T.DoubleType()), T.StructField("class", T.IntegerType())]
 )

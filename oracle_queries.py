@@ -41,10 +41,10 @@ _VECTORS = ",\n".join(
 )
 _TABLE = f"""
 t0 as (select e.id, e.time_seconds, {_VECTORS}, e.amount, e.class
-       from e join embeddings m on m.vec_id = e.vec_id),
+       from e left join embeddings m on m.vec_id = e.vec_id),
 """
 _DERIVED = """
-st as (select avg(amount) as mu, stddev_pop(amount) as sd, round(quantile_cont(amount, 0.99), 9) as p99 from t0),
+st as (select avg(amount) as mu, stddev_pop(amount) as sd, quantile_cont(amount, 0.99) as p99 from t0),
 t as (select t0.*,
              cast(((floor(time_seconds / 3600)::bigint % 24) + 24) % 24 as integer) as hour_of_day,
              case when st.sd = 0 then 0.0 else (amount - st.mu) / st.sd end as amount_scaled,
@@ -62,6 +62,8 @@ d as (select time_seconds, {', '.join(V)}, case when id % 97 = 0 then null else
       from (select * from t0 union all select * from t0 where id % 10 = 0))
 """
 DIRTY = f"with {_EVENTS}{_TABLE}{_DIRTY}"
+_ORDER = ", ".join(f"{c} nulls first" for c in ["time_seconds", *V, "amount", "class"])
+_NUMBERED = f"un as (select *, row_number() over (order by {_ORDER}) - 1 as id from u)"
 
 
 def scored_cte(name: str, lift: int) -> str:
@@ -185,7 +187,7 @@ def box(x: str) -> str:
     return f"""{BASE}, h as (select class, {x} as x from f),
     q as (select class, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as q2, quantile_cont(x, 0.75) as q3
           from h group by class),
-    fe as (select *, round(q1 - 1.5 * (q3 - q1), 9) as lo, round(q3 + 1.5 * (q3 - q1), 9) as hi from q)
+    fe as (select *, q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from q)
     select h.class, {r('any_value(q1)', 6)} as q1, {r('any_value(q2)', 6)} as median, {r('any_value(q3)', 6)} as q3,
         {r('least(min(x) filter (where x between lo and hi), any_value(q1))', 6)} as whisker_low,
         {r('greatest(max(x) filter (where x between lo and hi), any_value(q3))', 6)} as whisker_high,
@@ -265,7 +267,7 @@ def all_queries() -> dict[str, str]:
         "splits_store": f"{SPLIT} select id, class, split from sp where split = 'test'",
         "model_store": f"{BASE} select count(*) as n_rows, count(*) as equal_rows from f",
         "report_store": f"""{BASE} select 'hourly' as section, count(distinct hour_of_day) as n_rows from f
-            union all select 'flagged', least(500, count(*)) from f where class = 1""",
+            union all select 'flagged', count(*) from f where class = 1""",
         # profiling
         "profile_shape": f"""{DIRTY} select count(*) as n_rows, cast(31 as bigint) as n_columns,
             cast(30 as bigint) as double_columns, cast(1 as bigint) as int_columns from d""",
@@ -285,9 +287,9 @@ def all_queries() -> dict[str, str]:
         "standard_scale": f"{BASE} select id, {r('amount_scaled', 6)} as amount_scaled from f",
         "drop_columns": f"{BASE} select id, {', '.join(V)}, class from f",
         "reorder_label_last": f"{BASE} select id, time_seconds, amount, class from f",
-        "clean_run": f"""{DIRTY}, u as (select distinct * from d),
+        "clean_run": f"""{DIRTY}, u as (select distinct * from d), {_NUMBERED},
             us as (select avg(amount) as mu, stddev_pop(amount) as sd from u)
-            select time_seconds, {', '.join(V)}, {r('(amount - mu) / sd', 6)} as amount_scaled, class from u, us""",
+            select id, time_seconds, {', '.join(V)}, {r('(amount - mu) / sd', 6)} as amount_scaled, class from un, us""",
         "filter_class": f"{BASE} select id, {raw} from f where class = 1",
         # features
         "feat_hour_of_day": f"{BASE} select id, hour_of_day from f",
@@ -313,7 +315,7 @@ def all_queries() -> dict[str, str]:
         "q05_fraud_rate_by_hour": f"""{BASE} select hour_of_day, count(*) as total_transactions,
             cast(sum(class) as bigint) as fraud_count, {pct('sum(class)', 'count(*)', 4)} as fraud_rate_pct
             from f group by hour_of_day""",
-        "q06_fraud_above_p95": f"""{BASE}, l as (select {r('quantile_cont(amount, 0.95)', 9)} as p95 from f where class = 1)
+        "q06_fraud_above_p95": f"""{BASE}, l as (select quantile_cont(amount, 0.95) as p95 from f where class = 1)
             select id, {r('amount', 2)} as amount_usd, hour_of_day, {r('amount_scaled', 6)} as amount_scaled
             from f join l on f.amount > l.p95 where class = 1""",
         "q07_time_blocks": f"""{BASE} select case when hour_of_day between 0 and 5 then '00:00–05:59 (Night)'
@@ -431,11 +433,11 @@ def all_queries() -> dict[str, str]:
         "report_flagged": f"""{BASE} select cast(row_number() over (order by amount desc, id) as integer) as txn_no, id,
             {r('amount', 2)} as amount, hour_of_day, {r('amount_scaled', 4)} as amount_scaled,
             {flagged_level} as risk_level, '✓ FRAUD' as confirmed_fraud
-            from f where class = 1 qualify txn_no <= 500""",
+            from f where class = 1""",
         "report_model_table": f"""{METRICS} select name, {r('roc_auc', 4)} as roc_auc, {r('recall', 4)} as recall,
             {r('precision', 4)} as precision, {r('f1', 4)} as f1,
             row_number() over (order by mm.roc_auc desc, position) = 1 as is_best from mm""",
         "report_build": f"""{BASE} select 'summary' as section, cast(1 as bigint) as n_rows union all
             select 'hourly', count(distinct hour_of_day) from f union all
-            select 'flagged', least(500, count(*)) from f where class = 1 union all select 'models', 2""",
+            select 'flagged', count(*) from f where class = 1 union all select 'models', 2""",
     }
