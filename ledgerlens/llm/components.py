@@ -10,18 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .marks import few_tasks
 
 
-def _star(pairs: DataFrame, large: bool) -> DataFrame:
-    """One step over directed pairs (u, v): each kept neighbour of u is linked to the least node around u."""
-    least = materialize(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low")), "star-least")
+TASK_LINKS = 100_000
+
+
+def _star(pairs: DataFrame, large: bool, size: int) -> DataFrame:
+    """One step over at most ``size`` directed pairs (u, v): each kept neighbour of u is linked to the least around u."""
+    least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
+    least = materialize(few_tasks(least, size, TASK_LINKS), "star-least")
     joined = pairs.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
     else:
         own = least.where("u <> low").select("u", F.col("low").alias("v"))
         out = joined.select(F.col("v").alias("u"), F.col("low").alias("v")).unionByName(own)
-    return out.where("u <> v").distinct()
+    return materialize(few_tasks(out.where("u <> v").distinct(), size, TASK_LINKS), "star-links")
 
 
 def _all_stars(edges: DataFrame) -> bool:
@@ -39,12 +44,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     nodes = edges.where("u = v").select("u").distinct()
-    edges = materialize(edges.where("u <> v").distinct(), "star-edges")
+    size = 2 * links.count()
+    edges = materialize(few_tasks(edges.where("u <> v").distinct(), size, TASK_LINKS), "star-links")
     while not _all_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        edges = materialize(_star(both, large=True), "star-large")
+        edges = _star(both, True, size)
         downward = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        edges = materialize(_star(downward, large=False), "star-small")
+        edges = _star(downward, False, size)
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = found.select("component").unionByName(nodes.select(F.col("u").alias("component"))).distinct()
     roots = roots.join(found.select(F.col("node").alias("component")).distinct(), "component", "left_anti")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
 
+def few_tasks(df: DataFrame, rows: int, per_task: int) -> DataFrame:
+    """``df`` (at most ``rows`` rows) in no more tasks than ``per_task`` rows for each call for."""
+    return df.coalesce(max(1, math.ceil(rows / per_task)))
+
+
 def text_hash(text: Column) -> Column:
     """With a key, tells rows apart that share the key."""
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))

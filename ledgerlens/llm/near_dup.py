@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
-from .marks import keep_marked, text_hash
+from .marks import few_tasks, keep_marked, text_hash
 from .words import NOT_SPACE, grams, mix, slices, word_hashes
 
 SHINGLE = 5
@@ -37,6 +37,7 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # sketch parameters b, a and q
 THRESHOLD = (85, 100)
 ERRORS = 5  # standard errors that the likelihood estimate may be off
+TASK_ROWS, TASK_SETS, TASK_PAIRS = 50_000, 4_000, 4_000  # rows of small steps that a task takes
 BROADCAST_ROWS = 200_000  # classes whose rows may be looked up by a broadcast table; more are shuffled
 
 _rng = np.random.default_rng(77)
@@ -212,17 +213,17 @@ def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFra
                 )
 
     made = found.select("text", "class", "n_shingles", "print1").mapInArrow(run, "class bigint, shingles array<bigint>")
-    return materialize(made.dropDuplicates(["class"]), "shingle-sets")
+    return materialize(few_tasks(made.dropDuplicates(["class"]), count, TASK_SETS), "shingle-sets")
 
 
-def _decided(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked, by their full sets; stored."""
+def _decided(pairs: DataFrame, sets: DataFrame, count: int) -> DataFrame:
+    """Of ``count`` pairs (a, b) those that are linked, by their full sets; stored."""
     of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias(f"s{name}"))
     joined = pairs.join(of("b"), "b").join(of("a"), "a")
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     counted = joined.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).cast("long").alias("sizes"))
     counted = counted.where(_linked(F.col("both"), F.col("sizes") - F.col("both")))
-    return materialize(counted.select("a", "b"), "linked-pairs")
+    return materialize(few_tasks(counted.select("a", "b"), count, TASK_PAIRS), "linked-pairs")
 
 
 def _linked(both: Column, either: Column) -> Column:
@@ -238,16 +239,17 @@ def _open_rows(placed: DataFrame) -> DataFrame:
     return materialize(placed.join(several, "bucket"), "open-rows")
 
 
-def _lead_pairs(rows: DataFrame) -> DataFrame:
+def _lead_pairs(rows: DataFrame, size: int) -> DataFrame:
     """(a, b): the leading class of each open bucket with the bucket's classes of other components.
 
     The leading class is the one that meets the most others in all its buckets: in a group of near copies, the text
     that they were made from.
     """
-    degree = materialize(rows.groupBy("class").agg(F.sum("size").alias("degree")), "degrees")
+    degree = rows.groupBy("class").agg(F.sum("size").alias("degree"))
+    degree = materialize(few_tasks(degree, size, TASK_ROWS), "degrees")
     order = F.struct("degree", (-F.col("class")).alias("first"), "component")
     leads = rows.join(degree, "class").groupBy("bucket").agg(F.max(order).alias("lead"))
-    joined = rows.join(materialize(leads, "leads"), "bucket").where("component <> lead.component")
+    joined = rows.join(materialize(few_tasks(leads, size, TASK_ROWS), "leads"), "bucket").where("component <> lead.component")
     return joined.select((-F.col("lead.first")).alias("a"), F.col("class").alias("b")).distinct()
 
 
@@ -260,16 +262,20 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     look for partners.
     """
     whole = sets.select("class", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    often = materialize(whole.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "shingle-counts")
+    size = sets.agg(F.sum(F.size("shingles"))).first()[0]
+    often = whole.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    often = materialize(few_tasks(often, size, TASK_ROWS), "shingle-counts")
     rank = F.row_number().over(Window.partitionBy("class").orderBy("often", "shingle"))
     ranked = whole.join(often, "shingle").withColumn("at", rank)
     # the longest prefix, for a partner of the least size that may be linked
     least = F.ceil(F.col("n") * THRESHOLD[0] / THRESHOLD[1])
     first = ranked.where((F.col("at") <= F.col("n") - least + 1) & (F.col("often") > 1))
     component = rows.select("class", "component").distinct()
-    first = materialize(first.join(component, "class").select("shingle", "class", "component", "n", "at"), "prefixes")
+    first = first.join(component, "class").select("shingle", "class", "component", "n", "at")
+    first = materialize(few_tasks(first, size, TASK_ROWS), "prefixes")
     by = first.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("count"))
-    main = materialize(by.groupBy("shingle").agg(F.max(F.struct("count", "component")).alias("main")), "main-components")
+    main = by.groupBy("shingle").agg(F.max(F.struct("count", "component")).alias("main"))
+    main = materialize(few_tasks(main, size, TASK_ROWS), "main-components")
     seeking = first.join(main, "shingle").where("component <> main.component").drop("main")
     other = first.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("class", "component", "n", "at")])
     needed = f"ceil((n + o_n) * {THRESHOLD[0]} / {THRESHOLD[0] + THRESHOLD[1]})"
@@ -291,17 +297,21 @@ def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame) -> Dat
         placed = sketch.select("class", F.explode(F.slice("bands", 1, count)).alias("bucket"))
         placed = placed.join(found.withColumnRenamed("node", "class"), "class", "left")
         rows = _open_rows(placed.select("bucket", "class", F.coalesce("component", "class").alias("component")))
-        if rows.isEmpty():
+        size = rows.count()
+        if not size:
             continue
         if step == "rest":
             wanted = rows.select("class").distinct()
             sets = _sets(df, key, text, sketch, wanted, wanted.count())
-            pairs = _prefix_pairs(rows, sets)
+            pairs = materialize(_prefix_pairs(rows, sets), "prefix-pairs")
+            count = pairs.count()
         else:
-            pairs = materialize(_plausible(_lead_pairs(rows), sketch), "plausible-pairs")
+            pairs = few_tasks(_plausible(_lead_pairs(rows, size), sketch), size, TASK_ROWS)
+            pairs = materialize(pairs, "plausible-pairs")
+            count = pairs.count()
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-            sets = _sets(df, key, text, sketch, wanted, 2 * pairs.count())
-        new = _decided(pairs, sets)
+            sets = _sets(df, key, text, sketch, wanted, 2 * count)
+        new = _decided(pairs, sets, count)
         if new.isEmpty():
             continue
         linked = new if linked is None else linked.unionByName(new)
