@@ -129,11 +129,20 @@ def roc_curve(
     table = score_table(scored, limit=limit, range_col="_range") if table is None else table
     all_p, all_f = _totals(table)
     if drop_collinear:
-        # A point inside a straight run goes: the step after it equals the step into it. The first
-        # and last point of every key range stay.
+        # A point inside a straight run goes: the step after it equals the step into it. The step after
+        # the last point of a key range is the first of the next range (one row for each range).
         order = Window.partitionBy("_range").orderBy(F.desc("prob"))
-        table = table.withColumns(
-            {"_first": F.lag("p").over(order).isNull(), "_p": F.lead("p").over(order), "_f": F.lead("f").over(order)}
+        ranges = Window.orderBy(F.desc("_range"))
+        heads = table.groupBy("_range").agg(F.max_by(F.struct("p", "f"), "prob").alias("_head"))
+        heads = heads.select(
+            "_range", F.lead("_head").over(ranges).alias("_after"), (F.row_number().over(ranges) == 1).alias("_top")
+        )
+        table = table.join(F.broadcast(heads), "_range").withColumns(
+            {
+                "_first": F.col("_top") & F.lag("p").over(order).isNull(),
+                "_p": F.coalesce(F.lead("p").over(order), F.col("_after.p")),
+                "_f": F.coalesce(F.lead("f").over(order), F.col("_after.f")),
+            }
         ).where(F.col("_first") | F.col("_p").isNull() | (F.col("_p") != F.col("p")) | (F.col("_f") != F.col("f")))
     points = table.select(
         F.col("prob").alias("threshold"),

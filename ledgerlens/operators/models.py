@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from contextlib import contextmanager
 
 from pyspark.ml import Model, PipelineModel
@@ -19,14 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..session import materialize
 from ..sources.schema import FEATURES
 from .evaluate import model_metrics
-from .sampling import stratified_kfold
+from .sampling import stratified_kfold, stratified_split
 
 # Model names and the tuning grids. Spark caps tree depth at 30, which stands for "no limit".
 LOGREG, TREE, FOREST, BOOSTED = "Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting"
 TUNED = "Random Forest (Tuned)"
 FULL_DEPTH = 30
+TASK_ROWS = 8_000
 FULL_GRID = {
     "numTrees": [100, 200, 300],
     "maxDepth": [FULL_DEPTH, 10, 20],
@@ -46,8 +49,12 @@ def _assembler(features: list[str]) -> VectorAssembler:
 
 @contextmanager
 def _ready(train: DataFrame, features: list[str], *keep: str):
-    """The assembled training rows, kept while a model passes over them again and again."""
-    rows = _assembler(features).transform(train).select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
+    """The assembled training rows, kept while a model passes over them again and again.
+
+    A model makes thousands of short passes, so a small table is not spread over more tasks than it fills.
+    """
+    rows = _assembler(features).transform(train).select("features", *keep)
+    rows = rows.coalesce(max(1, math.ceil(train.count() / TASK_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
     finally:
@@ -169,12 +176,19 @@ def grid_search_forest(
     parallelism: int = 2,
     keys: tuple[str, ...] = ("id", "copy_no"),
     metric: str = "recallByLabel",
+    fit_rows: int | None = None,
     **params,
 ) -> CrossValidatorModel:
-    """Cross-validated grid over the forest, scored on the recall of class 1, refitted on all rows.
+    """Cross-validated grid over the forest, scored on the recall of class 1, refitted on the same rows.
 
-    The minimum rows to split a node has no Spark parameter, so the grid has no such axis.
+    The minimum rows to split a node has no Spark parameter, so the grid has no such axis. ``fit_rows`` bounds the
+    labelled rows that the search fits on: those with the lowest hash, each class in its share.
     """
+    if fit_rows is not None and (total := df.count()) > fit_rows:
+        share = fit_rows / total
+        keyed = df.withColumn("_tie", F.concat_ws(":", *[F.col(c).cast("string") for c in keys]))
+        sampled = stratified_split(keyed.drop("split"), label, share, seed, id_col="_tie")
+        df = materialize(sampled.where("split = 'test'").drop("split", "_tie"), "fit-rows")
     folded = stratified_kfold(df, label, folds, seed, keys)
     classifier = forest(seed=seed, label=label, **params)
     builder = ParamGridBuilder()

@@ -66,6 +66,23 @@ _ORDER = ", ".join(f"{c} nulls first" for c in ["time_seconds", *V, "amount", "c
 _NUMBERED = f"un as (select *, row_number() over (order by {_ORDER}) - 1 as id from u)"
 
 
+# The chain: repeated raw rows, cleaned and numbered, then the features of the scaled amount.
+_RAW = f"""
+d as (select time_seconds, {', '.join(V)}, amount, class from (select * from t0 union all select * from t0 where id % 10 = 0)),
+u as (select distinct * from d),
+{_NUMBERED},
+us as (select avg(amount) as mu, stddev_pop(amount) as sd from u),
+cl as (select un.* exclude (amount), (amount - mu) / sd as amount_scaled from un, us),
+st as (select quantile_cont(amount_scaled, 0.99) as p99 from cl),
+t as (select cl.*, cast(((floor(time_seconds / 3600)::bigint % 24) + 24) % 24 as integer) as hour_of_day,
+             amount_scaled as amount_zscore, cast(case when amount_scaled > p99 then 1 else 0 end as integer) as high_value_flag,
+             v1 * v3 as v1_v3_interact, v4 * v11 as v4_v11_interact from cl, st),
+f as (select *, cast(case when hour_of_day >= 23 or hour_of_day <= 4 then 1 else 0 end as integer) as high_risk_hour
+      from t)
+"""
+CHAIN = f"with {_EVENTS}{_TABLE}{_RAW}"
+
+
 def scored_cte(name: str, lift: int) -> str:
     p = f"((id * 37) % 101 + {lift} * class) / {101 + lift}.0::double"
     return f"""{name} as (select id, class as label, {p} as prob,
@@ -205,8 +222,19 @@ def correlations(pairs: list[tuple[str, str]], head: str = "column_a, column_b,
 CORR_COLUMNS = [*V[:14], "amount", "class"]
 
 
+# What the baselines fit: trees, depth setting, iterations.
+FITTED = {
+    "Logistic Regression": (0, 0, 1000),
+    "Decision Tree": (1, 10, 0),
+    "Random Forest": (100, 30, 0),
+    "Gradient Boosting": (100, 6, 100),
+}
+
+
 def trained(name: str) -> str:
+    trees, depth, iterations = FITTED[name]
     return f"""{TESTED} select '{name}' as name, n as n_test, frauds as test_fraud, n as valid_prob,
+        {trees} as n_trees, {depth} as depth_setting, {iterations} as iterations, true as fitted_right,
         true as auc_above_floor from ts"""
 
 
@@ -254,12 +282,15 @@ def all_queries() -> dict[str, str]:
         ["id", *V, f"{r('amount_scaled', 6)} as amount_scaled", "class", "hour_of_day", "high_risk_hour",
          f"{r('amount_zscore', 6)} as amount_zscore", "high_value_flag", "v1_v3_interact", "v4_v11_interact"]
     )
+    combinations = [
+        f"featureSubsetStrategy={f}, maxDepth={d}, minInstancesPerNode={m}, numTrees={t}"
+        for t in (100, 200, 300) for d in (30, 10, 20) for m in (1, 2) for f in ("sqrt", "log2")
+    ]
     grid = values(
-        "combination, params, recall_in_range",
-        [(i, f"maxDepth={d}, numTrees={t}", True) for i, (t, d) in enumerate([(5, 5), (5, 8), (10, 5), (10, 8)])],
+        "combination, params, recall_in_range, best_is_highest", [(i, c, True, True) for i, c in enumerate(combinations)]
     )
     baselines = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting"]
-    return {
+    found = {
         # sources and sinks
         "src_csv_raw": f"{BASE} select {raw} from f",
         "src_table": f"{BASE} select id, time_seconds, amount, class, hour_of_day from f",
@@ -391,13 +422,17 @@ def all_queries() -> dict[str, str]:
         "train_tree": trained(baselines[1]),
         "train_forest": trained(baselines[2]),
         "train_gbt": trained(baselines[3]),
-        "score": f"{BASE} select count(*) as n_rows, count(*) as valid_prob, count(*) as consistent_rows from f",
-        "train_all": compared(baselines),
+        "score": f"{BASE} select count(*) as n_rows, count(*) as valid_prob, count(*) as consistent_rows, count(*) as rule_rows from f",
+        "train_all": f"""{TESTED}, mo as ({values('name, position, auc_above_floor, n_trees',
+            [(n, i + 1, True, FITTED[n][0]) for i, n in enumerate(baselines)])})
+            select name, position, auc_above_floor, n as n_test, frauds as test_fraud, n_trees from mo, ts""",
         "grid_search_forest": f"""{SPLIT}, tr as (select 2 * count(*) as n_train from sp where split = 'train' and class = 0),
-            gr as ({grid}) select combination, params, n_train, recall_in_range from gr, tr""",
+            gr as ({grid}) select combination, params, n_train, recall_in_range, best_is_highest from gr, tr""",
         "feature_importance": f"""{BASE} select count(*) as n_rows, cast(35 as bigint) as n_features,
-            1.0::double as total_importance, true as signal_found from f""",
-        "ml_run": compared([*baselines, "Random Forest (Tuned)"]),
+            1.0::double as total_importance, true as signal_found, 100 as n_trees from f""",
+        "ml_run": compared([*baselines, "Random Forest (Tuned)"]).replace(
+            "frauds as test_fraud", "frauds as test_fraud, cast(35 as bigint) as n_importances, cast(36 as bigint) as n_combinations"
+        ),
         # evaluation
         "confusion_matrix": f"""{CM} select 'TN' as cell, 0 as actual, 0 as predicted, tn as n from cm
             union all select 'FP', 0, 1, fp from cm union all select 'FN', 1, 0, fn from cm
@@ -417,7 +452,7 @@ def all_queries() -> dict[str, str]:
         "best_model": f"""{METRICS} select name, {r('roc_auc', 6)} as roc_auc, {r('recall', 6)} as recall,
             {r('precision', 6)} as precision, {r('f1', 6)} as f1 from mm order by mm.roc_auc desc, position limit 1""",
         "evaluation_run": f"""{TESTED}, se as ({values('section, n_rows', [('classification_report', 5),
-            ('confusion_matrix', 4), ('roc_auc', 1), ('average_precision', 1), ('no_skill_baseline', 1)])})
+            ('confusion_matrix', 4), ('roc_auc', 1), ('average_precision', 1), ('no_skill_baseline', 1), ('feature_importance', 35)])})
             select section, cast(n_rows as bigint) as n_rows, n as test_rows from se, ts""",
         # report tables
         "report_summary": f"""{CM}, {curve()}, au as (select {AUC} as a from c),
@@ -441,3 +476,46 @@ def all_queries() -> dict[str, str]:
             select 'hourly', count(distinct hour_of_day) from f union all
             select 'flagged', count(*) from f where class = 1 union all select 'models', 2""",
     }
+    return {**found, **variants(found)}
+
+
+def variants(found: dict[str, str]) -> dict[str, str]:
+    """Other forms of the operators: over small ranges, as text, on the scaled amount, fitted on the train rows."""
+    ranged = ["roc_auc", "average_precision", "roc_curve", "pr_curve", "quantile_threshold", "q09_fraud_streaks", "smote_knn"]
+    key = hash32("42", "id")
+    label = {0: "Legitimate", 1: "Fraud"}
+    chain = SPLIT.replace(BASE, CHAIN)
+    summary = f"({found['report_summary']})"
+    dollars = lambda c: f"'$' || printf('%.2f', {c})"
+    texts = {
+        "Total Transactions": "format('{:,}', total)", "Fraudulent": "format('{:,}', fraud)",
+        "Fraud Rate": "printf('%.4f', fraud_rate) || '%'", "Model ROC-AUC": "printf('%.4f', roc_auc)",
+        "Recall (Fraud)": "printf('%.4f', recall)", "F1-Score (Fraud)": "printf('%.4f', f1)",
+        "Avg. Legit Amount": dollars("avg_legit_amt"), "Avg. Fraud Amount": dollars("avg_fraud_amt"),
+        "Max Fraud Amount": dollars("max_fraud_amt"),
+    }
+    return {
+        **{f"{name}_ranged": found[name] for name in ranged},
+        "clean_pipeline": found["clean_run"],
+        "feature_pipeline": found["feature_run"],
+        "chain_run": f"""{chain}, ts as (select count(*) as n from sp where split = 'test')
+            select id, class, split, hour_of_day, high_value_flag, {r('amount_scaled', 6)} as amount_scaled,
+                   n as test_rows, true as auc_above_floor from sp, ts""",
+        "confusion_square": f"""{CM} select 'Actual {label[0]}' as "row", tn as predicted_0, fp as predicted_1 from cm
+            union all select 'Actual {label[1]}', fn, tp from cm""",
+        "report_summary_formatted": f"with su as {summary} " + " union all ".join(
+            f"select '{name}' as metric, {text} as value from su" for name, text in texts.items()
+        ),
+        "report_summary_scaled": found["report_summary"]
+        .replace("avg(amount) filter", "avg(amount_scaled) filter").replace("max(amount) filter", "max(amount_scaled) filter"),
+        "removed_rows": f"""{DIRTY}, u as (select count(*) as n from (select distinct * from d))
+            select count(*) as rows_before, any_value(n) as rows_after, count(*) - any_value(n) as removed from d, u""",
+        "dedup_lowest_id": f"""{BASE} select min(id) as id, cast(floor(time_seconds / 7200) as bigint) as time_seconds,
+            round(amount, -1) as amount, class from f group by 2, 3, 4""",
+        "split_by_threshold": f"""{BASE} select id, class, case when {key} < 858993459 then 'test' else 'train' end as split
+            from f""",
+        "feature_run_train_fit": f"""{SPLIT}, tf as (select avg(amount) as mu, stddev_pop(amount) as sd,
+                quantile_cont(amount, 0.99) as p99 from sp where split = 'train')
+            select id, split, {r('(amount - tf.mu) / tf.sd', 6)} as amount_scaled,
+                   cast(case when amount > tf.p99 then 1 else 0 end as integer) as high_value_flag from sp, tf""",
+    }

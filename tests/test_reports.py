@@ -77,17 +77,6 @@ def test_histogram_counts_everything(spark, sf_check):
     assert [r.n for r in rows] == [0, 0, 2, 0] and rows[0].bin_start == 1.5 and rows[-1].bin_end == 2.5
 
 
-def test_correlation_paths_agree(spark, sf_small, monkeypatch):
-    df = fixtures.transactions(spark, sf_small).withColumn("amount", F.when(F.col("id") % 10 != 0, F.col("amount")))
-    df = df.withColumn("v2", F.lit(1.0))
-    cols = ["v1", "v2", "v3", "amount", "class"]
-    direct = explore.eda_correlation_matrix(df, cols).collect()
-    monkeypatch.setattr(explore, "MAX_PAIRS", 0)
-    matrix = explore.eda_correlation_matrix(df, cols).collect()
-    assert sorted(map(str, direct)) == sorted(map(str, matrix))
-    assert {r.r for r in direct if "v2" in (r.column_a, r.column_b)} == {None}
-
-
 def test_box_of_constant_values(spark):
     df = spark.createDataFrame([(1, 3.0)] * 4, "class int, amount double")
     row = explore.eda_box_stats(df).first()
