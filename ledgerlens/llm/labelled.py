@@ -20,6 +20,9 @@ ROUND_ROWS = 4_000  # row visits of a shard in a round at least, by up to ten pa
 
 State = dict[str, np.ndarray]
 
+#: Columns of feature rows: order and label of the sampled row, its sparse features, its dense ones.
+ROWS = "order bigint, label float, index array<int>, dense array<float>"
+
 
 def remainder(key: Column, parts: int) -> Column:
     """crc32 of the key as text, modulo ``parts``."""
@@ -118,9 +121,13 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
 
 
 def sampled_texts(df: DataFrame, picked: DataFrame, key: str, columns: list[Column]) -> DataFrame:
-    """The sampled rows of ``df`` with their label and order; the sample is at most ``SAMPLE_ROWS`` narrow rows."""
+    """One row of ``df`` for each sampled key, with label and order: of rows with one key, the least.
+
+    The sample is a bounded number of narrow rows, so it may be broadcast.
+    """
     joined = df.join(F.broadcast(picked), df[key] == picked["sample_key"])
-    return joined.select(*columns, picked["label"].cast("float").alias("label"), picked["order"])
+    rows = joined.select(F.struct(*columns).alias("row"), picked["label"], picked["order"])
+    return rows.groupBy("order", "label").agg(F.min("row").alias("row")).select("row.*", "label", "order")
 
 
 def sigmoid(x):

@@ -15,6 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import labelled
 from .words import raw, slices
 
@@ -65,15 +66,15 @@ def fit(df: DataFrame, label: str, usable: Column, key: str = "doc_id", text: st
     Without any there is no language. The sums that the regressions need are added up in the tasks; only they and the
     landmarks reach the driver.
     """
-    picked = labelled.sample(df, label, usable, key, TRAINING_ROWS).withColumnRenamed("label", "language")
-    joined = df.join(F.broadcast(picked), df[key] == picked["sample_key"])
-    texts = joined.select(df[text].cast("string").alias("text"), picked["language"].cast("string").alias("language"), picked["order"])
-    languages = sorted(r[0] for r in picked.select(F.col("language").cast("string")).distinct().collect())
+    picked = labelled.sample(df, label, usable, key, TRAINING_ROWS)
+    texts = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
+    texts = materialize(texts.select("text", F.col("label").cast("string").alias("language"), "order"), "language-sample")
+    languages = sorted(r[0] for r in texts.select("language").distinct().collect())
     if not languages:
         return {"languages": [], "landmarks": np.zeros((0, 1 << BITS), np.float32), "weights": np.zeros((0, 0))}
     place = F.row_number().over(Window.partitionBy("language").orderBy("order"))
-    first = picked.withColumn("place", place).where(F.col("place") <= max(1, LANDMARKS // len(languages)))
-    chosen = texts.join(F.broadcast(first.select("order")), "order", "left_semi").orderBy("order").select("text", "language")
+    numbered = texts.withColumn("place", place).where(F.col("place") <= max(1, LANDMARKS // len(languages)))
+    chosen = numbered.orderBy("order").select("text")
     landmarks = presence(pa.array([r["text"] or "" for r in chosen.collect()], pa.string())).astype(np.float32)
     shared = df.sparkSession.sparkContext.broadcast(landmarks)
 
@@ -98,7 +99,7 @@ def fit(df: DataFrame, label: str, usable: Column, key: str = "doc_id", text: st
     square, right = total[: m * m].reshape(m, m), total[m * m :].reshape(m, -1)
     size = np.maximum(landmarks.sum(1), 1)
     between = (landmarks @ landmarks.T / np.sqrt(np.outer(size, size))).astype(np.float64)
-    rows = max(1, picked.count())
+    rows = max(1, texts.count())
     weights = np.linalg.solve(square + RIDGE * rows / m * between + 1e-6 * np.eye(m), right)
     return {"languages": languages, "landmarks": landmarks, "weights": weights.astype(np.float32)}
 

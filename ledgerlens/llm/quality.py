@@ -179,7 +179,7 @@ def fit(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(3).slice(at, n),
-                        batch.column(2).slice(at, n),
+                        batch.column(2).slice(at, n).cast(pa.float32()),
                         pa.ListArray.from_arrays(pa.array(stops), pa.array(index.astype(np.int32))),
                         pa.ListArray.from_arrays(pa.array(wide), pa.array(dense.ravel())),
                     ],
@@ -187,7 +187,7 @@ def fit(
                 )
 
     rows = labelled.sampled_texts(df, picked, key, _columns(df, text, metadata))
-    shards = labelled.pack(rows.mapInArrow(run, "order bigint, label float, index array<int>, dense array<float>"), picked.count())
+    shards = labelled.pack(rows.mapInArrow(run, labelled.ROWS), picked.count())
     wide = len(STATISTICS)
     flat = shards.select(F.posexplode("dense").alias("at", "x")).groupBy(F.pmod("at", F.lit(wide)).alias("at"))
     moments = {r["at"]: r for r in flat.agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")).collect()}

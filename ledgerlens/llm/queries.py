@@ -121,6 +121,25 @@ ORACLES = {
                coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
         from docs left join hit using (rid) left join told using (rid)
     """,
+    "op6_near_dedup": rf"""
+        with recursive docs as (
+            select row_number() over () as rid, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w
+            from documents),
+        shingles as (
+            select distinct rid, array_to_string(w[i:i + 4], ' ') as s
+            from (select rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from docs where len(w) > 0)),
+        sizes as (select rid, count(*) as n from shingles group by rid),
+        shared as (select a.rid as a, b.rid as b, count(*) as n
+                   from shingles a join shingles b on a.s = b.s and a.rid < b.rid group by 1, 2),
+        links as (select s.a, s.b from shared s join sizes x on x.rid = s.a join sizes y on y.rid = s.b
+                  where 100 * s.n >= 85 * (x.n + y.n - s.n)),
+        reach as (
+            select rid as a, rid as b from docs
+            union select r.a, l.b from reach r join (select a, b from links union all select b, a from links) l on l.a = r.b),
+        least as (select r.a as rid, min(d.doc_id) as component_id from reach r join docs d on d.rid = r.b group by r.a)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+        from docs join least using (rid) left join sizes using (rid)
+    """,
     "op10_exact_dedup": """
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
                doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256

@@ -88,7 +88,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(2).slice(at, len(texts)),
-                        batch.column(1).slice(at, len(texts)),
+                        batch.column(1).slice(at, len(texts)).cast(pa.float32()),
                         pa.ListArray.from_arrays(pa.array(stops), pa.array(index.astype(np.int32))),
                         pa.array([[]] * len(texts), pa.list_(pa.float32())),
                     ],
@@ -96,7 +96,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
                 )
 
     rows = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
-    schema = "order bigint, label float, index array<int>, dense array<float>"
+    schema = labelled.ROWS
     made = materialize(rows.mapInArrow(run, schema), "toxicity-features")
     kept = _frequent(made)
     shared = df.sparkSession.sparkContext.broadcast(kept)
