@@ -22,7 +22,7 @@ from .words import ALNUM, mix, slices, word_hashes
 BITS = 24  # hash space of the features
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 2.0, 0.0
 ROUNDS = 6
-LEAST_ROWS = 4  # rarer features of the sample are left out: the L1 term would hold them at zero anyway
+LEAST_ROWS, LEAST_SHARE = 4, 1 / 2500  # features in fewer rows, or a smaller share of the rows, of the sample are left out
 SKIP_SEED, PAIR_SEED = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -98,7 +98,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
     rows = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
     schema = labelled.ROWS
     made = materialize(rows.mapInArrow(run, schema), "toxicity-features")
-    kept = _frequent(made)
+    kept = _frequent(made, max(LEAST_ROWS, int(picked.count() * LEAST_SHARE)))
     shared = df.sparkSession.sparkContext.broadcast(kept)
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,21 +124,24 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
     return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w[some].astype(np.float32)}
 
 
-def _frequent(made: DataFrame) -> np.ndarray:
-    """The features that stand in at least ``LEAST_ROWS`` rows of the sample; one small count for each reaches the driver."""
+def _frequent(made: DataFrame, least: int) -> np.ndarray:
+    """The features that stand in at least ``least`` rows of the sample; one small count for each reaches the driver.
+
+    The L1 term would hold the weights of most others at zero anyway.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BITS, dtype=np.uint8)
         for batch in batches:
             at, seen = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
-            counts[at] = np.minimum(counts[at] + seen, LEAST_ROWS)
+            counts[at] = np.minimum(counts[at] + seen, least)
         packed = zlib.compress(counts.tobytes(), 1)
         yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["counts"])
 
     total = np.zeros(1 << BITS, dtype=np.uint16)
     for row in made.select("index").mapInArrow(run, "counts binary").collect():
         total += np.frombuffer(zlib.decompress(bytes(row["counts"])), dtype=np.uint8)
-    return np.flatnonzero(total >= LEAST_ROWS)
+    return np.flatnonzero(total >= least)
 
 
 def score(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
