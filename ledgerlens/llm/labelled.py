@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 SAMPLE_ROWS = 20_000  # labelled rows that a model is fitted on at most; every row is scored
-SHARDS = 8  # models trained side by side in each round at most
+SHARDS = 4  # models trained side by side in each round at most
 SHARD_ROWS = 1_000  # rows that a shard should have; with fewer rows there are fewer shards
 ROUND_ROWS = 4_000  # row visits of a shard in a round at least, by up to ten passes over its rows
 
@@ -107,6 +107,7 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
                     )
 
         found = shards.mapInArrow(run, "n bigint, state binary").collect()
+        shared.destroy()
         if not found:
             return start
         found.sort(key=lambda r: (r["n"], bytes(r["state"])))  # sums do not depend on which shard came first
