@@ -12,8 +12,8 @@ union are the larger ones of its parts, and the share of equal registers of two
    full sets.
 4. Components of the confirmed links are the result.
 
-With 40 bands of 6 registers a pair at similarity 0.85 shares no bucket with probability 6e-9, and the likelihood
-check loses one with probability 3e-7 (five standard errors).
+With 40 bands of 6 registers a pair at similarity 0.8 shares no bucket with probability 5e-6, at 0.85 with 6e-9, and
+the likelihood check loses one with probability 3e-7 (five standard errors).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ BANDS, ROWS = 40, 6
 FIRST_BANDS = 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # sketch parameters b, a and q
-THRESHOLD = (85, 100)
+THRESHOLD = (85, 100)  # least similarity of linked rows, where a caller names no other
 ERRORS = 5  # standard errors that the likelihood estimate may be off
 TASK_ROWS, TASK_SETS, TASK_PAIRS = 50_000, 4_000, 4_000  # rows of small steps that a task takes
 BROADCAST_ROWS = 200_000  # classes whose rows may be looked up by a broadcast table; more are shuffled
@@ -160,12 +160,12 @@ def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, materialize(rows.join(lead, "row").withColumnRenamed("row", "class"), "class-sketches")
 
 
-def _plausible(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
+def _plausible(pairs: DataFrame, sketch: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose similarity may reach the threshold by the joint likelihood of their sketches."""
     side = lambda name: sketch.select(
         F.col("class").alias(name), F.col("registers").alias(f"r{name}"), F.col("n_shingles").alias(f"n{name}")
     )
-    wanted = THRESHOLD[0] / THRESHOLD[1]
+    wanted = threshold[0] / threshold[1]
     slack = ERRORS * (wanted * (1 - wanted) / REGISTERS) ** 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +180,7 @@ def _plausible(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a")
     # set sizes alone bound the similarity
-    sized = joined.where(f"{THRESHOLD[1]} * least(na, nb) >= {THRESHOLD[0]} * greatest(na, nb)")
+    sized = joined.where(f"{threshold[1]} * least(na, nb) >= {threshold[0]} * greatest(na, nb)")
     return sized.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -216,18 +216,18 @@ def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFra
     return materialize(few_tasks(made.dropDuplicates(["class"]), count, TASK_SETS), "shingle-sets")
 
 
-def _decided(pairs: DataFrame, sets: DataFrame, count: int) -> DataFrame:
+def _decided(pairs: DataFrame, sets: DataFrame, count: int, threshold: tuple[int, int]) -> DataFrame:
     """Of ``count`` pairs (a, b) those that are linked, by their full sets; stored."""
     of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias(f"s{name}"))
     joined = pairs.join(of("b"), "b").join(of("a"), "a")
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     counted = joined.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).cast("long").alias("sizes"))
-    counted = counted.where(_linked(F.col("both"), F.col("sizes") - F.col("both")))
+    counted = counted.where(_linked(F.col("both"), F.col("sizes") - F.col("both"), threshold))
     return materialize(few_tasks(counted.select("a", "b"), count, TASK_PAIRS), "linked-pairs")
 
 
-def _linked(both: Column, either: Column) -> Column:
-    return THRESHOLD[1] * both >= THRESHOLD[0] * either
+def _linked(both: Column, either: Column, threshold: tuple[int, int]) -> Column:
+    return threshold[1] * both >= threshold[0] * either
 
 
 def _open_rows(placed: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def _lead_pairs(rows: DataFrame, size: int) -> DataFrame:
     return joined.select((-F.col("lead.first")).alias("a"), F.col("class").alias("b")).distinct()
 
 
-def _prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def _prefix_pairs(rows: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """(a, b): classes of different components that may still be linked, by an exact prefix filter on their sets.
 
     Sets are put in one order, rarest shingle first. To reach the threshold, sets of n and m shingles must share
@@ -268,7 +268,7 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("class").orderBy("often", "shingle"))
     ranked = whole.join(often, "shingle").withColumn("at", rank)
     # the longest prefix, for a partner of the least size that may be linked
-    least = F.ceil(F.col("n") * THRESHOLD[0] / THRESHOLD[1])
+    least = F.ceil(F.col("n") * threshold[0] / threshold[1])
     first = ranked.where((F.col("at") <= F.col("n") - least + 1) & (F.col("often") > 1))
     component = rows.select("class", "component").distinct()
     first = first.join(component, "class").select("shingle", "class", "component", "n", "at")
@@ -278,12 +278,12 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     main = materialize(few_tasks(main, size, TASK_ROWS), "main-components")
     seeking = first.join(main, "shingle").where("component <> main.component").drop("main")
     other = first.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("class", "component", "n", "at")])
-    needed = f"ceil((n + o_n) * {THRESHOLD[0]} / {THRESHOLD[0] + THRESHOLD[1]})"
+    needed = f"ceil((n + o_n) * {threshold[0]} / {threshold[0] + threshold[1]})"
     joined = seeking.join(other, "shingle").where(f"component <> o_component AND at <= n - {needed} + 1 AND o_at <= o_n - {needed} + 1")
     return joined.select(F.least("class", "o_class").alias("a"), F.greatest("class", "o_class").alias("b")).distinct()
 
 
-def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame) -> DataFrame:
+def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """(node, component) of the classes that are linked with others.
 
     A bucket is left as soon as all its classes are in one component. First each class meets the leading class of a few
@@ -303,15 +303,15 @@ def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame) -> Dat
         if step == "rest":
             wanted = rows.select("class").distinct()
             sets = _sets(df, key, text, sketch, wanted, wanted.count())
-            pairs = materialize(_prefix_pairs(rows, sets), "prefix-pairs")
+            pairs = materialize(_prefix_pairs(rows, sets, threshold), "prefix-pairs")
             count = pairs.count()
         else:
-            pairs = few_tasks(_plausible(_lead_pairs(rows, size), sketch), size, TASK_ROWS)
+            pairs = few_tasks(_plausible(_lead_pairs(rows, size), sketch, threshold), size, TASK_ROWS)
             pairs = materialize(pairs, "plausible-pairs")
             count = pairs.count()
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
             sets = _sets(df, key, text, sketch, wanted, 2 * count)
-        new = _decided(pairs, sets, count)
+        new = _decided(pairs, sets, count, threshold)
         if new.isEmpty():
             continue
         linked = new if linked is None else linked.unionByName(new)
@@ -319,16 +319,18 @@ def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame) -> Dat
     return found
 
 
-def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_classes(
+    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: tuple[int, int] = THRESHOLD
+) -> DataFrame:
     """One row per input row: row, key, n_shingles, component_key, kept, text_hash.
 
-    Rows are linked if their sets have a similarity of 0.85 or more; ``component_key`` is the least key reachable, and
+    Rows are linked if their sets have a similarity of ``threshold`` or more; ``component_key`` is the least key reachable, and
     the row that has it stays (of repeated rows with that key, one). A null key is larger than any other. Rows without
     words (null, empty or blank texts) have an empty set, are linked with nothing and stay.
     """
     rows = sketches(df, key, text)
     members, sketch = _classes(rows)
-    found = linked_classes(df, key, text, sketch)
+    found = linked_classes(df, key, text, sketch, threshold)
     joined = members.join(found.withColumnRenamed("node", "class"), "class", "left")
     joined = joined.select("row", "key", F.coalesce("component", "class").alias("component"))
     order = F.struct(F.col("key").isNull().alias("last"), F.col("key"), F.col("row"))
@@ -346,7 +348,9 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     )
 
 
-def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: tuple[int, int] = THRESHOLD
+) -> DataFrame:
     """The rows of ``df`` that stay, all columns as they are."""
-    marks = materialize(near_classes(df, key, text).select("key", "text_hash", "kept"), "marks")
+    marks = materialize(near_classes(df, key, text, threshold).select("key", "text_hash", "kept"), "marks")
     return keep_marked(df, marks, key, text)

@@ -12,6 +12,9 @@ from . import bpe, decontaminate, exact_dup, labelled, language, licenses, near_
 #: Key of the registered query's surrogates; a user passes a secret one.
 SURROGATE_KEY = b"registered query"
 
+#: Least similarity of near duplicates by the contract of op6.
+NEAR_DUPLICATES = (85, 100)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -61,7 +64,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_dup.near_classes(_table(spark, sf_dir, "documents"))
+    found = near_dup.near_classes(_table(spark, sf_dir, "documents"), threshold=NEAR_DUPLICATES)
     return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component_key").alias("component_id"), "kept")
 
 

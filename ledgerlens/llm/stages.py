@@ -11,6 +11,7 @@ from .marks import drop_marked
 from .queries import quality_model, vocabulary_path
 
 KEEP_FROM = 0.3  # score from which a document is good enough
+NEAR = (80, 100)  # similarity from which documents are near duplicates; op6 has its own figure
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component stays: the one with the smallest doc_id."""
-    return near_dup.drop_near_duplicates(docs)
+    return near_dup.drop_near_duplicates(docs, threshold=NEAR)
 
 
 def decontaminate_docs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

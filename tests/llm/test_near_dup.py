@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerlens.llm import near_dup
+from ledgerlens.llm import near_dup, queries, stages
 from ledgerlens.llm.components import components
 
 
@@ -65,6 +65,24 @@ def test_classes_match_brute_force(spark):
     assert {r.key for r in found if r.kept} == {k for k, (_, c) in expected.items() if k == c}
 
 
+def test_stage_links_from_four_fifths_and_op6_from_its_own_figure(spark, tmp_path):
+    """One changed word in the middle of n words leaves (n - 9) of (n + 1) shingles: 50 words are at 0.80, 59 at 0.83."""
+    rows, key = [], 0
+    for n in (48, 49, 50, 54, 59, 66, 70):
+        words = [f"n{n}w{i}" for i in range(n)]
+        for middle in (words[n // 2], "other"):
+            rows.append((key, " ".join([*words[: n // 2], middle, *words[n // 2 + 1 :]])))
+            key += 1
+    sets = {k: shingles(t) for k, t in rows}
+    alike = {k: len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, key, 2)}
+    assert sum(0.8 <= x < 0.85 for x in alike.values()) >= 3 and min(alike.values()) < 0.8 and max(alike.values()) >= 0.85
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = lambda least: {k for k, _ in rows if k % 2 == 0 or alike[k - 1] < least}
+    assert {r.doc_id for r in stages.near_dedup(spark, df, "").collect()} == kept(0.8)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in queries.op6_near_dedup(spark, str(tmp_path)).collect() if r.kept} == kept(0.85)
+
+
 def test_rows_that_stay(spark):
     rows = [(5, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (9, None), (9, None), (8, "x y")]
     df = spark.createDataFrame([(k, t, "e") for k, t in rows], "doc_id long, text string, kept string")
