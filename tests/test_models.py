@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 from ledgerlens.operators import evaluate, features, models, sampling
 from ledgerlens.plans import pipelines
 from ledgerlens.session import scratch_path
@@ -70,6 +71,21 @@ def test_full_grid_has_36_combinations():
     assert size == 36 and models.FULL_DEPTH == 30
 
 
+def test_registered_search_is_the_whole_grid_on_all_rows(spark, monkeypatch):
+    rows = spark.range(600).select("id", (F.col("id") % 2).cast("int").alias("class"), *[F.rand(1).alias(c) for c in FEATURES])
+    seen = {}
+
+    def fit(search, df):
+        seen.update(maps=search.getEstimatorParamMaps(), folds=search.getNumFolds(), rows=df.count())
+        raise StopIteration
+
+    monkeypatch.setattr(models.CrossValidator, "fit", fit)
+    monkeypatch.setattr(registered, "_train_test", lambda *_: (rows.withColumn("copy_no", F.lit(0)), None))
+    with pytest.raises(StopIteration):
+        registered.grid_search_forest(spark, "")
+    assert (len(seen["maps"]), seen["folds"], seen["rows"]) == (36, 5, 600)
+
+
 def test_report_is_written_and_read_back(spark, sf_small):
     table = fixtures.transactions(spark, sf_small)
     root = scratch_path(spark, "test-report")
