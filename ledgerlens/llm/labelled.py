@@ -40,6 +40,16 @@ def sample(labels: DataFrame, label: str, usable: Column, key: str, rows: int =
     return materialize(ordered, "label-sample")
 
 
+def shard_of(rows: int) -> Column:
+    """The shard of a sampled row, of ``rows`` in all."""
+    return F.pmod("order", F.lit(max(1, min(SHARDS, rows // SHARD_ROWS))))
+
+
+def passes(rows: int) -> int:
+    """Passes of a shard over its rows in one round."""
+    return max(1, min(10, ROUND_ROWS // max(1, rows)))
+
+
 def pack(features: DataFrame, rows: int) -> DataFrame:
     """Store ``rows`` feature rows (order, label, index array<int>, dense array<float>) as one row for each shard."""
 
@@ -58,7 +68,7 @@ def pack(features: DataFrame, rows: int) -> DataFrame:
         )
 
     schema = "label array<float>, ends array<bigint>, index array<int>, dense array<float>"
-    sharded = features.withColumn("shard", F.pmod("order", F.lit(max(1, min(SHARDS, rows // SHARD_ROWS)))))
+    sharded = features.withColumn("shard", shard_of(rows))
     return materialize(sharded.groupBy("shard").applyInArrow(one, schema), "training-shards")
 
 
@@ -99,7 +109,7 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
                 for row in range(batch.num_rows):
                     shard = Shard(batch, row)
                     now = from_bytes(shared.value)
-                    for again in range(max(1, min(10, ROUND_ROWS // max(1, len(shard.label))))):
+                    for again in range(passes(len(shard.label))):
                         now = train(shard, now, 100 * number + again)
                     made = to_bytes(now)
                     yield pa.RecordBatch.from_arrays(

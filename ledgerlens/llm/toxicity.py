@@ -22,7 +22,6 @@ from .words import ALNUM, mix, slices, word_hashes
 BITS = 24  # hash space of the features
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 2.0, 0.0
 ROUNDS = 6
-LEAST_ROWS, LEAST_SHARE = 4, 1 / 2500  # features in fewer rows, or a smaller share of the rows, of the sample are left out
 SKIP_SEED, PAIR_SEED = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -98,7 +97,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
     rows = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
     schema = labelled.ROWS
     made = materialize(rows.mapInArrow(run, schema), "toxicity-features")
-    kept = _frequent(made, max(LEAST_ROWS, int(picked.count() * LEAST_SHARE)))
+    kept = _frequent(made, _least_rows(made, picked.count()))
     shared = df.sparkSession.sparkContext.broadcast(kept)
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,11 +123,23 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
     return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w[some].astype(np.float32)}
 
 
-def _frequent(made: DataFrame, least: int) -> np.ndarray:
-    """The features that stand in at least ``least`` rows of the sample; one small count for each reaches the driver.
+def _least_rows(made: DataFrame, rows: int) -> int:
+    """2 if no feature of a single row can get a weight, so that leaving these out changes nothing; 1 otherwise.
 
-    The L1 term would hold the weights of most others at zero anyway.
+    As long as a feature has no weight, a visit to its row moves z by less than 1, and the average takes a shard's share
+    of that. So z stays within L1 at the row's last visit and at the end if these bounds do.
     """
+    sizes = [r["count"] for r in made.groupBy(labelled.shard_of(rows)).count().collect()]
+    bounds = [0.0]
+    for n in sizes:
+        visits = labelled.passes(n)
+        step = visits * n / sum(sizes)
+        bounds += [ROUNDS * step, (ROUNDS - 1) * step + visits - 1]
+    return 2 if max(bounds) <= L1 else 1
+
+
+def _frequent(made: DataFrame, least: int) -> np.ndarray:
+    """The features that stand in at least ``least`` rows of the sample; one small count for each reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BITS, dtype=np.uint8)

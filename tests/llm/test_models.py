@@ -48,6 +48,15 @@ def test_toxicity_on_rows_that_were_not_learned(spark):
     assert by_key[-1] == by_key[-2]
 
 
+def test_toxic_words_of_three_rows_are_learned(spark):
+    rows = [(i, _text(), 0) for i in range(300)] + [(i, _text() + " seldom", 1) for i in (300, 301, 302)]
+    docs, labels = _tables(spark, rows)
+    model = toxicity.fit(docs, labels, "toxic", F.lit(True))
+    index = int(toxicity.features(pa.array(["seldom"]))[1][0])
+    weight = dict(zip(model["index"].tolist(), model["weight"].tolist()))
+    assert weight.get(index, 0.0) > 1.3
+
+
 def test_features_count_once_and_stay_in_their_text():
     row, index = toxicity.features(pa.array(["a b c", "a b", None, ""]))
     assert np.bincount(row, minlength=4).tolist() == [3 + 2 + 1, 2 + 1, 0, 0]
