@@ -42,7 +42,9 @@ NOTICES = [
 
 PAIR = 2
 DRIFT = 3  # words between diagonals that are merged
-COVERAGE = 0.8  # share of a notice's pairs, and of its words when verified, that must be found
+COVERAGE = 0.8  # share of a notice's words that must be found when it is verified
+# The word that tells a short notice from those of other licences, so that it must not differ.
+NAMING = {"lgpl": "lesser", "agpl": "affero", "apache": "apache", "cc-by-nc": "nc"}
 BROADCAST_ROWS = 200_000  # documents with matches that may be looked up by a broadcast table; more are shuffled
 
 Template = tuple[str, str, bool]
@@ -59,12 +61,18 @@ def _template_pairs(spark: SparkSession, known: list[Template]) -> DataFrame:
     for number, (text, _, _) in enumerate(known):
         values, counts = word_hashes(pa.array([text]), ALNUM)
         hashed, _, at = grams(values, counts, PAIR)
-        if len(hashed) > 63:
-            raise ValueError("a template may have 64 words at most")
         rows += [(int(h), number, int(i)) for h, i in zip(hashed.view(np.int64), at)]
     return spark.createDataFrame(rows, "gram bigint, template int, at int")
 
 
+def least_votes(n: int) -> int:
+    """Pairs that a copy of a notice of ``n`` words keeps at least if verification accepts it.
+
+    A changed word breaks two pairs at most.
+    """
+    return n - 1 - 2 * int(n * (1 - COVERAGE) + 1e-9)
+
+
 def pair_hashes(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, text_hash, grams array<bigint>): the hashes of all neighbouring words of each row, in order."""
 
@@ -84,44 +92,73 @@ def pair_hashes(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def candidates(df: DataFrame, key: str, text: str, known: list[Template]) -> DataFrame:
-    """(key, text_hash, spans): for rows with enough votes, [(template, first word, last word exclusive, votes share)].
+    """(key, text_hash, spans): for rows with enough votes, [(template, first word, last word exclusive)].
 
-    Votes are sets of template places, so that repeated rows do not vote twice.
+    Votes are sets of template places, so that repeated rows do not vote twice. A span covers the whole template on its
+    diagonals, also where the words at its ends differ; it may reach over the ends of the text.
     """
     doc = ["key", "text_hash"]
     pairs = F.broadcast(_template_pairs(df.sparkSession, known))
     placed = pair_hashes(df, key, text).select(*doc, F.posexplode("grams").alias("pos", "gram")).join(pairs, "gram")
-    vote = F.bit_or(F.expr("shiftleft(1L, at)")).alias("votes")
     diagonals = placed.groupBy(*doc, "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        vote, F.min("pos").alias("first"), (F.max("pos") + PAIR).alias("last")
+        F.collect_set("at").alias("votes")
     )
     diagonals = materialize(diagonals, "diagonals")
     full = F.lit(0)
     words = F.lit(0)
+    least = F.lit(0)
     for number, (phrase, _, _) in enumerate(known):
         n = len(phrase.split())
         full = F.when(F.col("template") == number, n - PAIR + 1).otherwise(full)
         words = F.when(F.col("template") == number, n).otherwise(words)
+        least = F.when(F.col("template") == number, least_votes(n)).otherwise(least)
     exact = F.col("template").isin([i for i, t in enumerate(known) if t[2]])
-    whole = diagonals.where(exact & (F.bit_count("votes") == full)).select(
-        *doc, "template", F.col("diagonal").alias("first"), (F.col("diagonal") + words).alias("last"), F.lit(1.0).alias("share")
+    whole = diagonals.where(exact & (F.size("votes") == full)).select(
+        *doc, "template", F.col("diagonal").alias("first"), (F.col("diagonal") + words).alias("last")
     )
     ordered = Window.partitionBy(*doc, "template").orderBy("diagonal")
     apart = F.when(F.col("diagonal") - F.lag("diagonal").over(ordered) <= DRIFT, 0).otherwise(1)
     merged = diagonals.where(~exact).withColumn("new", apart)
     merged = merged.withColumn("copy", F.sum("new").over(ordered)).groupBy(*doc, "template", "copy").agg(
-        F.bit_or("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last")
+        F.size(F.array_distinct(F.flatten(F.collect_list("votes")))).alias("votes"),
+        F.min("diagonal").alias("first"),
+        (F.max("diagonal") + words).alias("last"),
     )
-    share = F.bit_count("votes") / full
-    merged = merged.select(*doc, "template", "first", "last", share.alias("share")).where(F.col("share") >= COVERAGE)
-    spans = whole.unionByName(merged).groupBy(*doc).agg(F.collect_set(F.struct("template", "first", "last", "share")).alias("spans"))
+    merged = merged.where(F.col("votes") >= least).select(*doc, "template", "first", "last")
+    spans = whole.unionByName(merged).groupBy(*doc).agg(F.collect_set(F.struct("template", "first", "last")).alias("spans"))
     return materialize(spans, "licence-spans")
 
 
-def _similar(words: list[bytes], template: list[bytes]) -> float:
-    """The share of the template's words that stand in the words, in order."""
-    blocks = SequenceMatcher(None, words, template, autojunk=False).get_matching_blocks()
-    return sum(b.size for b in blocks) / len(template)
+def _similar(words: list[bytes], template: list[bytes]) -> tuple[float, int, int]:
+    """The share of the template's words that stand in the words, in order, and from where to where."""
+    blocks = [b for b in SequenceMatcher(None, words, template, autojunk=False).get_matching_blocks() if b.size]
+    if not blocks:
+        return 0.0, 0, 0
+    return sum(b.size for b in blocks) / len(template), blocks[0].a, blocks[-1].a + blocks[-1].size
+
+
+def _verified(words: list[bytes], spans: list[dict], known: list[Template], plain: list[list[bytes]]) -> list[tuple]:
+    """(first, last, label, share, whether it is a phrase) of the spans that hold, in order.
+
+    A notice whose words another licence's template fits better is left out: the GPL's phrase is not a shortened LGPL.
+    """
+    found = []
+    for span in sorted(spans, key=lambda s: (s["first"], s["template"])):
+        template, (_, label, exact) = plain[span["template"]], known[span["template"]]
+        begin = max(0, span["first"])
+        part = words[begin : max(0, span["last"])]
+        if exact:
+            if part == template:
+                found.append((begin, begin + len(part), label, 1.0, True))
+            continue
+        share, first, last = _similar(part, template)
+        if share >= COVERAGE and (label not in NAMING or NAMING[label].encode() in part[first:last]):
+            found.append((begin + first, begin + last, label, share, False))
+    best = sorted(found, key=lambda f: -f[3])
+    return [
+        f for f in found
+        if f[3] == 1 or not any(o[3] > f[3] and o[2] != f[2] and o[0] <= f[0] and f[1] <= o[1] for o in best)
+    ]
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -147,16 +184,10 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 out: dict[str, list] = {c: [] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")}
                 for item, listed in zip(texts.to_pylist(), spans):
                     words = (item or "").encode().translate(ALNUM_TABLE).split()
-                    base, told, best = [], [], 0.0
-                    for span in sorted(listed or [], key=lambda s: (s["first"], s["template"])):
-                        part, (_, label, exact) = words[span["first"] : span["last"]], known[span["template"]]
-                        share = _similar(part, plain[span["template"]])
-                        if exact and part == plain[span["template"]]:
-                            base.append((span["first"], label))
-                        elif exact or share < COVERAGE:
-                            continue
-                        told.append((label, span["first"], span["last"]))
-                        best = max(best, share)
+                    verified = _verified(words, listed or [], known, plain)
+                    base = [(first, label) for first, _, label, _, exact in verified if exact]
+                    told = [(label, first, last) for first, last, label, _, _ in verified]
+                    best = max((share for _, _, _, share, _ in verified), default=0.0)
                     starts = [s for s, _ in base]
                     out["n_words"].append(len(words))
                     out["n_base"].append(len(base))

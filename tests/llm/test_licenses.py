@@ -53,6 +53,34 @@ def test_notices_may_differ_in_some_words(spark):
     assert all(0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in found.values())
 
 
+def test_notices_with_changed_words_reach_the_verification(spark):
+    mit = MIT.split()
+    rows = [
+        (1, "licensed under the apache licence version 2 0"),
+        (2, "gnu lesser general public licence"),
+        (3, "gnu affero general public licence"),
+        (4, "licensed under CC-BY-NC version 4.0".replace("version 4", "v 4")),
+        (5, "x " + " ".join([*mit[:4], "a", *mit[5:9], "b", *mit[10:]]) + " y"),
+        (6, "licensed below cc by nc 4 0"),
+        (7, "gnu general public license"),
+        (8, "gnu lesser general public license"),
+        (9, "licensed under cc by sa 4 0, licensed under cc by 4 0"),
+        (10, "licensed under the other license version 2 0"),
+    ]
+    found = {r.key: (r.labels, round(r.score, 3)) for r in _scan(spark, rows)}
+    assert found == {
+        1: ("apache", 0.875), 2: ("lgpl", 0.8), 3: ("agpl", 0.8), 4: ("cc-by,cc-by-nc", 1.0), 5: ("mit", 0.875),
+        6: ("cc-by,cc-by-nc", 1.0), 7: ("gpl", 1.0), 8: ("lgpl", 1.0), 9: ("cc-by", 1.0), 10: ("", 0.0),
+    }
+
+
+def test_template_of_more_than_64_words(spark, monkeypatch):
+    long = " ".join(f"word{i}" for i in range(300))
+    monkeypatch.setattr(licenses, "NOTICES", [*licenses.NOTICES, (long, "long")])
+    changed = long.replace("word150 ", "other ")
+    assert [(r.labels, round(r.score, 3)) for r in _scan(spark, [(1, changed)])] == [("long", 0.997)]
+
+
 def test_shuffled_lookup_gives_the_same(spark, monkeypatch):
     wanted = sorted(map(repr, _scan(spark)))
     monkeypatch.setattr(licenses, "BROADCAST_ROWS", 0)
