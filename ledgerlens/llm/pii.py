@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -24,10 +25,11 @@ from .marks import text_hash
 BROADCAST_ROWS = 50_000  # texts with entities that may be looked up by a broadcast table; more are shuffled
 WIDEN_AFTER = 8  # draws of one format before the format gets a character longer
 
-EMAIL, PHONE, CARD, SSN, IP, FEMALE, MALE, GIVEN, SURNAME = (
-    "email", "phone", "card", "ssn", "ip", "female", "male", "given", "surname",
+EMAIL, PHONE, CARD, SSN, IP, IPV6, IBAN, FEMALE, MALE, GIVEN, SURNAME = (
+    "email", "phone", "card", "ssn", "ip", "ipv6", "iban", "female", "male", "given", "surname",
 )
-KINDS = [EMAIL, PHONE, CARD, SSN, IP, FEMALE, MALE, GIVEN, SURNAME]
+NAMES = [FEMALE, MALE, GIVEN, SURNAME]
+KINDS = [EMAIL, IBAN, PHONE, CARD, SSN, IP, IPV6, *NAMES]
 
 # Titles that stand before a name, with the gender that they tell.
 TITLES = {
@@ -47,11 +49,14 @@ _LOCAL = regex.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}$")
 _DOMAIN = regex.compile(r"[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}")
 _NUMBERS = [
     (PHONE, regex.compile(r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)")),
+    (PHONE, regex.compile(r"(?<![\w+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)")),
     (CARD, regex.compile(r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d.-]*\d)")),
     (SSN, regex.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     (IP, regex.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)")),
 ]
 _NAME = regex.compile(r"(?<!\p{L})(" + "|".join(TITLES) + r")\.?[  ](\p{Lu}[\p{L}'’-]{1,40})(?:[  ](\p{Lu}[\p{L}'’-]{1,40}))?")
+_IPV6 = regex.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,8}(?![\w:])")
+_IBAN = regex.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _DIGIT = regex.compile(r"[0-9]")
 
 Entity = tuple[str, int, int, str]
@@ -66,6 +71,40 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban_remainder(value: str) -> int:
+    """The remainder of an account number by 97; 1 if its check digits are right."""
+    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97
+
+
+def _ibans(text: str) -> Iterator[Entity]:
+    for m in _IBAN.finditer(text):
+        written = m[0]  # capitals that follow may look like its last groups
+        while len(written) >= 15:
+            value = written.replace(" ", "")
+            if iban_remainder(value) == 1:
+                yield IBAN, m.start(), m.start() + len(written), value
+                break
+            written = written.rpartition(" ")[0]
+
+
+def _ipv6(text: str) -> Iterator[Entity]:
+    for m in _IPV6.finditer(text):
+        try:
+            yield IPV6, m.start(), m.end(), ipaddress.IPv6Address(m[0]).compressed
+        except ValueError:
+            continue
+
+
+def _again(text: str, names: dict[str, str]) -> Iterator[Entity]:
+    """Mentions without a title of names that the same text has behind one."""
+    if not names:
+        return
+    listed = "|".join(map(regex.escape, sorted(names, key=len, reverse=True)))
+    for m in regex.finditer(rf"(?<!\p{{L}})(?:{listed})(?!\p{{L}})", text, regex.IGNORECASE):
+        if m[0][0].isupper() and m[0].lower() in names:
+            yield names[m[0].lower()], m.start(), m.end(), m[0].lower()
+
+
 def detect(text: str) -> list[Entity]:
     """(kind, first, last, normal value) in code points, in order, not overlapping."""
     found: list[Entity] = []
@@ -84,10 +123,16 @@ def detect(text: str) -> list[Entity]:
                 if kind == IP and any(int(part) > 255 for part in m[0].split(".")):
                     continue
                 found.append((kind, m.start(), m.end(), m[0] if kind == IP else ("+" if m[0][0] == "+" else "") + digits))
+        found.extend(_ibans(text))
+        found.extend(_ipv6(text))
+    names: dict[str, str] = {}
     for m in _NAME.finditer(text):
         found.append((TITLES[m[1]] if m[3] else SURNAME, m.start(2), m.end(2), m[2].lower()))
         if m[3]:
             found.append((SURNAME, m.start(3), m.end(3), m[3].lower()))
+            names.setdefault(m[3].lower(), SURNAME)
+        names.setdefault(m[2].lower(), TITLES[m[1]] if m[3] else SURNAME)
+    found.extend(_again(text, names))
     out: list[Entity] = []
     for entity in sorted(found, key=lambda e: (e[1], KINDS.index(e[0]), -e[2])):
         if not out or entity[1] >= out[-1][2]:
@@ -141,6 +186,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return out
     if kind == IP:
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
+    if kind == IPV6:
+        return ipaddress.IPv6Address(sum(draw.below(1 << 16) << (16 * i) for i in range(8))).compressed
+    if kind == IBAN:
+        body = value[:2] + "00" + _like(value[4:], draw).upper()
+        return f"{value[:2]}{98 - iban_remainder(body):02d}{body[4:]}"
     syllables, female, male = SYLLABLES[_script(value)]
     stem = "".join(syllables[draw.below(len(syllables))] for _ in range(max(2, min(4, len(value) // 2)) + extra))
     ends = {FEMALE: female, MALE: male, GIVEN: female + male}.get(kind)
@@ -152,7 +202,10 @@ def dress(mention: str, kind: str, value: str) -> str:
     if kind in (PHONE, CARD, SSN):
         digits = iter(value.lstrip("+"))
         return "".join(next(digits) if c.isdigit() else c for c in mention)
-    if kind == IP:
+    if kind == IBAN:
+        letters = iter(value)
+        return "".join(c if c == " " else next(letters) for c in mention)
+    if kind in (IP, IPV6):
         return value
     if mention.isupper():
         return value.upper()
@@ -193,14 +246,31 @@ def _drawn(values: DataFrame, secret: bytes) -> DataFrame:
     return values.select("kind", "value", "attempt").mapInArrow(run, "kind string, value string, attempt int, surrogate string")
 
 
+def _group(kind: Column) -> Column:
+    """Names of all kinds are one group: a value has one surrogate in it, and no other value has the same."""
+    return F.when(kind.isin(NAMES), "name").otherwise(kind)
+
+
+def _resolved(each: DataFrame) -> DataFrame:
+    """(kind, value) for mentions (kind, value): one kind for each value of a group, a gender if all mentions allow it."""
+    found = each.groupBy(_group(F.col("kind")).alias("group"), "value").agg(F.collect_set("kind").alias("kinds"))
+    has = lambda kind: F.array_contains("kinds", kind)
+    name = F.when(has(FEMALE) & has(MALE), GIVEN)
+    for kind in NAMES:
+        name = name.when(has(kind), kind)
+    return found.select(F.when(F.col("group") == "name", name).otherwise(F.col("group")).alias("kind"), "value")
+
+
 def surrogates(values: DataFrame, secret: bytes) -> DataFrame:
     """(kind, value, surrogate) for different (kind, value): different surrogates, none of them a real value."""
-    real = values.select("kind", F.col("value").alias("surrogate"))
+    group = _group(F.col("kind")).alias("group")
+    real = values.select(group, F.col("value").alias("surrogate"))
     now = materialize(_drawn(values.withColumn("attempt", F.lit(0)), secret), "surrogates")
     while True:
-        first = now.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
-        taken = first.join(real.withColumn("real", F.lit(True)), ["kind", "surrogate"], "left")
-        told = now.join(materialize(taken, "surrogate-owners"), ["kind", "surrogate"])
+        now = now.withColumn("group", group)
+        first = now.groupBy("group", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
+        taken = first.join(real.withColumn("real", F.lit(True)), ["group", "surrogate"], "left")
+        told = now.join(materialize(taken, "surrogate-owners"), ["group", "surrogate"])
         bad = F.coalesce("real", F.lit(False)) | (F.col("value") != F.col("first.value"))
         told = materialize(told.select("kind", "value", "attempt", "surrogate", bad.alias("bad")), "surrogate-checks")
         if not told.where("bad").limit(1).count():
@@ -217,10 +287,11 @@ def replace(df: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text
     """
     found = entities(df, key, text)
     each = found.select("key", "text_hash", F.explode("entities").alias("e")).select("key", "text_hash", "e.*")
-    values = materialize(each.select("kind", "value").distinct(), "entity-values")
+    values = materialize(_resolved(each), "entity-values")
     made = surrogates(values, secret)
     # one value may stand in very many texts: the join splits it, and each text gathers only its own mentions
-    named = each.join(made, ["kind", "value"])
+    made = made.select(_group(F.col("kind")).alias("group"), "value", "surrogate")
+    named = each.withColumn("group", _group(F.col("kind"))).join(made, ["group", "value"])
     spans = named.groupBy(F.col("key").alias("found_key"), F.col("text_hash").alias("found_hash")).agg(
         F.array_sort(F.collect_set(F.struct("first", "last", "kind", "surrogate"))).alias("spans")
     )

@@ -56,6 +56,25 @@ def test_names_keep_gender_script_and_coreference(spark):
     assert "Smith" not in text and "Анна" not in text
 
 
+def test_national_phones_ipv6_iban_and_untitled_mentions(spark):
+    rows = [
+        (1, "(555) 123-4567, 555-123-4567; fe80::1ff:fe23:4567:890a IBAN DE89 3704 0044 0532 0130 00 NOW"),
+        (2, "Ms Ada Lovelace wrote. Lovelace's notes, LOVELACE and Ada; Byron stays."),
+        (3, "Mr John Smith and Dr John Smith at 12:30:45, a::b, x::1"),
+    ]
+    found = {r.key: r for r in _replaced(spark, rows)}
+    texts = dict(rows)
+    assert _mentions(texts[1], found[1]) == [
+        ("phone", "(555) 123-4567"), ("phone", "555-123-4567"), ("ipv6", "fe80::1ff:fe23:4567:890a"), ("iban", "DE89 3704 0044 0532 0130 00"),
+    ]
+    account = found[1].text[found[1].text.index("IBAN ") + 5 :][:27]
+    assert account.startswith("DE") and pii.iban_remainder(account.replace(" ", "")) == 1 and account.count(" ") == 5
+    assert found[1].text[1:4] + found[1].text[6:14] == found[1].text.split(", ")[1][:3] + found[1].text.split(", ")[1][4:12]
+    assert "lovelace" not in found[2].text.lower() and "Ada" not in found[2].text and "Byron stays." in found[2].text
+    words = found[3].text.split()
+    assert words[1:3] == words[5:7] and "12:30:45, a::b, x::1" in found[3].text
+
+
 def test_clean_null_and_long_texts(spark):
     found = {r.key: r for r in _replaced(spark)}
     assert found[4].text is None and found[5].text == "" and found[4].n_entities == 0
