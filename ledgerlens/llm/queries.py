@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dup, labelled, language, licenses, near_dup, pii, quality, secrets, toxicity
+from . import (
+    bpe,
+    decontaminate,
+    exact_dup,
+    labelled,
+    language,
+    licenses,
+    near_dup,
+    ngram_join,
+    pii,
+    prefix_trie,
+    quality,
+    repair,
+    secrets,
+    toxicity,
+)
 
 #: Key of the registered query's surrogates; a user passes a secret one.
 SURROGATE_KEY = b"registered query"
@@ -15,6 +30,9 @@ SURROGATE_KEY = b"registered query"
 #: Least similarity of near duplicates by the contract of op6.
 NEAR_DUPLICATES = (85, 100)
 
+#: Least similarity of linked documents by the contract of op13.
+NGRAM_LINKS = (90, 100)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -99,6 +117,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    found = repair.digest(turns.select(F.col("conv_id").alias("conv")), repair.damage(turns))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string")) % 4
+    found = prefix_trie.trie(_table(spark, sf_dir, "conversations"), conv - conv % 20, head)
+    return found.withColumnsRenamed({"conv": "conv_id", "parent_conv": "parent_conv_id"}).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.join_classes(_table(spark, sf_dir, "documents"), threshold=NGRAM_LINKS)
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component_key").alias("component_id"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -150,6 +188,142 @@ ORACLES = {
     """,
 }
 
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII string as DuckDB SQL, which has no function for it."""
+    chars = f"list_transform(string_split({text}, ''), lambda c: cast(ord(c) as bigint))"
+    step = "list_reduce(list_concat([xor(crc, byte)], cast(range(8) as bigint[])), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {chars}), lambda crc, byte: {step}), 4294967295)"
+
+
+_BLANK = r"[\x20\x09-\x0D]"
+
+ORACLES["op11_repair"] = rf"""
+    with recursive rows_ as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+               {_crc32("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")} % 20 as kind
+        from conversations),
+    damaged as (
+        select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+               case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+        from rows_, (values (0), (1)) copies(copy) where kind <> 0 and (copy = 0 or kind = 3)),
+    placed as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged),
+    marked as (
+        select *, regexp_replace(text, '{_BLANK}+$', '') as trimmed,
+               row_number() over (partition by conv_id, role, text order by i) > 1 as again, substr(role, 1, 1) as initial
+        from placed),
+    faulty as (
+        select *, case when trimmed = '' then 'blank' when again then 'duplicate'
+                       when substr(trimmed, -1) not in ('.', '!', '?') then 'truncated' else 'none' end as fault
+        from marked),
+    told as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+               count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+               count(*) filter (where fault = 'truncated') as truncated
+        from faulty group by conv_id),
+    wrong as (
+        select conv_id, count(*) filter (where follows is not null and initial || follows not in ('su', 'ua', 'au')) as illegal
+        from (select conv_id, initial, lead(initial) over (partition by conv_id order by i) as follows from faulty)
+        group by conv_id),
+    -- states: 0 nothing yet, 1 system, 2 user, 3 assistant
+    keep(state, letter, target) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+    expected(state, target, name) as (values (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+    inserts as (
+        select state, 0 as price, '' as letters, cast([] as varchar[]) as lines, state as target from expected
+        union all select state, 3, 'I', [name || ':'], target from expected
+        union all select a.state, 6, 'II', [a.name || ':', b.name || ':'], b.target
+        from expected a join expected b on b.state = a.target),
+    paths as (
+        select conv_id, cast(0 as bigint) as i, target as state, cast(price as bigint) as cost, letters as audit, lines
+        from (select distinct conv_id from faulty), inserts where state = 0
+        union all
+        select conv_id, i, state, cost, audit, lines from (
+            select *, row_number() over (partition by conv_id, state order by cost, audit) as best from (
+                select m.conv_id, m.i, k.target as state, m.cost + k.price as cost, m.audit || k.letters as audit,
+                       list_concat(m.lines, k.lines) as lines
+                from (
+                    select p.conv_id, r.i, p.state, p.cost + 4 as cost, p.audit || 'D' as audit, p.lines
+                    from paths p join faulty r on r.conv_id is not distinct from p.conv_id and r.i = p.i + 1
+                    union all
+                    select p.conv_id, r.i, k.target, p.cost + if(r.fault = 'truncated', 3, 0), p.audit || 'K',
+                           list_append(p.lines, r.role || ':' || r.text)
+                    from paths p join faulty r on r.conv_id is not distinct from p.conv_id and r.i = p.i + 1
+                    join keep k on k.state = p.state and k.letter = r.initial
+                    where r.fault not in ('blank', 'duplicate')
+                    union all
+                    select p.conv_id, r.i, e.target, p.cost + 3 + if(r.fault = 'truncated', 3, 0), p.audit || 'R',
+                           list_append(p.lines, e.name || ':' || r.text)
+                    from paths p join faulty r on r.conv_id is not distinct from p.conv_id and r.i = p.i + 1
+                    join expected e on e.state = p.state
+                    where r.fault not in ('blank', 'duplicate')
+                ) m join inserts k on k.state = m.state))
+        where best = 1),
+    ended as (
+        select * from (
+            select p.*, row_number() over (partition by p.conv_id order by p.cost, p.audit) as best
+            from paths p join (select conv_id, max(i) as n from faulty group by conv_id) z
+              on z.conv_id is not distinct from p.conv_id and z.n = p.i
+            where p.state in (0, 3))
+        where best = 1)
+    select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+           coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost,
+           coalesce(audit, '') as audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) as repaired_sha256
+    from (select distinct conv_id from conversations) o
+    left join told t on t.conv_id is not distinct from o.conv_id
+    left join wrong w on w.conv_id is not distinct from o.conv_id
+    left join ended e on e.conv_id is not distinct from o.conv_id
+"""
+
+ORACLES["op12_prefix_trie"] = rf"""
+    with own as (
+        select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                             order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+        from conversations where conv_id is not null group by conv_id),
+    plans as (select *, {_crc32("cast(conv_id as varchar)")} % 4 as h from own),
+    rebuilt as (
+        select p.conv_id, list_concat(coalesce(b.turns[1:p.h], []), p.turns[p.h + 1:]) as turns
+        from plans p left join own b on b.conv_id = p.conv_id - p.conv_id % 20),
+    members as (
+        select conv_id, d, turns[1:d] as prefix, len(turns) = d as ends
+        from (select conv_id, turns, unnest(range(0, len(turns) + 1)) as d from rebuilt)),
+    nodes as (
+        select d, prefix, min(conv_id) as conv_id, count(*) as n,
+               (count(*) - 1) * case when d = 0 then 0
+                   else len(regexp_extract_all(prefix[d].text, '[^ 	-
+]+')) end as saved,
+               coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ends), '') as listed
+        from members group by d, prefix),
+    children as (select p.d, p.prefix, count(*) as n from nodes p join nodes c on c.d = p.d + 1 and c.prefix[1:p.d] = p.prefix
+                 group by p.d, p.prefix),
+    counted as (select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c using (d, prefix)),
+    below as (
+        select a.d, a.prefix, count(*) filter (where b.n_children = 0) as n_leaves, sum(b.saved) as saved_tokens
+        from counted a join counted b on b.d >= a.d and b.prefix[1:a.d] = a.prefix group by a.d, a.prefix)
+    select c.conv_id, c.d as depth, p.conv_id as parent_conv_id, c.n as n_convs, c.n_children, b.n_leaves,
+           cast(b.saved_tokens as bigint) as saved_tokens, sha256(c.listed) as ends_sha256
+    from counted c join below b using (d, prefix) left join nodes p on p.d = c.d - 1 and p.prefix = c.prefix[1:c.d - 1]
+"""
+
+ORACLES["op13_ngram_join"] = rf"""
+    with recursive docs as (
+        select row_number() over () as rid, doc_id, regexp_extract_all({_LOWER}, '[^ 	-
+]+') as w from documents),
+    grams as (
+        select distinct rid, array_to_string(w[i:i + 2], ' ') as s
+        from (select rid, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from docs where len(w) > 0)),
+    sizes as (select rid, count(*) as n from grams group by rid),
+    shared as (select a.rid as a, b.rid as b, count(*) as n
+               from grams a join grams b on a.s = b.s and a.rid < b.rid group by 1, 2),
+    links as (select s.a, s.b from shared s join sizes x on x.rid = s.a join sizes y on y.rid = s.b
+              where 100 * s.n >= 90 * (x.n + y.n - s.n)),
+    reach as (
+        select rid as a, rid as b from docs
+        union select r.a, l.b from reach r join (select a, b from links union all select b, a from links) l on l.a = r.b),
+    least as (select r.a as rid, min(d.doc_id) as component_id from reach r join docs d on d.rid = r.b group by r.a)
+    select doc_id, coalesce(n, 0) as n_shingles, component_id
+    from docs join least using (rid) left join sizes using (rid)
+"""
+
 
 def all_queries() -> dict[str, Query]:
     return {
@@ -163,6 +337,9 @@ def all_queries() -> dict[str, Query]:
         "op8_language": op8_language,
         "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_repair": op11_repair,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_ngram_join": op13_ngram_join,
     }
 
 
