@@ -4,25 +4,28 @@ from __future__ import annotations
 
 import math
 from contextlib import contextmanager
+from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..session import materialize
 from ..sources.schema import FEATURES
+from .boosting import fit_boosted
 from .evaluate import model_metrics
+from .forests import count_recalls, cut_small_nodes
 from .sampling import stratified_kfold, stratified_split
 
 # Model names and the tuning grids. Spark caps tree depth at 30, which stands for "no limit".
@@ -33,9 +36,18 @@ TASK_ROWS = 8_000
 FULL_GRID = {
     "numTrees": [100, 200, 300],
     "maxDepth": [FULL_DEPTH, 10, 20],
+    "minRowsToSplit": [2, 5],
     "minInstancesPerNode": [1, 2],
     "featureSubsetStrategy": ["sqrt", "log2"],
 }
+#: What a combination has where a grid leaves an axis out.
+DEFAULTS = {
+    "numTrees": 100,
+    "maxDepth": FULL_DEPTH,
+    "minRowsToSplit": 2,
+    "minInstancesPerNode": 1,
+    "featureSubsetStrategy": "sqrt",
+}
 DEMO_GRID = {"numTrees": [100, 200], "maxDepth": [10, FULL_DEPTH], "featureSubsetStrategy": ["sqrt"]}
 
 
@@ -48,13 +60,14 @@ def _assembler(features: list[str]) -> VectorAssembler:
 
 
 @contextmanager
-def _ready(train: DataFrame, features: list[str], *keep: str):
-    """The assembled training rows, kept while a model passes over them again and again.
+def ready_rows(train: DataFrame, features: list[str], *keep: str):
+    """The assembled training rows, kept while models pass over them again and again.
 
-    A model makes thousands of short passes, so a small table is not spread over more tasks than it fills.
+    Every core gets a task, and no task much more than ``TASK_ROWS`` rows.
     """
     rows = _assembler(features).transform(train).select("features", *keep)
-    rows = rows.coalesce(max(1, math.ceil(train.count() / TASK_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    rows = rows.repartition(max(cores, math.ceil(train.count() / TASK_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
     finally:
@@ -73,28 +86,26 @@ def tree(depth: int = 10, seed: int = 42, label: str = "class", **params) -> Dec
 
 
 def forest(trees: int = 100, depth: int = FULL_DEPTH, seed: int = 42, label: str = "class", **params) -> RandomForestClassifier:
-    params.setdefault("featureSubsetStrategy", "sqrt")
+    # where each row stands is kept between levels: deep trees are not walked again for every level
+    params = {"featureSubsetStrategy": "sqrt", "cacheNodeIds": True, "maxMemoryInMB": 1024} | params
     return RandomForestClassifier(
         labelCol=label, numTrees=trees, maxDepth=depth, impurity="gini", seed=seed, **params
     )
 
 
-def boosted(rounds: int = 100, depth: int = 6, step: float = 0.3, seed: int = 42, label: str = "class", **params) -> GBTClassifier:
-    """Gradient-boosted trees; not the same regularised objective as other boosting libraries."""
-    return GBTClassifier(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, **params)
-
-
 def _fit(rows: DataFrame, name: str, features: list[str], label: str, params: dict) -> PipelineModel:
-    if name == LOGREG:
-        classifier = logreg(rows.count(), label=label, **params)
+    if name == BOOSTED:
+        fitted = fit_boosted(rows, label, **params)
+    elif name == LOGREG:
+        fitted = logreg(rows.count(), label=label, **params).fit(rows)
     else:
-        classifier = {TREE: tree, FOREST: forest, BOOSTED: boosted}[name](label=label, **params)
-    return PipelineModel(stages=[_assembler(features), classifier.fit(rows)])
+        fitted = {TREE: tree, FOREST: forest}[name](label=label, **params).fit(rows)
+    return PipelineModel(stages=[_assembler(features), fitted])
 
 
 def train(df: DataFrame, name: str, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
     """Fit one baseline by name; the model carries its assembler."""
-    with _ready(df, features, label) as rows:
+    with ready_rows(df, features, label) as rows:
         return _fit(rows, name, features, label, params)
 
 
@@ -111,6 +122,7 @@ def train_forest(df: DataFrame, features: list[str] = FEATURES, label: str = "cl
 
 
 def train_gbt(df: DataFrame, features: list[str] = FEATURES, label: str = "class", **params) -> PipelineModel:
+    """Boosted trees with the regularised second-order objective, see ``boosting.fit_boosted``."""
     return train(df, BOOSTED, features, label, **params)
 
 
@@ -130,14 +142,24 @@ def train_all(
     features: list[str] = FEATURES,
     label: str = "class",
     settings: dict[str, dict] | None = None,
+    kept: DataFrame | None = None,
+    parallelism: int = 4,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit the four baselines; returns the models and the long scored table of the test rows."""
+    """Fit the four baselines side by side; returns the models and the long scored table of the test rows.
+
+    ``kept`` are rows of ``ready_rows``, if the caller has them already.
+    """
     settings = settings or {}
-    with _ready(df, features, label) as rows:
-        models = {
-            name: _fit(rows, name, features, label, settings.get(name, {}))
-            for name in (LOGREG, TREE, FOREST, BOOSTED)
-        }
+    if kept is None:
+        with ready_rows(df, features, label) as rows:
+            return train_all(df, test, features, label, settings, rows, parallelism)
+    names = (LOGREG, TREE, FOREST, BOOSTED)
+
+    def run(name: str) -> PipelineModel:
+        return _fit(kept, name, features, label, settings.get(name, {}))
+
+    with ThreadPool(max(1, min(parallelism, len(names)))) as pool:
+        models = dict(zip(names, pool.map(inheritable_thread_target(kept.sparkSession)(run), names)))
     return models, score_all(models, test, label)
 
 
@@ -166,6 +188,88 @@ def baseline_metrics(scored: DataFrame, digits: int | None = None) -> DataFrame:
     return model_metrics(scored, digits)
 
 
+@dataclass
+class ForestSearch:
+    """Every combination with its recall in each fold (and their mean), which is best, and the refitted best model."""
+
+    combinations: list[dict]
+    fold_scores: list[list[float]]
+    best: int
+    fits: int  # forests that were grown for all the scores
+    best_model: Model
+
+    @property
+    def mean_scores(self) -> list[float]:
+        return [sum(s) / len(s) for s in self.fold_scores]
+
+
+def _subset_size(strategy: str, n: int) -> int:
+    """How many of ``n`` features a split may choose from."""
+    known = {"sqrt": math.ceil(math.sqrt(n)), "log2": max(1, math.ceil(math.log2(n))), "all": n, "onethird": math.ceil(n / 3)}
+    return known[strategy]
+
+
+def _fit_rows(df: DataFrame, rows: int, label: str, seed: int, keys: tuple[str, ...]) -> DataFrame:
+    """About ``rows`` rows, those with the lowest hash, each class in its share."""
+    total = df.count()
+    if total <= rows:
+        return df
+    keyed = df.withColumn("_tie", F.concat_ws(":", *[F.col(c).cast("string") for c in keys]))
+    sampled = stratified_split(keyed.drop("split"), label, rows / total, seed, id_col="_tie")
+    return materialize(sampled.where("split = 'test'").drop("split", "_tie"), "fit-rows")
+
+
+def search_rows(
+    df: DataFrame, label: str = "class", folds: int = 5, seed: int = 42, keys: tuple[str, ...] = ("id", "copy_no")
+) -> DataFrame:
+    """``df`` with the fold of each row."""
+    return stratified_kfold(df, label, folds, seed, keys)
+
+
+def _search(rows: DataFrame, size: int, label: str, grid: dict, folds: int, seed: int, parallelism: int, params: dict):
+    """(combinations, scores of each fold, number of fits) over kept rows (features, label, fold).
+
+    One deep forest is grown for each fold and pair of least leaf size and number of features to choose from; the other
+    axes are read from it.
+    """
+    axes = {name: grid.get(name, [value]) for name, value in DEFAULTS.items()}
+    order = [*grid, *[name for name in axes if name not in grid]]
+    combinations = [dict(zip(order, values)) for values in product(*[axes[name] for name in order])]
+    kinds = {(c["minInstancesPerNode"], _subset_size(c["featureSubsetStrategy"], size)) for c in combinations}
+    names = {_subset_size(s, size): s for s in axes["featureSubsetStrategy"]}
+    jobs = [(fold, *kind) for fold in range(folds) for kind in sorted(kinds)]
+
+    def run(job: tuple[int, int, int]):
+        fold, leaf, subset = job
+        grown = forest(
+            max(axes["numTrees"]), max(axes["maxDepth"]), seed, label,
+            minInstancesPerNode=leaf, featureSubsetStrategy=names[subset], **params,
+        ).fit(rows.where(F.col("fold") != fold))
+        held = rows.where(F.col("fold") == fold)
+        return count_recalls(grown, held, axes["numTrees"], axes["maxDepth"], axes["minRowsToSplit"], label)
+
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        found = dict(zip(jobs, pool.map(inheritable_thread_target(rows.sparkSession)(run), jobs)))
+
+    def recall(c: dict, fold: int) -> float:
+        counts = found[fold, c["minInstancesPerNode"], _subset_size(c["featureSubsetStrategy"], size)]
+        right, wanted = counts.get((c["numTrees"], c["maxDepth"], c["minRowsToSplit"]), (0, 0))
+        return right / wanted if wanted else 0.0
+
+    return combinations, [[recall(c, fold) for fold in range(folds)] for c in combinations], len(jobs)
+
+
+def _refit(rows: DataFrame, best: dict, label: str, seed: int, params: dict) -> Model:
+    """The forest of one combination on all kept rows."""
+    fitted = forest(
+        best["numTrees"], best["maxDepth"], seed, label, minInstancesPerNode=best["minInstancesPerNode"],
+        featureSubsetStrategy=best["featureSubsetStrategy"], **params,
+    ).fit(rows)
+    if best["minRowsToSplit"] <= 2:
+        return fitted
+    return cut_small_nodes(rows.sparkSession, fitted, best["minRowsToSplit"])
+
+
 def grid_search_forest(
     df: DataFrame,
     features: list[str] = FEATURES,
@@ -173,52 +277,43 @@ def grid_search_forest(
     grid: dict[str, list] = FULL_GRID,
     folds: int = 5,
     seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int = 4,
     keys: tuple[str, ...] = ("id", "copy_no"),
-    metric: str = "recallByLabel",
     fit_rows: int | None = None,
+    kept: DataFrame | None = None,
     **params,
-) -> CrossValidatorModel:
-    """Cross-validated grid over the forest, scored on the recall of class 1, refitted on the same rows.
+) -> ForestSearch:
+    """Cross-validated grid over the forest, scored on the recall of class 1; the best is refitted on all rows.
 
-    The minimum rows to split a node has no Spark parameter, so the grid has no such axis. ``fit_rows`` bounds the
-    labelled rows that the search fits on: those with the lowest hash, each class in its share.
+    The whole grid needs one deep forest per fold and least leaf size (``sqrt`` and ``log2`` of 35 features are 6 each, so they
+    share it). Of equal means the first combination is best. ``fit_rows`` bounds the rows that the search uses, not
+    those of the refit. ``kept`` are rows of ``ready_rows`` over ``search_rows``, if the caller has them already.
     """
-    if fit_rows is not None and (total := df.count()) > fit_rows:
-        share = fit_rows / total
-        keyed = df.withColumn("_tie", F.concat_ws(":", *[F.col(c).cast("string") for c in keys]))
-        sampled = stratified_split(keyed.drop("split"), label, share, seed, id_col="_tie")
-        df = materialize(sampled.where("split = 'test'").drop("split", "_tie"), "fit-rows")
-    folded = stratified_kfold(df, label, folds, seed, keys)
-    classifier = forest(seed=seed, label=label, **params)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(classifier.getParam(name), values)
-    search = CrossValidator(
-        estimator=classifier,
-        estimatorParamMaps=builder.build(),
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName=metric, metricLabel=1.0),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    with _ready(folded, features, label, "fold") as rows:
-        return search.fit(rows)
-
-
-def best_pipeline(search: CrossValidatorModel, features: list[str] = FEATURES) -> PipelineModel:
+    if kept is not None and fit_rows is None:
+        combinations, scores, fits = _search(kept, len(features), label, grid, folds, seed, parallelism, params)
+        means = [sum(s) / len(s) for s in scores]
+        best = means.index(max(means))
+        return ForestSearch(combinations, scores, best, fits, _refit(kept, combinations[best], label, seed, params))
+    searched = df if fit_rows is None else _fit_rows(df, fit_rows, label, seed, keys)
+    with ready_rows(search_rows(searched, label, folds, seed, keys), features, label, "fold") as rows:
+        found = grid_search_forest(searched, features, label, grid, folds, seed, parallelism, keys, None, rows, **params)
+    if searched is not df:
+        with ready_rows(df, features, label) as rows:
+            found.best_model = _refit(rows, found.combinations[found.best], label, seed, params)
+    return found
+
+
+def best_pipeline(search: ForestSearch, features: list[str] = FEATURES) -> PipelineModel:
     """The refitted best model behind the same assembler as the baselines."""
-    return PipelineModel(stages=[_assembler(features), search.bestModel])
+    return PipelineModel(stages=[_assembler(features), search.best_model])
 
 
-def grid_table(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:
+def grid_table(spark: SparkSession, search: ForestSearch) -> DataFrame:
     """One row per combination with its mean score; the best one is flagged."""
-    best = max(range(len(search.avgMetrics)), key=lambda i: search.avgMetrics[i])
     rows = []
-    for i, (params, value) in enumerate(zip(search.getEstimatorParamMaps(), search.avgMetrics)):
-        text = ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda kv: kv[0].name))
-        rows.append((i, text, float(value), i == best))
+    for i, (params, value) in enumerate(zip(search.combinations, search.mean_scores)):
+        text = ", ".join(f"{name}={value}" for name, value in sorted(params.items()))
+        rows.append((i, text, float(value), i == search.best))
     return spark.createDataFrame(rows, "combination int, params string, mean_recall double, is_best boolean")
 
 

@@ -84,8 +84,10 @@ def ml_pipeline(
     """Baselines, tuned forest, importances, recall gain; saves the tuned model."""
     train = files.load_splits(spark, splits_path, "train")
     test = files.load_splits(spark, splits_path, "test")
-    fitted, _ = models.train_all(train, test, feature_names, label, settings)
-    search = models.grid_search_forest(train, feature_names, label, **tuning)
+    folds = models.search_rows(train, label, tuning.get("folds", 5))
+    with models.ready_rows(folds, feature_names, label, "fold") as kept:  # assembled once for baselines and search
+        fitted, _ = models.train_all(train, test, feature_names, label, settings, kept)
+        search = models.grid_search_forest(train, feature_names, label, kept=kept, **tuning)
     fitted[models.TUNED] = models.best_pipeline(search, feature_names)
     files.save_model(fitted[models.TUNED], model_path)
     scored = materialize(models.score_all(fitted, test, label), "scored")

@@ -65,6 +65,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def stored_while(df: DataFrame, label: str):
+    """``df`` written and read back as ``materialize`` does, and deleted at the end."""
+    spark = df.sparkSession
+    stored = materialize(df, label)
+    path = _scratch_paths[-1]
+    try:
+        yield stored
+    finally:
+        _scratch_paths.remove(path)
+        _delete(spark, path)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Scratch folders made inside are deleted at the end: for work whose results are stored elsewhere by then."""
@@ -77,11 +95,7 @@ def scratch_scope(spark: SparkSession):
 
 def release_scratch(spark: SparkSession, keep: int = 0) -> int:
     """Delete the scratch folders this process created (but the first ``keep``); returns how many were removed."""
-    jvm = spark.sparkContext._jvm
-    hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
     while len(_scratch_paths) > keep:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch_paths.pop())
-        if path.getFileSystem(hadoop_conf).delete(path, True):
-            removed += 1
+        removed += _delete(spark, _scratch_paths.pop())
     return removed

@@ -283,8 +283,9 @@ def all_queries() -> dict[str, str]:
          f"{r('amount_zscore', 6)} as amount_zscore", "high_value_flag", "v1_v3_interact", "v4_v11_interact"]
     )
     combinations = [
-        f"featureSubsetStrategy=sqrt, maxDepth={d}, numTrees={t}" for t in (100, 200) for d in (10, 30)
-    ]
+        f"featureSubsetStrategy={f}, maxDepth={d}, minInstancesPerNode={n}, minRowsToSplit={s}, numTrees={t}"
+        for t in (100, 200, 300) for d in (30, 10, 20) for s in (2, 5) for n in (1, 2) for f in ("sqrt", "log2")
+    ]
     grid = values(
         "combination, params, recall_in_range, best_is_highest", [(i, c, True, True) for i, c in enumerate(combinations)]
     )
@@ -430,7 +431,7 @@ def all_queries() -> dict[str, str]:
         "feature_importance": f"""{BASE} select count(*) as n_rows, cast(35 as bigint) as n_features,
             1.0::double as total_importance, true as signal_found, 100 as n_trees from f""",
         "ml_run": compared([*baselines, "Random Forest (Tuned)"]).replace(
-            "frauds as test_fraud", "frauds as test_fraud, cast(35 as bigint) as n_importances, cast(4 as bigint) as n_combinations"
+            "frauds as test_fraud", "frauds as test_fraud, cast(35 as bigint) as n_importances, cast(72 as bigint) as n_combinations"
         ),
         # evaluation
         "confusion_matrix": f"""{CM} select 'TN' as cell, 0 as actual, 0 as predicted, tn as n from cm
@@ -464,7 +465,7 @@ def all_queries() -> dict[str, str]:
         "report_hourly": f"""{BASE} select hour_of_day as hour, count(class) as total, cast(sum(class) as bigint) as fraud_count,
             {r('cast(sum(class) as double) / count(class)', 9)} as fraud_rate, {band('Medium-Risk (Transitional)')} as risk_band
             from f group by hour_of_day""",
-        "report_flagged": f"""{BASE} select cast(row_number() over (order by amount desc, id) as integer) as txn_no, id,
+        "report_flagged": f"""{BASE} select row_number() over (order by amount desc, id) as txn_no, id,
             {r('amount', 2)} as amount, hour_of_day, {r('amount_scaled', 4)} as amount_scaled,
             {flagged_level} as risk_level, '✓ FRAUD' as confirmed_fraud
             from f where class = 1""",

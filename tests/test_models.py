@@ -32,7 +32,7 @@ def test_importances_and_quality(spark, sf_check):
     ranked = models.feature_importance(spark, model, n=None).collect()
     assert len(ranked) == 35 and sum(r.importance for r in ranked) == pytest.approx(1.0)
     assert {"v17", "v14", "v12"} <= {r.feature for r in ranked[:8]}
-    assert models.feature_importance(spark, model).count() == 15
+    assert models.feature_importance(spark, model).count() == 35
 
 
 def test_missing_feature_is_an_error(spark):
@@ -61,29 +61,29 @@ def test_full_pipeline(spark, splits_path):
     tuned = result.metrics.where(F.col("name") == models.TUNED).first().roc_auc
     assert reloaded == tuned
     assert tables["confusion_matrix"].agg(F.sum("n")).first()[0] == 200
-    assert tables["feature_importance"].count() == 15
+    assert tables["feature_importance"].count() == 35
 
 
-def test_full_grid_has_36_combinations():
+def test_full_grid_has_72_combinations():
     size = 1
     for values in models.FULL_GRID.values():
         size *= len(values)
-    assert size == 36 and models.FULL_DEPTH == 30
+    assert size == 72 and models.FULL_DEPTH == 30
 
 
 def test_registered_search_is_the_whole_grid_on_all_rows(spark, monkeypatch):
     rows = spark.range(600).select("id", (F.col("id") % 2).cast("int").alias("class"), *[F.rand(1).alias(c) for c in FEATURES])
     seen = {}
 
-    def fit(search, df):
-        seen.update(maps=search.getEstimatorParamMaps(), folds=search.getNumFolds(), rows=df.count())
+    def search(kept, size, label, grid, folds, *_):
+        seen.update(grid=grid, folds=folds, rows=kept.count(), size=size)
         raise StopIteration
 
-    monkeypatch.setattr(models.CrossValidator, "fit", fit)
+    monkeypatch.setattr(models, "_search", search)
     monkeypatch.setattr(registered, "_train_test", lambda *_: (rows.withColumn("copy_no", F.lit(0)), None))
     with pytest.raises(StopIteration):
         registered.grid_search_forest(spark, "")
-    assert (len(seen["maps"]), seen["folds"], seen["rows"]) == (36, 5, 600)
+    assert seen == {"grid": models.FULL_GRID, "folds": 5, "rows": 600, "size": 35}
 
 
 def test_report_is_written_and_read_back(spark, sf_small):
