@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# Largest set of repeated-row keys (8 bytes each) that may be broadcast.
+# Largest set of repeated-row keys, or of words of their Bloom filter (8 bytes each), that may be broadcast.
 BROADCAST_KEYS = 4_000_000
+BLOOM_BITS, BLOOM_BITS_PER_KEY = 4, 12
 # Rows with fewer columns are hardly wider than their hash and are grouped directly.
 WIDE_ROW = 8
 
@@ -18,25 +19,49 @@ def row_hash(cols: list[str]) -> Column:
     return F.xxhash64(*cols)
 
 
+def _bloom_place(hash_col: Column, words: int) -> tuple[Column, Column]:
+    """(word, mask): where a hash stands in a Bloom filter of 64-bit words; all its bits lie in one word."""
+    mask = F.lit(0).cast("bigint")
+    for i in range(BLOOM_BITS):
+        bit = F.pmod(F.xxhash64(hash_col, F.lit(i)), F.lit(64)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
+    return F.pmod(hash_col, F.lit(words)), mask
+
+
+def _bloom_filter(keys: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """((word, bits), number of words) of all ``keys`` (_h): built in each partition, merged bit by bit."""
+    words = max(1, min(BROADCAST_KEYS, count * BLOOM_BITS_PER_KEY // 64))
+    word, mask = _bloom_place(F.col("_h"), words)
+    return keys.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits")), words
+
+
 def split_by_repetition(
     df: DataFrame, cols: list[str] | None = None, hash_col: str | None = None
 ) -> tuple[DataFrame | None, DataFrame]:
     """Split into (rows that certainly occur once, rows that may repeat).
 
-    Only an 8-byte row hash is shuffled to find the hashes seen more than once. While those fit a
-    checked broadcast, the wide rows outside them never move. With too many of them the first part
-    is None and the second is the whole table. ``hash_col`` names a column that already holds the hash.
+    Only an 8-byte row hash is shuffled to find the hashes seen more than once. While those fit a checked broadcast, the
+    wide rows outside them never move. More of them go into a Bloom filter of bounded size: rows outside it occur once
+    and stay, a row that it takes for a repeated one by mistake only moves in vain. Narrow rows are not split: the first
+    part is None. ``hash_col`` names a column that already holds the hash.
     """
     if len(cols or df.columns) < WIDE_ROW:
         return None, df
     wanted = F.col(hash_col) if hash_col else row_hash(cols or df.columns)
     keys = df.select(wanted.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
     repeated = materialize(keys.where("_n > 1").select("_h"), "repeated")
-    if repeated.count() > BROADCAST_KEYS:
-        return None, df
+    count = repeated.count()
     hashed = df if hash_col == "_h" else df.withColumn("_h", wanted)
-    small = F.broadcast(repeated)
-    return hashed.join(small, "_h", "left_anti").drop("_h"), hashed.join(small, "_h", "left_semi").drop("_h")
+    if count <= BROADCAST_KEYS:
+        small = F.broadcast(repeated)
+        return hashed.join(small, "_h", "left_anti").drop("_h"), hashed.join(small, "_h", "left_semi").drop("_h")
+    built, words = _bloom_filter(repeated, count)
+    word, mask = _bloom_place(F.col("_h"), words)
+    known = F.broadcast(materialize(built, "bloom"))
+    marked = hashed.withColumns({"_word": word, "_mask": mask}).join(known, "_word", "left")
+    held = F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
+    extra = ["_h", "_word", "_mask", "_bits"]
+    return marked.where(~held).drop(*extra), marked.where(held).drop(*extra)
 
 
 def dedup_rows(df: DataFrame, id_col: str | None = None, hash_col: str | None = None) -> DataFrame:
@@ -68,9 +93,9 @@ def removed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def fit_scaler(df: DataFrame, col: str = "amount") -> tuple[float, float]:
-    """(mean, population standard deviation) as plain numbers."""
+    """(mean, population standard deviation) as plain numbers, to 12 digits: sums of doubles hang on their order in the last."""
     row = df.agg(F.avg(col), F.stddev_pop(col)).first()
-    return row[0], row[1]
+    return tuple(None if v is None else float(f"{v:.12g}") for v in row)
 
 
 def scaled(value: Column, mean: Column, sd: Column) -> Column:

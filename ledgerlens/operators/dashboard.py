@@ -77,7 +77,7 @@ def report_hourly(df: DataFrame, digits: int = 9) -> DataFrame:
 def report_flagged(df: DataFrame, limit: int | None = None, amount_col: str = "amount") -> DataFrame:
     """The fraud rows by falling amount: number, amount, hour, z-score, risk level, audit label.
 
-    All of them, or the first ``limit`` to show on one sheet.
+    All of them, in no order but by their number, or the first ``limit`` to show on one sheet, in order.
     """
     def optional(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(0)
@@ -88,8 +88,10 @@ def report_flagged(df: DataFrame, limit: int | None = None, amount_col: str = "a
         first = first.orderBy(F.desc(amount_col), "id").limit(limit)
     falling = first.withColumns({"_missing": F.col(amount_col).isNull(), "_falling": -F.col(amount_col)})
     numbered = with_global_index(falling, ["_missing", "_falling", "id"], "_place")
-    return numbered.orderBy("_place").select(
-        (F.col("_place") + 1).cast("int").alias("txn_no"),
+    if limit is not None:
+        numbered = numbered.orderBy("_place")
+    return numbered.select(
+        (F.col("_place") + 1).alias("txn_no"),
         "id",
         half_up(F.col(amount_col), 2).alias("amount"),
         optional("hour_of_day").alias("hour_of_day"),

@@ -118,14 +118,41 @@ def _totals(table: DataFrame) -> tuple[Column, Column]:
     return both["p"], both["f"]
 
 
+def _thinned(table: DataFrame, x: Column, y: Column, max_points: int | None, steps: bool) -> DataFrame:
+    """At most ``max_points`` rows of a curve over ``prob``, with an error of at most 1 / cells in x and in y.
+
+    A curve whose x and y both grow (``steps``) passes through at most 2 * cells - 1 squares of a grid with ``cells`` on a
+    side, and the first and last point of each are kept. Other curves keep, of each of ``cells`` strips in x, the first
+    and last point and those with the least and greatest y. Rows are combined before the shuffle.
+    """
+    if max_points is None:
+        return table
+    if max_points < 4:
+        raise ValueError("a curve needs room for four points")
+    cells = max_points // 4
+    at = lambda v: F.least(F.floor(F.coalesce(v, F.lit(0.0)) * cells), F.lit(cells - 1))
+    row = F.struct(*table.columns)
+    ends = [F.min_by(row, "prob"), F.max_by(row, "prob")]
+    if not steps:
+        ends += [F.min_by(row, F.struct(y, "prob")), F.max_by(row, F.struct(y, "prob"))]
+    placed = table.withColumns({"_x": at(x), "_y": at(y) if steps else F.lit(0)})
+    kept = placed.groupBy("_x", "_y").agg(F.array_distinct(F.array(*ends)).alias("_kept"))
+    return kept.select(F.inline("_kept"))
+
+
 def roc_curve(
     scored: DataFrame,
     digits: int = 9,
     drop_collinear: bool = False,
     limit: int = ROW_LIMIT,
     table: DataFrame | None = None,
+    max_points: int | None = None,
 ) -> DataFrame:
-    """``threshold, fpr, tpr`` per distinct score, highest first, after the origin (threshold null)."""
+    """``threshold, fpr, tpr`` per distinct score, highest first, after the origin (threshold null).
+
+    With ``max_points`` there are at most as many besides the origin, and every point left out is within
+    1 / (max_points // 4) of a point that stays, in either direction.
+    """
     table = score_table(scored, limit=limit, range_col="_range") if table is None else table
     all_p, all_f = _totals(table)
     if drop_collinear:
@@ -144,7 +171,8 @@ def roc_curve(
                 "_f": F.coalesce(F.lead("f").over(order), F.col("_after.f")),
             }
         ).where(F.col("_first") | F.col("_p").isNull() | (F.col("_p") != F.col("p")) | (F.col("_f") != F.col("f")))
-    points = table.select(
+    fpr, tpr = ratio(F.col("cum_f"), all_f), ratio(F.col("cum_p"), all_p)
+    points = _thinned(table, fpr, tpr, max_points, steps=True).select(
         F.col("prob").alias("threshold"),
         half_up(ratio(F.col("cum_f"), all_f), digits).alias("fpr"),
         half_up(ratio(F.col("cum_p"), all_p), digits).alias("tpr"),
@@ -156,12 +184,21 @@ def roc_curve(
 
 
 def pr_curve(
-    scored: DataFrame, digits: int = 9, limit: int = ROW_LIMIT, table: DataFrame | None = None
+    scored: DataFrame,
+    digits: int = 9,
+    limit: int = ROW_LIMIT,
+    table: DataFrame | None = None,
+    max_points: int | None = None,
 ) -> DataFrame:
-    """``threshold, precision, recall`` per distinct score, lowest first, before the end point (1, 0)."""
+    """``threshold, precision, recall`` per distinct score, lowest first, before the end point (1, 0).
+
+    With ``max_points`` there are at most as many besides the end point: every point left out has a recall within
+    1 / (max_points // 4) of points that stay, and a precision between theirs.
+    """
     table = score_table(scored, limit=limit) if table is None else table
     all_p, _ = _totals(table)
-    points = table.select(
+    precision = ratio(F.col("cum_p"), F.col("cum_p") + F.col("cum_f"))
+    points = _thinned(table, ratio(F.col("cum_p"), all_p), precision, max_points, steps=False).select(
         F.col("prob").alias("threshold"),
         half_up(ratio(F.col("cum_p"), F.col("cum_p") + F.col("cum_f")), digits).alias("precision"),
         half_up(ratio(F.col("cum_p"), all_p), digits).alias("recall"),

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,54 +90,41 @@ def eda_peak_hour(df: DataFrame) -> DataFrame:
     )
 
 
+#: Correlations that one aggregate without groups adds up; more go by first column.
+DIRECT_PAIRS = 64
+
+
 def correlations(df: DataFrame, pairs: list[tuple[str, str]], digits: int = 6) -> DataFrame:
     """Pearson r of column pairs over the rows where both are present; zero variance gives null.
 
-    One scan fits the means, a second adds up centred sums and products of all columns at once: a matrix product per
-    batch, merged per cell. Null and NaN are absent values.
+    One scan of mergeable co-moments (count, means, centred products). A matrix is added up row by row: each table row
+    meets the array of its own columns once per first column, so there are as many groups as columns. Null and NaN are
+    absent values.
     """
     cols = sorted({c for pair in pairs for c in pair})
-    means = df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c) for c in cols]).first()
-    centre = np.array([means[c] if means[c] is not None else 0.0 for c in cols])
-    size = len(cols)
-
-    def run(batches):
-        sums = np.zeros((4, size, size))
-        for batch in batches:
-            columns = [c.fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in batch.columns]
-            x = np.column_stack(columns) - centre
-            there = ~np.isnan(x)
-            x, there = np.where(there, x, 0.0), there.astype("float64")
-            # rows with both, and over these the sums of the first, of its square and of the product
-            sums += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
-        yield pa.RecordBatch.from_arrays([pa.array([sums.ravel()], pa.list_(pa.float64()))], ["sums"])
-
-    parts = df.select([F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(run, "sums array<double>")
-    cells = parts.select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v"))
-    # 4 * size * size cells, in their order
-    ordered = F.array_sort(F.collect_list(F.struct("at", "v")))
-    total = cells.agg(F.transform(ordered, lambda c: c["v"]).alias("s"))
-    listed = ", ".join(f"struct('{a}' AS column_a, '{b}' AS column_b, {cols.index(a)} AS a, {cols.index(b)} AS b)" for a, b in pairs)
-    rows = total.select("s", F.expr(f"inline(array({listed}))"))
-
-    def cell(kind: int, i: str, j: str) -> Column:
-        return F.col("s")[F.lit(kind * size * size) + F.col(i) * size + F.col(j)]
-
-    n, sum_a, sum_b = cell(0, "a", "b"), cell(1, "a", "b"), cell(1, "b", "a")
-    square_a, square_b = cell(2, "a", "b"), cell(2, "b", "a")
-    rows = rows.select(
-        "column_a",
-        "column_b",
-        (cell(3, "a", "b") - F.try_divide(sum_a * sum_b, n)).alias("product"),
-        (square_a - F.try_divide(sum_a * sum_a, n)).alias("spread_a"),
-        (square_b - F.try_divide(sum_b * sum_b, n)).alias("spread_b"),
-        (square_a * 1e-14).alias("least_a"),
-        (square_b * 1e-14).alias("least_b"),
-    )
-    # what rounding leaves of a constant column is no variance
-    varied = (F.col("spread_a") > F.col("least_a")) & (F.col("spread_b") > F.col("least_b"))
-    r = F.when(varied, F.col("product") / (F.sqrt("spread_a") * F.sqrt("spread_b")))
-    return rows.select("column_a", "column_b", half_up(r, digits).alias("r"))
+    absent = F.lit(None).cast("double")
+    x = df.select([F.nanvl(F.col(c).cast("double"), absent).alias(c) for c in cols])
+
+    def r(a: Column, b: Column) -> Column:
+        spread_a, spread_b = F.regr_sxx(b, a), F.regr_syy(b, a)
+        return F.when((spread_a > 0) & (spread_b > 0), F.regr_sxy(b, a) / (F.sqrt(spread_a) * F.sqrt(spread_b)))
+
+    if len(pairs) <= DIRECT_PAIRS:
+        found = x.agg(F.array(*[r(F.col(a), F.col(b)) for a, b in pairs]).alias("r")).select(F.posexplode("r").alias("at", "r"))
+        listed = [(i, a, b) for i, (a, b) in enumerate(pairs)]
+        wanted = ", ".join(f"struct({i} AS at, '{a}' AS column_a, '{b}' AS column_b)" for i, a, b in listed)
+        told = df.sparkSession.range(1).select(F.expr(f"inline(array({wanted}))"))
+        rows = told.join(F.broadcast(found), "at")
+    else:
+        each = x.select(F.array(*cols).alias("x")).select("x", F.posexplode("x").alias("i", "a"))
+        by = each.groupBy("i").agg(*[r(F.col("a"), F.col("x")[j]).alias(f"r{j}") for j in range(len(cols))])
+        matrix = by.select("i", F.array(*[f"r{j}" for j in range(len(cols))]).alias("r"))
+        wanted = ", ".join(
+            f"struct({cols.index(a)} AS i, {cols.index(b)} AS j, '{a}' AS column_a, '{b}' AS column_b)" for a, b in pairs
+        )
+        told = df.sparkSession.range(1).select(F.expr(f"inline(array({wanted}))"))
+        rows = told.join(F.broadcast(matrix), "i").withColumn("r", F.col("r")[F.col("j")])
+    return rows.select("column_a", "column_b", half_up(F.col("r"), digits).alias("r"))
 
 
 def eda_correlation_matrix(df: DataFrame, cols: list[str] = CORRELATION_COLUMNS) -> DataFrame:

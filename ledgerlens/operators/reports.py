@@ -164,9 +164,9 @@ def q08_threshold_coverage_join(df: DataFrame, thresholds: Sequence[int] = THRES
     )
 
 
-def q09_fraud_streaks(df: DataFrame, n: int = 10, min_hits: int = 3, block: int = 100_000) -> DataFrame:
+def q09_fraud_streaks(df: DataFrame, n: int = 10, min_hits: int = 3, partitions: int | None = None) -> DataFrame:
     rows = df.select("id", "time_seconds", "class")
-    summed = rolling_sum(rows, "class", ["time_seconds", "id"], n, "fraud_in_last_10", block)
+    summed = rolling_sum(rows, "class", ["time_seconds", "id"], n, "fraud_in_last_10", partitions)
     return summed.where(F.col("fraud_in_last_10") >= min_hits).orderBy("time_seconds", "id")
 
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructType
 
 from ..functions.numeric import HASH_SPACE
 from ..session import materialize
@@ -55,25 +59,53 @@ def rolling_sum(
     order: list[str],
     n: int,
     out: str,
-    block: int = 100_000,
     partitions: int | None = None,
 ) -> DataFrame:
-    """``sum(value)`` over the current and the ``n - 1`` rows before it, over the whole table.
+    """``sum(value)`` (null counts as 0) over the current and the ``n - 1`` rows before it, over the whole table.
 
-    The index is cut into blocks; the last ``n - 1`` rows of a block are copied into the next one,
-    so every block is a small independent window.
+    Rows are shuffled once, into sorted ranges that are summed as they pass. What the first rows of a range miss are the
+    last ``n - 1`` rows before it, of one or several ranges: a broadcast of at most that many rows for each range.
     """
-    if block < n:
-        raise ValueError("block must hold at least n rows")
+    if n < 1:
+        raise ValueError("a frame has at least one row")
     halo = n - 1
-    indexed = with_global_index(df, order, "_rn", partitions)
-    own = F.floor(F.col("_rn") / block)
-    tail = F.col("_rn") % block >= block - halo
-    blocks = F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = indexed.withColumn("_own", own).withColumn("_block", F.explode(blocks))
-    frame = Window.partitionBy("_block").orderBy("_rn").rowsBetween(-halo, 0)
-    summed = spread.withColumn(out, F.sum(value).over(frame))
-    return summed.where(F.col("_block") == F.col("_own")).drop("_rn", "_own", "_block")
+    whole = df.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
+    kind = "bigint" if whole else "double"
+    ranges = partitions or _partitions(df)
+    sorted_ = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    named = sorted_.withColumn("_v", F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        before = np.zeros(halo, dtype="int64" if whole else "float64")
+        for batch in batches:
+            values = np.concatenate([before, batch.column("_v").to_numpy()])
+            sums = np.lib.stride_tricks.sliding_window_view(values, n).sum(axis=1) if batch.num_rows else values[:0]
+            before = values[len(values) - halo :]
+            places = np.arange(at, at + batch.num_rows)
+            at += batch.num_rows
+            columns = [pa.array(np.full(batch.num_rows, part)), pa.array(places), pa.array(sums)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "_part", "_pos", out])
+
+    shape = StructType([*named.schema.fields])
+    for name, type_ in (("_part", LongType()), ("_pos", LongType()), (out, LongType() if whole else DoubleType())):
+        shape = shape.add(name, type_)
+    summed = materialize(named.mapInArrow(run, shape), "ranges")
+    if not halo:
+        return summed.drop("_part", "_pos", "_v")
+    sizes = summed.groupBy("_part").agg(F.max("_pos").alias("_last"))
+    ends = summed.select("_part", "_pos", "_v").join(F.broadcast(sizes), "_part").where(F.col("_pos") > F.col("_last") - halo)
+    # at most n - 1 rows of each range; its first one sees all that came before the range
+    earlier = Window.orderBy("_part", "_pos").rowsBetween(-halo, -1)
+    first = F.col("_pos") == F.greatest(F.lit(0), F.col("_last") - halo + 1)
+    seen = ends.withColumn("_before", F.reverse(F.collect_list("_v").over(earlier))).where(first).select("_part", "_before")
+    # the rows right before this one within its range are in its sum already
+    missing = F.slice("_before", 1, F.greatest(F.lit(0), F.lit(halo) - F.col("_pos")).cast("int"))
+    added = F.aggregate(missing, F.lit(0).cast(kind), lambda total, v: total + v)
+    joined = summed.join(F.broadcast(seen), "_part")
+    return joined.withColumn(out, F.when(F.col("_pos") < halo, F.col(out) + added).otherwise(F.col(out))).drop(
+        "_part", "_pos", "_v", "_before"
+    )
 
 
 def running_totals(

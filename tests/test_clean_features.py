@@ -142,3 +142,17 @@ def test_fixture_ignores_the_session_time_zone(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert before == after
+
+
+def test_more_repeated_hashes_than_a_broadcast_takes(spark, monkeypatch):
+    """Beyond the limit a Bloom filter keeps nearly all rows that occur once where they are."""
+    df = spark.range(4000).selectExpr("id div 2 as a", *[f"id div 2 % {i + 2} as c{i}" for i in range(clean.WIDE_ROW)])
+    df = df.unionByName(spark.range(20_000).selectExpr("-id - 1 as a", *[f"id % {i + 2} as c{i}" for i in range(clean.WIDE_ROW)]))
+    want = df.distinct().count()
+    monkeypatch.setattr(clean, "BROADCAST_KEYS", 1_500)
+    single, repeated = clean.split_by_repetition(df)
+    assert single.count() + repeated.count() == df.count()
+    assert single.where("a >= 0").isEmpty() and single.count() > 19_000
+    assert clean.dedup_rows(df).count() == want == 22_000
+    monkeypatch.setattr(clean, "BROADCAST_KEYS", 3)
+    assert clean.dedup_rows(df).count() == want

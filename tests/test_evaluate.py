@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -67,3 +68,27 @@ def test_first_model_wins_a_tie(spark, scored):
     assert evaluate.best_model(table).first().name == "one"
     flags = {r.name: r.is_best for r in evaluate.flag_best(evaluate.model_metrics(table)).collect()}
     assert flags == {"one": True, "two": False}
+
+
+def test_curves_of_bounded_length(spark):
+    rng = np.random.default_rng(5)
+    prob = rng.random(4000)
+    label = (rng.random(4000) < prob).astype(int)
+    scored = spark.createDataFrame(list(zip(range(4000), label.tolist(), prob.tolist(), (prob > 0.5).astype(int).tolist())), "id long, label int, prob double, prediction int")
+    for points in (4, 40, 200):
+        error = 1 / (points // 4)
+        whole = [(r.fpr, r.tpr) for r in evaluate.roc_curve(scored).collect()]
+        kept = [(r.fpr, r.tpr) for r in evaluate.roc_curve(scored, max_points=points).collect()]
+        assert len(kept) <= points + 1 and set(kept) <= set(whole) and kept[-1] == (1.0, 1.0)
+        there = np.array(kept)
+        for x, y in whole:
+            assert (np.abs(there - (x, y)).max(axis=1)).min() <= error
+        whole = [(r.recall, r.precision) for r in evaluate.pr_curve(scored).collect()]
+        kept = [(r.recall, r.precision) for r in evaluate.pr_curve(scored, max_points=points).collect()]
+        assert len(kept) <= points + 1 and set(kept) <= set(whole)
+        there = np.array(kept)
+        for x, y in whole:
+            near = there[np.abs(there[:, 0] - x) <= error][:, 1]
+            assert near.min() <= y <= near.max()
+    with pytest.raises(ValueError):
+        evaluate.roc_curve(scored, max_points=3)

@@ -63,9 +63,14 @@ def test_join_form_only_meets_counted_rows(narrow):
 def test_streaks_do_not_sort_transactions_in_one_task(narrow):
     streaks = reports.q09_fraud_streaks(narrow)
     plan = _plan(streaks)
-    # Only the per-partition row counts go to a single task.
+    # Only the last rows of each range, as many as a frame has, go to a single task.
     after = plan.split("Exchange SinglePartition")[1:]
-    assert len(after) == 1 and "HashAggregate(keys=[_part" in after[0].splitlines()[1]
+    assert len(after) == 1 and "_last" in after[0].splitlines()[1] and "_pos" in after[0].splitlines()[1]
+
+
+def test_correlations_stay_in_the_jvm(spark, sf_check):
+    plan = _plan(explore.eda_correlation_matrix(fixtures.transactions(spark, sf_check)))
+    assert "Python" not in plan and "Arrow" not in plan and "HashAggregate" in plan
 
 
 def test_split_does_not_shuffle(narrow):

@@ -51,17 +51,40 @@ def test_global_index_is_dense_and_ordered(skewed):
     assert keys == sorted(keys)
 
 
-@pytest.mark.parametrize("n,block", [(10, 10), (10, 37), (3, 1000), (1, 5)])
-def test_rolling_sum_equals_one_window(skewed, n, block):
-    got = rolling_sum(skewed.select("id", "time", "class"), "class", ["time", "id"], n, "s", block, partitions=16)
+@pytest.mark.parametrize("n,partitions", [(10, 16), (10, 1), (3, 64), (1, 5)])
+def test_rolling_sum_equals_one_window(skewed, n, partitions):
+    got = rolling_sum(skewed.select("id", "time", "class"), "class", ["time", "id"], n, "s", partitions)
     window = Window.orderBy("time", "id").rowsBetween(-(n - 1), 0)
     want = skewed.withColumn("s", F.sum("class").over(window))
     assert {(r.id, r.s) for r in got.collect()} == {(r.id, r.s) for r in want.collect()}
 
 
-def test_rolling_sum_needs_room_for_the_frame(skewed):
+@pytest.mark.parametrize("rows", [0, 1, 7, 40])
+def test_rolling_sum_over_ranges_shorter_than_the_frame(spark, rows):
+    """More ranges than rows, and a null that counts as nothing; doubles too."""
+    values = [None if i == 3 else float(i * i % 11) for i in range(rows)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
+    got = {r.id: r.s for r in rolling_sum(df, "v", ["id"], 10, "s", 30).collect()}
+    assert got == {i: sum(v or 0 for v in values[max(0, i - 9) : i + 1]) for i in range(rows)}
+
+
+def test_rolling_sum_shuffles_its_rows_once(skewed):
+    import ledgerlens.plans.ordering as ordering
+
+    plans = []
+    real = ordering.materialize
+    ordering.materialize = lambda df, label: plans.append(df) or real(df, label)
+    try:
+        rolling_sum(skewed.select("id", "time", "class"), "class", ["time", "id"], 10, "s")
+    finally:
+        ordering.materialize = real
+    text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(plans) == 1 and text.count("Exchange") == 1 and "rangepartitioning" in text
+
+
+def test_rolling_sum_needs_a_frame(skewed):
     with pytest.raises(ValueError):
-        rolling_sum(skewed, "class", ["time", "id"], 10, "s", block=9)
+        rolling_sum(skewed, "class", ["time", "id"], 0, "s")
 
 
 @pytest.mark.parametrize("descending", [True, False])
