@@ -1,10 +1,14 @@
 """Exact k nearest neighbours of every row within one table, by pivot cells.
 
 Rows go to the cell of their nearest pivot. Pivots are a hash-picked sample of the distinct rows, so
-dense regions get more of them. A first round searches the home cell and gives every row an upper bound
-for its k-th distance; a second round visits only the cells which the triangle inequality cannot rule
-out. The result is exact for any data; the bounds only save work. Inside a task the distances are NumPy
-array operations over a bounded number of rows.
+dense regions get more of them; with cells of about twice the square root of the rows, there are half as
+many pivots as that root, and placing the rows costs n^1.5. A first round searches the home cell and gives
+every row an upper bound for its k-th distance, its reach. Then cells are visited nearest first (by what the
+triangle inequality says of them), a few more in each round, and the reach shrinks between rounds: far cells are
+met with the small reach or not at all. The result is exact for any data; the bounds only save work. Inside a task
+the distances are NumPy array operations over a bounded number of rows.
+
+``approximate_neighbours`` is the hashed form, for a caller that asks for it by name.
 """
 
 from __future__ import annotations
@@ -20,6 +24,9 @@ from ..functions.numeric import hash32
 from ..session import materialize
 
 
+CELL_ROWS = 256  # rows of a cell at least
+VISITS = ((0, 3), (3, 15), (15, None))  # which of the other cells, nearest first, each round may visit
+
 # Functions for the workers are made inside factories, so they are shipped by value.
 _PAIRS = "id bigint, neighbour_id bigint, d2 double"
 
@@ -90,8 +97,8 @@ def _home_kernel(pivots: np.ndarray, batch: int = 1024):
     return home
 
 
-def _visit_kernel(pivots: np.ndarray, radius: np.ndarray, batch: int = 256):
-    """Cells other than the home cell that may hold a row within ``reach``."""
+def _visit_kernel(pivots: np.ndarray, radius: np.ndarray, begin: int, end: int | None, batch: int = 256):
+    """Of the cells but the home cell, nearest first, those from ``begin`` to ``end`` that may hold a row within ``reach``."""
     measure = _squared_distances()
     spread = float(np.sqrt((pivots * pivots).sum(axis=1).max()))
 
@@ -102,16 +109,20 @@ def _visit_kernel(pivots: np.ndarray, radius: np.ndarray, batch: int = 256):
             part, h, r = points[at : at + batch], homes[at : at + batch], limits[at : at + batch]
             row = np.arange(len(part))
             d2 = measure(part, pivots)
-            d = np.sqrt(d2)
             # The distances are rounded: a cell is skipped only when it is out of reach by a margin.
-            scale = 1.0 + spread + np.sqrt((part * part).sum(axis=1))
-            margin = (r + 1e-6 * scale)[:, None]
+            scale = 1.0 + spread + np.sqrt((part * part).sum(axis=1))[:, None]
             between = np.sqrt(measure(pivots[h], pivots))
-            lead = d2 - d2[row, h][:, None] - 1e-9 * (scale * scale)[:, None]
-            # Beyond the sphere around the pivot, or beyond the plane halfway to it.
-            open_cells = (radius >= 0)[None, :] & (d - radius[None, :] <= margin) & (lead <= 2.0 * between * margin)
-            open_cells[row, h] = False
-            out.extend(np.flatnonzero(line).astype("int32") for line in open_cells)
+            lead = d2 - d2[row, h][:, None] - 1e-9 * scale * scale
+            # No row of a cell is nearer than the sphere around the pivot, or than the plane halfway to it.
+            sphere = np.sqrt(d2) - radius[None, :]
+            plane = np.divide(lead, 2.0 * between, out=np.zeros_like(lead), where=between > 0)
+            least = np.maximum(np.maximum(sphere, plane), 0.0)
+            least[:, radius < 0] = np.inf
+            least[row, h] = -1.0  # the home cell comes first
+            order = np.argsort(least, axis=1, kind="stable")[:, 1:][:, begin:end]
+            near = np.take_along_axis(least, order, axis=1) <= r[:, None] + 1e-6 * scale
+            near &= np.isfinite(np.take_along_axis(least, order, axis=1))
+            out.extend(line[keep].astype("int32") for line, keep in zip(order, near))
         return pd.Series(out)
 
     return visit
@@ -159,15 +170,16 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
 def nearest_neighbours(
     points: DataFrame,
     k: int = 5,
-    cell_rows: int = 8192,
-    max_pivots: int = 8192,
+    cell_rows: int | None = None,
     query_chunk: int = 4096,
     member_chunk: int = 65536,
     seed: int = 42,
+    pairs: list[int] | None = None,
 ) -> DataFrame:
     """``id, rank, neighbour_id, distance`` for ``points`` (``id bigint, x array<double>``).
 
-    A row is never its own neighbour; equal distances are ordered by id.
+    A row is never its own neighbour; equal distances are ordered by id. ``cell_rows`` is by default twice the square root
+    of the rows, ``CELL_ROWS`` at least. ``pairs`` gets the number of measured pairs of each round.
     """
     total = points.count()
     if total <= k:
@@ -177,7 +189,8 @@ def nearest_neighbours(
     numbered = points.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
     members = materialize(numbered, "members")
     held = members.count()
-    result = _ranked(_search_members(members, held, k, cell_rows, max_pivots, query_chunk, member_chunk, seed))
+    size = cell_rows or max(CELL_ROWS, math.ceil(2 * math.sqrt(held)))
+    result = _ranked(_search_members(members, held, k, size, query_chunk, member_chunk, seed, [] if pairs is None else pairs))
     return result if held == total else result.unionByName(_copies(points, members, k))
 
 
@@ -197,14 +210,15 @@ def _search_members(
     held: int,
     k: int,
     cell_rows: int,
-    max_pivots: int,
     query_chunk: int,
     member_chunk: int,
     seed: int,
+    pairs: list[int],
 ) -> DataFrame:
-    pivot_count = min(max_pivots, math.ceil(held / cell_rows))
+    pivot_count = math.ceil(held / cell_rows)
     if pivot_count == 1:
         rows = members.select("id", "x", F.lit(0).alias("cell"))
+        pairs.append(held * held)
         return _best(_search(rows, rows, {0: (held, held)}, k, query_chunk, member_chunk), k)
 
     distinct = members.where("copy = 1")
@@ -219,23 +233,92 @@ def _search_members(
     for row in placed.groupBy("cell").agg(F.max("gap").alias("r"), F.count(F.lit(1)).alias("n")).collect():
         radius[row.cell], inside[row.cell] = row.r, row.n
     at_home = {c: (n, n) for c, n in inside.items()}
+    pairs.append(sum(n * n for n in inside.values()))
     near = materialize(_best(_search(placed, placed, at_home, k, query_chunk, member_chunk), k), "near")
-
-    reach = near.groupBy("id").agg(
-        F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("d2"))).otherwise(F.lit(math.inf)).alias("reach")
-    )
-    open_cells = F.pandas_udf(_visit_kernel(pivots, radius), "array<int>")
-    # A row alone in its cell found nothing yet: no bound.
-    bounded = placed.join(reach, "id", "left").fillna({"reach": math.inf})
-    visits = bounded.withColumn("visit", open_cells("x", "cell", "reach")).where(F.size("visit") > 0)
-    visits = materialize(visits.select("id", "x", "visit"), "visits").select("id", "x", F.explode("visit").alias("cell"))
-    asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
-    if not asked:
-        return near
-    visited = {r.cell: (r.n, inside[r.cell]) for r in asked}
-    more = _search(visits, placed, visited, k, query_chunk, member_chunk)
-    return _best(near.select("id", "neighbour_id", "d2").unionByName(more), k)
+    for begin, end in VISITS:
+        if begin >= len(pivots) - 1:
+            break
+        reach = near.groupBy("id").agg(
+            F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("d2"))).otherwise(F.lit(math.inf)).alias("reach")
+        )
+        open_cells = F.pandas_udf(_visit_kernel(pivots, radius, begin, end), "array<int>")
+        # A row alone in its cell found nothing yet: no bound.
+        bounded = placed.join(reach, "id", "left").fillna({"reach": math.inf})
+        visits = bounded.withColumn("visit", open_cells("x", "cell", "reach")).where(F.size("visit") > 0)
+        visits = materialize(visits.select("id", "x", "visit"), "visits").select("id", "x", F.explode("visit").alias("cell"))
+        asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
+        pairs.append(sum(r.n * inside[r.cell] for r in asked))
+        if asked:
+            visited = {r.cell: (r.n, inside[r.cell]) for r in asked}
+            more = _search(visits, placed, visited, k, query_chunk, member_chunk)
+            near = materialize(_best(near.select("id", "neighbour_id", "d2").unionByName(more), k), "near")
+    return near
 
 
 def _ranked(best: DataFrame) -> DataFrame:
     return best.select("id", "rank", "neighbour_id", F.sqrt("d2").alias("distance"))
+
+
+def approximate_neighbours(
+    points: DataFrame, k: int = 5, tables: int = 12, width: float = 4.0, bits: int = 4, probes: int = 1, seed: int = 42, query_chunk: int = 4096, member_chunk: int = 65536
+) -> DataFrame:
+    """``id, rank, neighbour_id, distance`` by p-stable hashing: near rows share a bucket of some table with high chance.
+
+    A bucket is ``bits`` projections on normal directions, in steps of ``width`` average standard deviations over the
+    square root of the columns; each row is also looked up in the buckets next to its own for its ``probes`` projections
+    that lie nearest to a step. Distances are measured, so only neighbours may be missing; ``neighbour_recall`` tells how many.
+    """
+    size = len(points.first()["x"])
+    spread = points.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.stddev_pop("v").alias("s"))
+    scale = float(spread.agg(F.sqrt(F.avg(F.col("s") * F.col("s")))).first()[0] or 1.0)
+    rng = np.random.default_rng(seed)
+    directions = rng.normal(size=(tables, bits, size))
+    step = width * max(scale, 1e-12)
+    shifts = rng.uniform(0, step, size=(tables, bits))
+
+    def place(x: pd.Series) -> pd.Series:
+        at = (np.einsum("tbs,ns->ntb", directions, np.stack(x.to_numpy())) + shifts[None]) / step
+        whole = np.floor(at)
+        gap = at - whole
+        out = []
+        for n in range(len(whole)):
+            keys = []
+            for t in range(tables):
+                own = whole[n, t].astype("int64")
+                keys.append(f"{t}:" + ",".join(map(str, own)))
+                for b in np.argsort(np.minimum(gap[n, t], 1 - gap[n, t]), kind="stable")[:probes]:
+                    other = own.copy()
+                    other[b] += 1 if gap[n, t, b] > 0.5 else -1
+                    keys.append(f"{t}:" + ",".join(map(str, other)))
+            out.append(keys)
+        return pd.Series(out)
+
+    placed = points.withColumn("keys", F.pandas_udf(place, "array<string>")("x"))
+    placed = materialize(placed.select("id", "x", "keys"), "hashed")
+    asked = placed.select("id", "x", F.explode("keys").alias("bucket"))
+    own = F.filter("keys", lambda _, i: i % (probes + 1) == 0)
+    held = placed.select("id", "x", F.explode(own).alias("bucket"))
+    sizes = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
+    counts = materialize(asked.groupBy("bucket").agg(F.count(F.lit(1)).alias("q")).join(sizes, "bucket"), "bucket-sizes")
+    # big buckets are cut into bounded chunks on both sides, as cells are
+    cut = counts.select(
+        "bucket", F.ceil(F.col("q") / query_chunk).cast("int").alias("nq"), F.ceil(F.col("m") / member_chunk).cast("int").alias("nm")
+    )
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n).cast("bigint")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = ["bucket", "qc", "mc"]
+    queries = asked.join(cut, "bucket").withColumn("qc", part("nq")).withColumn("mc", every("nm")).select(*keys, "id", "x")
+    members = held.join(cut, "bucket").withColumn("mc", part("nm")).withColumn("qc", every("nq"))
+    members = members.select(*[F.col(c).alias(c) for c in keys], F.col("id").alias("member_id"), F.col("x").alias("member_x"))
+    found = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(_search_kernel(k), _PAIRS)
+    return _ranked(_best(found.distinct(), k))
+
+
+def neighbour_recall(exact: DataFrame, found: DataFrame) -> DataFrame:
+    """(wanted, met, recall): how many of the exact neighbours were found, or others at the same distance."""
+    limit = exact.groupBy("id").agg(F.max("distance").alias("most"), F.count(F.lit(1)).alias("wanted"))
+    met = found.join(limit, "id").where(F.col("distance") <= F.col("most") * (1 + 1e-12)).groupBy("id").agg(F.count(F.lit(1)).alias("met"))
+    both = limit.join(met, "id", "left").agg(
+        F.sum("wanted").alias("wanted"), F.sum(F.least(F.coalesce("met", F.lit(0)), F.col("wanted"))).alias("met")
+    )
+    return both.withColumn("recall", F.col("met") / F.col("wanted"))

@@ -11,7 +11,7 @@ from ..functions.numeric import HASH_SPACE, hash32
 from ..plans.ordering import Cut, rank_cuts
 from ..session import materialize
 from ..sources.schema import FEATURES
-from .neighbours import nearest_neighbours
+from .neighbours import approximate_neighbours, nearest_neighbours
 
 COPY_BLOCK = 10_000  # synthetic rows that one task grows from one base row at a time
 
@@ -104,11 +104,16 @@ def smote_knn(
     minority: int = 1,
     k: int = 5,
     id_col: str = "id",
+    method: str = "exact",
     **options,
 ) -> DataFrame:
-    """``id, rank, neighbour_id, distance``: the k nearest minority rows of each minority row."""
+    """``id, rank, neighbour_id, distance``: the k nearest minority rows of each minority row.
+
+    ``method="lsh"`` looks only into shared hash buckets and may miss some.
+    """
     points = _minority_points(df, features, label, minority, id_col)
-    return nearest_neighbours(points, k, **options).withColumnRenamed("id", id_col)
+    search = {"exact": nearest_neighbours, "lsh": approximate_neighbours}[method]
+    return search(points, k, **options).withColumnRenamed("id", id_col)
 
 
 def smote(

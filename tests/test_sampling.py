@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import hash32
 from ledgerlens.operators import sampling
-from ledgerlens.operators.neighbours import nearest_neighbours
+from ledgerlens.operators.neighbours import approximate_neighbours, nearest_neighbours, neighbour_recall
 
 
 def _points(spark, n, kind):
@@ -145,3 +145,30 @@ def test_only_train_rows_are_synthetic(labelled):
     assert balance[("before", "test", 1)] == balance[("after", "test", 1)] == 20
     sides = splits.where("not is_synthetic").groupBy("id").agg(F.countDistinct("split").alias("n"))
     assert sides.where("n <> 1").count() == 0 and sides.count() == 1200
+
+
+def _clustered(spark, n):
+    rng = np.random.default_rng(n)
+    centres = np.random.default_rng(1).normal(size=(60, 8)) * 4
+    x = centres[rng.integers(0, 60, n)] + rng.normal(size=(n, 8)) * 0.4
+    return spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id bigint, x array<double>"), x
+
+
+def test_share_of_measured_pairs_falls_with_size(spark):
+    shares = []
+    for n in (1_000, 4_000, 16_000):
+        points, _ = _clustered(spark, n)
+        pairs = []
+        assert nearest_neighbours(points.repartition(8), 5, pairs=pairs).count() == 5 * n
+        shares.append(sum(pairs) / n**2)
+    assert shares[0] > 1.5 * shares[1] > 2 * shares[2]
+
+
+def test_hashed_neighbours_find_nearly_all(spark):
+    points, _ = _clustered(spark, 2_000)
+    exact, found = nearest_neighbours(points, 5), approximate_neighbours(points, 5, query_chunk=500, member_chunk=700)
+    told = neighbour_recall(exact, found).first()
+    assert told.wanted == 10_000 and told.recall >= 0.9
+    rows = {(r.id, r.neighbour_id): r.distance for r in found.collect()}
+    same = {(r.id, r.neighbour_id): r.distance for r in exact.collect()}
+    assert all(rows[k] == pytest.approx(d) for k, d in same.items() if k in rows)
