@@ -41,6 +41,7 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text", terms: s
     crosses two. With ``terms`` only those are indexed. Null and empty texts have no words.
     """
     kind = df.schema[key].dataType.simpleString()
+    shared = None if terms is None else df.sparkSession.sparkContext.broadcast(sorted(terms))
     schema = (
         f"shard bigint, keys array<{kind}>, hashes array<bigint>, n_words array<bigint>, starts array<bigint>,"
         "terms array<binary>, ends array<int>, positions array<int>"
@@ -48,13 +49,14 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text", terms: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
+        known_terms = None if shared is None else {t: i for i, t in enumerate(shared.value)}
         for batch in batches:
             for at, part in slices(batch.column(1), SHARD_BYTES):
-                ids: dict[bytes, int] = {} if terms is None else {t: i for i, t in enumerate(terms)}
+                ids: dict[bytes, int] = {} if known_terms is None else known_terms
                 found, place, counts, starts, begin = [], [], [], [], 0
                 for item in part.to_pylist():
                     words = words_of(item)
-                    if terms is None:
+                    if known_terms is None:
                         told = np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int32)
                     else:
                         told = np.array([ids.get(w, -1) for w in words], dtype=np.int32)
@@ -68,7 +70,7 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text", terms: s
                 order = np.argsort(term, kind="stable")
                 term, position = term[order], position[order]
                 first = np.flatnonzero(np.diff(term, prepend=-1))
-                names = list(ids)
+                names = list(ids) if shared is None else shared.value
                 rows, marks = (batch.column(c).slice(at, len(counts)) for c in (0, 2))
                 one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
                 yield pa.RecordBatch.from_arrays(
@@ -148,14 +150,22 @@ def _close(sorted_values: np.ndarray, values: np.ndarray, distance: int) -> np.n
     return np.abs(sorted_values[at] - values) <= distance
 
 
-def _in_shard(windows, postings: dict[bytes, np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(item number, window length, places of the rarest term with the others near, starts of exact phrases)."""
-    for number, _, length, terms in windows:
+def _by_rarest(windows) -> dict[bytes, list]:
+    """The windows of each term that is the rarest of one."""
+    out: dict[bytes, list] = {}
+    for window in windows:
+        out.setdefault(window[3][0][0], []).append(window)
+    return out
+
+
+def _in_shard(by: dict[bytes, list], postings: dict[bytes, np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(item number, window length, places of the rarest term with the others near, starts of exact phrases).
+
+    Only windows whose rarest term stands in the shard are looked at.
+    """
+    for number, _, length, terms in (w for t in postings if t in by for w in by[t]):
         rarest, offset = terms[0]
-        anchor = postings.get(rarest)
-        if anchor is None:
-            continue
-        near = anchor
+        near = postings[rarest]
         for term in dict.fromkeys(t for t, _ in terms[1:]):
             other = postings.get(term)
             near = near[:0] if other is None else near[_close(other, near, NEAR)]
@@ -190,6 +200,7 @@ def search(index: DataFrame, items: DataFrame, item_key: str = "item_id", item_t
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             windows, names = shared.value
+            by = _by_rarest(windows)
             wanted = {t for _, _, _, terms in windows for t, _ in terms}
             for batch in batches:
                 for i in range(batch.num_rows):
@@ -205,7 +216,7 @@ def search(index: DataFrame, items: DataFrame, item_key: str = "item_id", item_t
                     rows = {"doc": [], "item": [], "kind": [], "first": [], "last": []}
                     phrases: dict[int, list[tuple[np.ndarray, int]]] = {}
                     nears: dict[int, list[np.ndarray]] = {}
-                    for number, length, near, start in _in_shard(windows, postings):
+                    for number, length, near, start in _in_shard(by, postings):
                         nears.setdefault(number, []).append(near)
                         if len(start):
                             phrases.setdefault(number, []).append((start, length))

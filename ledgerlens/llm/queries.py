@@ -59,7 +59,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
-    return found.select(F.col("key").alias("doc_id"), "n_words", "n_hit", "n_items", digest, "contaminated")
+    return found.select(F.col("key").alias("doc_id"), "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
 def _held_out(parts: int, which: int):
@@ -156,11 +156,23 @@ ORACLES = {
         hit as (select rid, count(distinct word) as n_hit from (select rid, unnest(range(i, i + n)) as word from found)
                 group by rid),
         told as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as listed
-                 from (select distinct rid, item from found) group by rid)
+                 from (select distinct rid, item from found) group by rid),
+        -- proximity: places of a window's rarest word with all its other words at most 26 words away
+        words as (select rid, w[i] as word, i from (select rid, w, unnest(range(1, len(w) + 1)) as i from docs)),
+        often as (select word, count(*) as often from words group by word),
+        parts as (select distinct item, gram, unnest(string_split(gram, ' ')) as word from windows),
+        counted as (select item, gram, count(*) as n, count(often) = count(*) as whole,
+                           arg_min(word, (often, word)) as rarest
+                    from parts left join often using (word) group by item, gram),
+        anchors as (select c.item, c.gram, c.n, w.rid, w.i from counted c join words w on w.word = c.rarest where c.whole),
+        close as (select a.item, a.gram, a.rid, a.i from anchors a join parts p using (item, gram)
+                  join words w on w.rid = a.rid and w.word = p.word and abs(w.i - a.i) <= 26
+                  group by a.item, a.gram, a.rid, a.i, a.n having count(distinct p.word) = a.n),
+        near as (select rid, count(distinct item) as n_near from close group by rid)
         select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(listed, '')) as items_sha256,
-               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
-        from docs left join hit using (rid) left join told using (rid)
+               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated, coalesce(n_near, 0) as n_near
+        from docs left join hit using (rid) left join told using (rid) left join near using (rid)
     """,
     "op6_near_dedup": rf"""
         with recursive docs as (

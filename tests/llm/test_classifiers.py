@@ -141,3 +141,43 @@ def test_sample_is_bounded_and_stable(spark):
     one = labelled.sample(labels, "toxic", F.col("doc_id") > 9, "doc_id", 100).collect()
     two = labelled.sample(labels.repartition(7), "toxic", F.col("doc_id") > 9, "doc_id", 100).collect()
     assert len(one) == 100 and sorted(one) == sorted(two) and min(r.sample_key for r in one) > 9
+
+
+def test_update_equals_a_plain_loop():
+    """FTRL-proximal coordinate by coordinate, over the rows in the order that the seed gives."""
+    rng = np.random.default_rng(3)
+    size, rows = 40, [np.unique(rng.integers(0, 40, 9)) for _ in range(60)]
+    label = (rng.random(60) < 0.3).astype(np.float32)
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "label": pa.array([label.tolist()], pa.list_(pa.float32())),
+            "ends": pa.array([np.cumsum([len(r) for r in rows]).tolist()], pa.list_(pa.int64())),
+            "index": pa.array([np.concatenate(rows).tolist()], pa.list_(pa.int32())),
+            "dense": pa.array([[]], pa.list_(pa.float32())),
+        }
+    )
+    state = {name: np.zeros(size + 1, dtype=np.float32) for name in ("z", "n")}
+    z, n = [0.0] * (size + 1), [0.0] * (size + 1)
+    for number in (0, 1):
+        state = toxicity._train(labelled.Shard(batch, 0), state, number)
+        for i in np.random.default_rng(number).permutation(60).tolist():
+            w = {}
+            for j in [*rows[i].tolist(), size]:
+                rate = (toxicity.BETA + n[j] ** 0.5) / toxicity.ALPHA + (0 if j == size else toxicity.L2)
+                shrink = 0.0 if j == size else toxicity.L1
+                w[j] = 0.0 if abs(z[j]) <= shrink else -(z[j] - (shrink if z[j] > 0 else -shrink)) / rate
+            g = 1 / (1 + np.exp(-sum(w.values()))) - float(label[i])
+            for j, weight in w.items():
+                z[j] += g - ((n[j] + g * g) ** 0.5 - n[j] ** 0.5) / toxicity.ALPHA * weight
+                n[j] += g * g
+        z, n = [float(np.float32(v)) for v in z], [float(np.float32(v)) for v in n]
+    assert state["z"] == pytest.approx(np.array(z), abs=1e-4) and state["n"] == pytest.approx(np.array(n), abs=1e-4)
+
+
+def test_every_frequent_feature_is_kept(spark):
+    rows = [(i, 0.0, [i % 7, 100 + i, (1 << toxicity.BITS) - 1], []) for i in range(30)]
+    made = spark.createDataFrame(rows, labelled.ROWS).repartition(3)
+    last = (1 << toxicity.BITS) - 1
+    assert toxicity._frequent(made, 2).tolist() == [*range(7), last]
+    assert toxicity._frequent(made, 1).tolist() == [*range(7), *range(100, 130), last]
+    assert toxicity._frequent(made.limit(0), 1).tolist() == []

@@ -87,3 +87,37 @@ def test_empty_tables_and_rows_that_stay(spark):
     assert out.columns == df.columns
     kept = sorted((r.doc_id, len(words(r.text))) for r in out.collect() if r.doc_id is not None)
     assert kept == sorted((k, n) for k, n, _, _, bad in brute(docs, items) if not bad and k is not None)
+
+
+def brute_near(docs, items):
+    """{document number: items with a place of a window's rarest word that has all its other words within 26 words}."""
+    texts = [words(t) for _, t in docs]
+    wanted = {w for _, t in items for w in words(t)}
+    counts = {}
+    for text in texts:
+        for w in text:
+            if w in wanted:
+                counts[w] = counts.get(w, 0) + 1
+    out = {i: set() for i in range(len(docs))}
+    for item, text in items:
+        w = words(text)
+        n = min(13, len(w))
+        for at in range(len(w) - n + 1 if n else 0):
+            window = set(w[at : at + n])
+            if not all(x in counts for x in window):
+                continue
+            rarest = min(window, key=lambda x: (counts[x], x.encode()))
+            for i, doc in enumerate(texts):
+                for p, x in enumerate(doc):
+                    if x == rarest and window <= set(doc[max(0, p - 26) : p + 27]):
+                        out[i].add(item)
+                        break
+    return {i: len(v) for i, v in out.items()}
+
+
+def test_proximity_matches_equal_brute_force(spark):
+    docs, items = _case()
+    docs = [(i, t) for i, (_, t) in enumerate(docs) if i < 60]
+    df, wanted = _frames(spark, docs, items)
+    found = {r.key: r.n_near for r in decontaminate.contamination(df, wanted).collect()}
+    assert found == brute_near(docs, items) and max(found.values()) > 3

@@ -15,8 +15,8 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def classes(rows):
-    """Brute force: {key: (set size, least key reachable)}."""
+def classes(rows, least=85):
+    """Brute force: {key: (set size, least key reachable)}; links from a similarity of ``least`` per cent."""
     sets = [(k, shingles(t)) for k, t in rows]
     parent = {k: k for k, _ in sets}
 
@@ -27,7 +27,7 @@ def classes(rows):
 
     for i, (a, sa) in enumerate(sets):
         for b, sb in sets[:i]:
-            if sa and sb and 100 * len(sa & sb) >= 85 * len(sa | sb):
+            if sa and sb and 100 * len(sa & sb) >= least * len(sa | sb):
                 a_, b_ = find(a), find(b)
                 parent[max(a_, b_)] = min(a_, b_)
     return {k: (len(s), find(k)) for k, s in sets}
@@ -123,3 +123,15 @@ def test_components_of_a_path_a_star_and_loops(spark):
     expected = {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 700)} | {9: 9, 2: 2, 3: 2}
     assert {r.node: r.component for r in found} == expected and len(found) == len(expected)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_class_with_many_partners_is_copied(spark, monkeypatch):
+    """Near copies of one text: every pair leads back to it, in parts of two partners."""
+    monkeypatch.setattr(near_dup, "PARTNERS", 2)
+    rows = [r for r in _rows() if r[0] < 200]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_dup.near_classes(df).collect()
+    assert {r.key: (r.n_shingles, r.component_key) for r in found} == classes(rows)
+    pairs = spark.createDataFrame([(1, b) for b in range(2, 12)] + [(2, 3)], "a long, b long")
+    parts = near_dup._parted(pairs).groupBy("a", "part").count().collect()
+    assert len({r.part for r in parts if r.a == 1}) > 1 and {r.part for r in parts if r.a == 2} == {0}

@@ -15,7 +15,7 @@ from test_near_dup import classes
 CONTRACT = {
     "op1_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op2_licenses": "doc_id n_words n_base first_word last_word base_labels labels score",
-    "op3_decontaminate": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op3_decontaminate": "doc_id n_words n_hit n_items items_sha256 contaminated n_near",
     "op4_toxicity": "doc_id held_out score predicted",
     "op5_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op6_near_dedup": "doc_id n_shingles component_id kept",
@@ -23,6 +23,9 @@ CONTRACT = {
     "op8_language": "doc_id held_out lang_pred score",
     "op9_quality": "doc_id held_out score predicted",
     "op10_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op11_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_ngram_join": "doc_id n_shingles component_id",
 }
 
 
@@ -66,7 +69,7 @@ def test_pipeline_stage_by_stage(spark, sf_small):
     assert set(pairs(kept)) == set(latest.values())
     before = pairs(kept)
     kept = materialize(stages.near_dedup(spark, kept, sf_small), "test")
-    assert set(pairs(kept)) == {k for k, (_, c) in classes(list(before.items())).items() if k == c}
+    assert set(pairs(kept)) == {k for k, (_, c) in classes(list(before.items()), 80).items() if k == c}
     before = pairs(kept)
     kept = materialize(stages.decontaminate_docs(spark, kept, sf_small), "test")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()]
