@@ -9,9 +9,10 @@ tile, and unrelated sets hardly ever do, even where they share a passage.
 2. In each tile the class that meets the most others leads; it meets the tile's other classes. A pair goes on if bit
    counts allow the overlap: the signatures are parity bitmaps, and every differing bit is a differing n-gram. Then the
    sorted sets are intersected.
-3. Tiles that still hold several components are dealt out in blocks whose rows bound their memory. A task looks at two
-   blocks: bit counts first, then the intersection of the pairs whose components are still apart. It gives on at most one
-   link per row, so a large group of near copies is never written out pair by pair.
+3. Tiles that still hold several components are dealt out in blocks whose rows bound their memory. A task compares the
+   signatures of two blocks. First it gives on fewer pairs than rows, as many as may join components, so a large group of
+   near copies is never written out pair by pair; what is apart after these are decided gives all pairs that bit counts
+   allow. Again the sorted sets decide.
 4. Components of the links are the result. No link between different sets is lost; only the equality of n-grams, parts
    and whole sets rests on 64-bit hashes (128 bits and the size for whole sets).
 """
@@ -223,7 +224,8 @@ def _lead_pairs(rows: DataFrame, leads: DataFrame) -> DataFrame:
 def _both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
     """The pairs with ``columns`` of both classes; a leader's row is copied for each part of its partners."""
     side = lambda name: table.select(F.col("class").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
-    copies = side("a").join(pairs.select("a", "part").distinct(), "a")
+    parts = materialize(pairs.select("a", "part").distinct(), "parts")
+    copies = side("a").join(F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts, "a")
     return pairs.join(side("b"), "b").join(copies, ["a", "part"])
 
 
@@ -258,12 +260,11 @@ def _decided(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> D
     return materialize(both.mapInArrow(run, "a bigint, b bigint"), "linked-pairs")
 
 
-def joining_links(
-    left: list[dict], right: list[dict], threshold: tuple[int, int] = THRESHOLD
-) -> list[tuple[int, int]]:
-    """Links of rows of ``left`` with rows of ``right`` that join components, fewer than there are rows.
+def plausible_links(left: list[dict], right: list[dict], every: bool, threshold: tuple[int, int] = THRESHOLD) -> list[tuple[int, int]]:
+    """Pairs of rows of ``left`` and ``right`` in different components whose bit counts allow a link.
 
-    Rows have class, component, n, bitmap and grams (sorted).
+    Rows have class, component, n and bitmap. Unless ``every`` pair is wanted, those that join no further components are
+    left out, so that there are fewer pairs than rows.
     """
     parent: dict[int, int] = {}
 
@@ -275,19 +276,21 @@ def joining_links(
 
     maps = folded([r["bitmap"] for r in left + right])
     others, sizes = maps[len(left) :], np.array([r["n"] for r in right])
+    component = np.array([r["component"] for r in right])
     out = []
     for i, row in enumerate(left):
         apart = np.bitwise_count(others ^ maps[i]).sum(axis=1).astype(np.int64)
-        for j in np.flatnonzero(may_link(apart, sizes, np.full(len(right), row["n"]), threshold)).tolist():
+        may = may_link(apart, sizes, np.full(len(right), row["n"]), threshold) & (component != row["component"])
+        for j in np.flatnonzero(may).tolist():
             x, y = find(row["component"]), find(right[j]["component"])
-            if x != y and linked(row["grams"], right[j]["grams"], threshold):
+            if every or x != y:
                 parent[max(x, y)] = min(x, y)
                 out.append((row["class"], right[j]["class"]))
     return out
 
 
 def _open(rows: DataFrame, leads: DataFrame, found: DataFrame) -> DataFrame:
-    """Stored (tile, class, n, component, main) of tiles whose classes, but for the leader, are in several components.
+    """Stored (tile, class, component, main) of tiles whose classes, but for the leader, are in several components.
 
     ``main`` is the tile's most frequent component. Of tiles with the same classes one is enough.
     """
@@ -308,57 +311,71 @@ def _open(rows: DataFrame, leads: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(told.join(materialize(several.select("t.tile", "t.main"), "open-tiles"), "tile"), "open-rows")
 
 
-def _rest(rows: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Links between the components that still share tiles; stored.
+def _rest(rows: DataFrame, lead: DataFrame, every: bool, threshold: tuple[int, int]) -> DataFrame:
+    """Stored pairs (a, part, parts, b) that may link components which still share tiles (see ``plausible_links``).
 
-    A tile's rows outside its main component meet all of its rows, block by block.
+    A tile's rows outside its main component meet all of its rows, block by block; only signatures are carried there.
     """
     outside = F.col("component") != F.col("main")
-    per = rows.groupBy("tile").agg(
+    signed = rows.join(lead.select("class", "n"), "class")
+    per = signed.groupBy("tile").agg(
         F.count(F.lit(1)).alias("size"), F.count_if(outside).alias("outer"), F.max("n").alias("most")
     )
     fit = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(F.lit(BLOCK_GRAMS) / F.col("most"))))
     per = per.select("tile", *[F.ceil(F.col(c) / fit).cast("int").alias(c) for c in ("size", "outer")])
     told = rows.join(materialize(per, "tile-blocks"), "tile")
     mine = lambda blocks: F.pmod(F.xxhash64("class"), F.col(blocks)).cast("int")
-    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    all_of = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
     columns = ["tile", "class", "component"]
-    left = told.where(outside).select(*columns, F.lit(True).alias("outside"), mine("outer").alias("i"), every("size").alias("j"))
-    right = told.select(*columns, F.lit(False).alias("outside"), mine("size").alias("j"), every("outer").alias("i"))
-    dealt = left.unionByName(right).join(sets, "class")
+    left = told.where(outside).select(*columns, F.lit(True).alias("outside"), mine("outer").alias("i"), all_of("size").alias("j"))
+    right = told.select(*columns, F.lit(False).alias("outside"), mine("size").alias("j"), all_of("outer").alias("i"))
+    dealt = left.unionByName(right).join(lead.select("class", "n", "bitmap"), "class")
 
     def run(table: pa.Table) -> pa.Table:
         sides: dict[bool, list[dict]] = {True: [], False: []}
-        grams_ = table.column("grams").combine_chunks()
-        narrow = table.select(["class", "component", "n", "bitmap", "outside"]).to_pylist()
-        for i, row in enumerate(narrow):
-            row["grams"] = grams_[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+        for row in table.select(["class", "component", "n", "bitmap", "outside"]).to_pylist():
             sides[row["outside"]].append(row)
-        found = joining_links(sides[True], sides[False], threshold) if all(sides.values()) else []
+        found = plausible_links(sides[True], sides[False], every, threshold) if all(sides.values()) else []
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return materialize(dealt.groupBy("tile", "i", "j").applyInArrow(run, "a bigint, b bigint"), "rest-links")
+    pairs = dealt.groupBy("tile", "i", "j").applyInArrow(run, "a bigint, b bigint")
+    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest-pairs")
+    count = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("long").alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    parted = pairs.join(materialize(count, "many-partners"), "a", "left")
+    return materialize(parted.select("a", F.pmod(F.xxhash64("b"), parts).alias("part"), parts.alias("parts"), "b"), "parted-pairs")
 
 
 def linked_classes(df: DataFrame, key: str, text: str, lead: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """(node, component) of the classes that are linked with others."""
     none = df.sparkSession.createDataFrame([], "node bigint, component bigint")
-    placed = lead.select("class", "n", F.explode("tiles").alias("tile"))
+    placed = lead.select("class", F.explode("tiles").alias("tile"))
     shared = placed.groupBy("tile").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     rows = materialize(placed.join(shared.select("tile"), "tile"), "tile-rows")
     if rows.isEmpty():
         return none
     leads = _leads(rows)
-    pairs = _plausible(_lead_pairs(rows, leads), lead, threshold)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    links = _decided(pairs, _sets(df, key, text, lead, wanted), threshold)
+
+    def decided(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        return _decided(pairs, _sets(df, key, text, lead, wanted), threshold)
+
+    links = decided(_plausible(_lead_pairs(rows, leads), lead, threshold))
     found = none if links.isEmpty() else materialize(components(links), "components")
-    opened = _open(rows, leads, found)
-    if opened.isEmpty():
-        return found
-    sets = _sets(df, key, text, lead, opened.select("class").distinct())
-    more = _rest(opened, sets, threshold)
-    return found if more.isEmpty() else materialize(components(links.unionByName(more)), "components")
+    # first pairs that may join components, as few as that takes; then all that may still do so
+    for every in (False, True):
+        opened = _open(rows, leads, found)
+        if opened.isEmpty():
+            break
+        pairs = _rest(opened, lead, every, threshold)
+        more = none if pairs.isEmpty() else decided(pairs)
+        if more.isEmpty():
+            if every or pairs.isEmpty():
+                break
+            continue
+        links = links.unionByName(more)
+        found = materialize(components(links), "components")
+    return found
 
 
 def join_classes(
