@@ -38,6 +38,7 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # sketch parameters b, a and q
 THRESHOLD = (85, 100)  # least similarity of linked rows, where a caller names no other
 ERRORS = 5  # standard errors that the likelihood estimate may be off
 TASK_ROWS, TASK_SETS, TASK_PAIRS = 50_000, 4_000, 4_000  # rows of small steps that a task takes
+PARTNERS = 2_000  # partners that one copy of a class meets
 BROADCAST_ROWS = 200_000  # classes whose rows may be looked up by a broadcast table; more are shuffled
 
 _rng = np.random.default_rng(77)
@@ -160,11 +161,24 @@ def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, materialize(rows.join(lead, "row").withColumnRenamed("row", "class"), "class-sketches")
 
 
+def _parted(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) with ``part``, which deals the partners of a class out over several copies of it."""
+    count = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1)))
+    return pairs.join(materialize(count, "many-partners"), "a", "left").select("a", part.alias("part"), "b")
+
+
+def _both(pairs: DataFrame, table: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """The pairs with ``columns`` of both classes. The row of ``a`` is copied for each part of its partners, so a class
+    that leads very many others is met by a bounded number of them in one place."""
+    side = lambda name: table.select(F.col("class").alias(name), *[F.col(c).alias(f"{new}{name}") for c, new in columns])
+    parts = materialize(pairs.select("a", "part").distinct(), "parts")
+    copies = side("a").join(F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts, "a")
+    return pairs.join(side("b"), "b").join(copies, ["a", "part"])
+
+
 def _plausible(pairs: DataFrame, sketch: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose similarity may reach the threshold by the joint likelihood of their sketches."""
-    side = lambda name: sketch.select(
-        F.col("class").alias(name), F.col("registers").alias(f"r{name}"), F.col("n_shingles").alias(f"n{name}")
-    )
+    """The pairs (a, part, b) whose similarity may reach the threshold by the joint likelihood of their sketches."""
     wanted = threshold[0] / threshold[1]
     slack = ERRORS * (wanted * (1 - wanted) / REGISTERS) ** 0.5
 
@@ -176,12 +190,12 @@ def _plausible(pairs: DataFrame, sketch: DataFrame, threshold: tuple[int, int])
             na, nb = (batch.column(c).to_numpy().astype(np.float64) for c in ("na", "nb"))
             likely = likely_similarity(view("ra"), view("rb"), na, nb)
             keep = pa.array(likely >= wanted - slack)
-            yield batch.select(["a", "b"]).filter(keep)
+            yield batch.select(["a", "part", "b"]).filter(keep)
 
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    joined = _both(pairs, sketch, [("registers", "r"), ("n_shingles", "n")])
     # set sizes alone bound the similarity
     sized = joined.where(f"{threshold[1]} * least(na, nb) >= {threshold[0]} * greatest(na, nb)")
-    return sized.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a bigint, b bigint")
+    return sized.select("a", "part", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a bigint, part bigint, b bigint")
 
 
 def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
@@ -217,9 +231,8 @@ def _sets(df: DataFrame, key: str, text: str, sketch: DataFrame, wanted: DataFra
 
 
 def _decided(pairs: DataFrame, sets: DataFrame, count: int, threshold: tuple[int, int]) -> DataFrame:
-    """Of ``count`` pairs (a, b) those that are linked, by their full sets; stored."""
-    of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias(f"s{name}"))
-    joined = pairs.join(of("b"), "b").join(of("a"), "a")
+    """Of ``count`` pairs (a, part, b) those that are linked, by their full sets; stored."""
+    joined = _both(pairs, sets, [("shingles", "s")])
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     counted = joined.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).cast("long").alias("sizes"))
     counted = counted.where(_linked(F.col("both"), F.col("sizes") - F.col("both"), threshold))
@@ -305,9 +318,11 @@ def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame, thresh
             sets = _sets(df, key, text, sketch, wanted, wanted.count())
             pairs = materialize(_prefix_pairs(rows, sets, threshold), "prefix-pairs")
             count = pairs.count()
+            pairs = materialize(few_tasks(_parted(pairs), count, TASK_ROWS), "parted-pairs")
         else:
-            pairs = few_tasks(_plausible(_lead_pairs(rows, size), sketch, threshold), size, TASK_ROWS)
-            pairs = materialize(pairs, "plausible-pairs")
+            led = materialize(few_tasks(_lead_pairs(rows, size), size, TASK_ROWS), "lead-pairs")
+            led = materialize(few_tasks(_parted(led), size, TASK_ROWS), "parted-pairs")
+            pairs = materialize(few_tasks(_plausible(led, sketch, threshold), size, TASK_ROWS), "plausible-pairs")
             count = pairs.count()
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
             sets = _sets(df, key, text, sketch, wanted, 2 * count)
