@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -11,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_scope
 
 SAMPLE_ROWS = 20_000  # labelled rows that a model is fitted on at most; every row is scored
-SHARDS = 4  # models trained side by side in each round at most
+SHARDS = 8  # models trained side by side in each round at most
 SHARD_ROWS = 1_000  # rows that a shard should have; with fewer rows there are fewer shards
-ROUND_ROWS = 4_000  # row visits of a shard in a round at least, by up to ten passes over its rows
+ROUND_ROWS = 2_000  # row visits of a shard in a round at least, by up to ten passes over its rows
+
+PART = 1 << 18  # numbers of a model that travel together
 
 State = dict[str, np.ndarray]
 
@@ -60,6 +61,7 @@ def pack(features: DataFrame, rows: int) -> DataFrame:
         whole = lambda values, kind: pa.array([values], pa.list_(kind))
         return pa.table(
             {
+                "shard": table.column("shard")[:1],
                 "label": whole(table.column("label").to_pylist(), pa.float32()),
                 "ends": whole(ends.astype(np.int64), pa.int64()),
                 "index": whole(index.flatten().to_numpy(zero_copy_only=False), pa.int32()),
@@ -67,7 +69,7 @@ def pack(features: DataFrame, rows: int) -> DataFrame:
             }
         )
 
-    schema = "label array<float>, ends array<bigint>, index array<int>, dense array<float>"
+    schema = "shard bigint, label array<float>, ends array<bigint>, index array<int>, dense array<float>"
     sharded = features.withColumn("shard", shard_of(rows))
     return materialize(sharded.groupBy("shard").applyInArrow(one, schema), "training-shards")
 
@@ -83,26 +85,29 @@ class Shard:
         self.dense = dense.reshape(len(self.label), len(dense) // max(1, len(self.label)))
 
 
-def to_bytes(state: State) -> bytes:
-    out = io.BytesIO()
-    np.savez(out, **state)
-    return zlib.compress(out.getvalue(), 1)
+def to_bytes(state: State) -> dict[str, tuple[bytes, tuple[int, ...]]]:
+    """Each array of 32-bit numbers, packed, with its shape."""
+    return {name: (zlib.compress(np.ascontiguousarray(v, dtype=np.float32).data, 1), v.shape) for name, v in state.items()}
 
 
-def from_bytes(data: bytes) -> State:
-    with np.load(io.BytesIO(zlib.decompress(data))) as arrays:
-        return {name: arrays[name] for name in arrays.files}
+def from_bytes(packed: dict[str, tuple[bytes, tuple[int, ...]]]) -> State:
+    return {name: np.frombuffer(zlib.decompress(d), dtype=np.float32).reshape(shape).copy() for name, (d, shape) in packed.items()}
 
 
 def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], State], rounds: int) -> State:
     """Rounds of training: each shard goes on from the last average; the average weighs shards by their rows.
 
-    Without rows the start is returned. At most ``SHARDS`` models reach the driver in a round.
+    Without rows the start is returned. What the shards give is stored in parts, already weighed; one part at a time
+    reaches the driver and is added up, shard after shard.
     """
-    context = shards.sparkSession.sparkContext
-    state = start
+    spark = shards.sparkSession
+    state = {name: values.copy() for name, values in start.items()}
+    sizes = {r["shard"]: r["n"] for r in shards.select("shard", F.size("label").alias("n")).collect()}
+    if not sizes:
+        return state
+    share = {shard: np.float32(n / sum(sizes.values())) for shard, n in sizes.items()}
     for number in range(rounds):
-        shared = context.broadcast(to_bytes(state))
+        shared = spark.sparkContext.broadcast(to_bytes(state))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -111,23 +116,24 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
                     now = from_bytes(shared.value)
                     for again in range(passes(len(shard.label))):
                         now = train(shard, now, 100 * number + again)
-                    made = to_bytes(now)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([len(shard.label)], pa.int64()), pa.array([made], pa.binary())], ["n", "state"]
-                    )
-
-        found = shards.mapInArrow(run, "n bigint, state binary").collect()
+                    told = batch.column("shard")[row].as_py()
+                    for name, values in now.items():
+                        flat = values.ravel()
+                        for at in range(0, len(flat), PART):
+                            packed = zlib.compress((flat[at : at + PART] * share[told]).astype(np.float32).tobytes(), 1)
+                            cells = [[name], [at], [told], [packed]]
+                            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], names)
+
+        names, kinds = ["name", "at", "shard", "data"], [pa.string(), pa.int64(), pa.int64(), pa.binary()]
+        shape = "name string, at bigint, shard bigint, data binary"
+        with scratch_scope(spark):
+            made = materialize(shards.mapInArrow(run, shape), "shard-models")
+            state = {name: np.zeros_like(values) for name, values in start.items()}
+            for told in sorted(sizes):  # in this order, so that sums do not depend on which shard ended first
+                for row in made.where(F.col("shard") == told).select("name", "at", "data").toLocalIterator():
+                    part = np.frombuffer(zlib.decompress(bytes(row["data"])), dtype=np.float32)
+                    state[row["name"]].reshape(-1)[row["at"] : row["at"] + len(part)] += part
         shared.destroy()
-        if not found:
-            return start
-        found.sort(key=lambda r: (r["n"], bytes(r["state"])))  # sums do not depend on which shard came first
-        total = sum(r["n"] for r in found)
-        mixed: State = {}
-        for r in found:
-            for name, values in from_bytes(bytes(r["state"])).items():
-                part = values * (r["n"] / total)
-                mixed[name] = mixed[name] + part if name in mixed else part
-        state = {name: values.astype(start[name].dtype) for name, values in mixed.items()}
     return state
 
 

@@ -18,7 +18,7 @@ from .labelled import Shard, State, sigmoid
 from .marks import text_hash
 from .words import ALNUM, NOT_SPACE, bounds, hashes, raw, slices
 
-BITS = 15
+BITS = 16
 FACTORS = 8
 RATE, DECAY, BATCH = 0.1, 1e-5, 64
 ROUNDS = 8

@@ -14,14 +14,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import stored_while
 from . import labelled
 from .labelled import Shard, State, sigmoid
 from .words import ALNUM, mix, slices, word_hashes
 
 BITS = 24  # hash space of the features
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 2.0, 0.0
-ROUNDS = 6
+ROUNDS = 8
+RANGES = 64  # parts of the hash space that features are counted in
 SKIP_SEED, PAIR_SEED = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -96,9 +97,29 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
 
     rows = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
     schema = labelled.ROWS
-    made = materialize(rows.mapInArrow(run, schema), "toxicity-features")
-    kept = _frequent(made, _least_rows(made, picked.count()))
-    shared = df.sparkSession.sparkContext.broadcast(kept)
+    with stored_while(rows.mapInArrow(run, schema), "toxicity-features") as made:
+        kept, shards = _shards(made, schema)
+    start = {name: np.zeros(len(kept) + 1, dtype=np.float32) for name in ("z", "n")}
+    state = labelled.fit(shards, start, _train, ROUNDS)
+    state = {name: values.astype(np.float64) for name, values in state.items()}
+    w = weights(state)[:-1]
+    some = np.flatnonzero(w)
+    bias = -state["z"][-1] / ((BETA + np.sqrt(state["n"][-1])) / ALPHA)
+    return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w[some].astype(np.float32)}
+
+
+def _dense(model: dict) -> np.ndarray:
+    """The weight of every coordinate of the hash space."""
+    out = np.zeros(1 << BITS, dtype=np.float32)
+    out[model["index"]] = model["weight"]
+    return out
+
+
+def _shards(made: DataFrame, schema: str) -> tuple[np.ndarray, DataFrame]:
+    """The features that may get a weight, and the feature rows ``made`` as shards, with these features numbered."""
+    trained_rows = made.count()
+    kept = _frequent(made, _least_rows(made, trained_rows))
+    shared = made.sparkSession.sparkContext.broadcast(kept)
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << BITS, -1, dtype=np.int32)
@@ -113,14 +134,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
             columns = [batch.column("order"), batch.column("label"), fewer, batch.column("dense")]
             yield pa.RecordBatch.from_arrays(columns, ["order", "label", "index", "dense"])
 
-    shards = labelled.pack(made.mapInArrow(renumber, schema), picked.count())
-    start = {name: np.zeros(len(kept) + 1, dtype=np.float32) for name in ("z", "n")}
-    state = labelled.fit(shards, start, _train, ROUNDS)
-    state = {name: values.astype(np.float64) for name, values in state.items()}
-    w = weights(state)[:-1]
-    some = np.flatnonzero(w)
-    bias = -state["z"][-1] / ((BETA + np.sqrt(state["n"][-1])) / ALPHA)
-    return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w[some].astype(np.float32)}
+    return kept, labelled.pack(made.mapInArrow(renumber, schema), trained_rows)
 
 
 def _least_rows(made: DataFrame, rows: int) -> int:
@@ -139,20 +153,27 @@ def _least_rows(made: DataFrame, rows: int) -> int:
 
 
 def _frequent(made: DataFrame, least: int) -> np.ndarray:
-    """The features that stand in at least ``least`` rows of the sample; one small count for each reaches the driver."""
+    """The features that stand in at least ``least`` rows of the sample, counted range by range in tasks."""
+    wide = (1 << BITS) // RANGES
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BITS, dtype=np.uint8)
         for batch in batches:
             at, seen = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
             counts[at] = np.minimum(counts[at] + seen, least)
-        packed = zlib.compress(counts.tobytes(), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["counts"])
+        packed = [zlib.compress(part.tobytes(), 1) for part in counts.reshape(RANGES, wide)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array(packed, pa.binary())], ["range", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(wide, dtype=np.uint32)
+        for part in table.column("counts").to_pylist():
+            total += np.frombuffer(zlib.decompress(part), dtype=np.uint8)
+        found = (np.flatnonzero(total >= least) + table.column("range")[0].as_py() * wide).astype(np.int32)
+        return pa.table({"found": pa.array([found.tobytes()], pa.binary())})
 
-    total = np.zeros(1 << BITS, dtype=np.uint16)
-    for row in made.select("index").mapInArrow(run, "counts binary").collect():
-        total += np.frombuffer(zlib.decompress(bytes(row["counts"])), dtype=np.uint8)
-    return np.flatnonzero(total >= least)
+    counted = made.select("index").mapInArrow(count, "range int, counts binary")
+    rows = counted.groupBy("range").applyInArrow(add, "found binary").collect()
+    return np.sort(np.concatenate([np.frombuffer(r["found"], dtype=np.int32) for r in rows] or [np.zeros(0, dtype=np.int32)]))
 
 
 def score(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -161,8 +182,7 @@ def score(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        dense = np.zeros(1 << BITS, dtype=np.float32)
-        dense[model["index"]] = model["weight"]
+        dense = _dense(model)
         for batch in batches:
             for at, texts in slices(batch.column(1)):
                 row, index = features(texts)
