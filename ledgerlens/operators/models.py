@@ -196,7 +196,7 @@ class ForestSearch:
     fold_scores: list[list[float]]
     best: int
     fits: int  # forests that were grown for all the scores
-    best_model: Model
+    best_model: Model | None
 
     @property
     def mean_scores(self) -> list[float]:
@@ -289,15 +289,20 @@ def grid_search_forest(
     share it). Of equal means the first combination is best. ``fit_rows`` bounds the rows that the search uses, not
     those of the refit. ``kept`` are rows of ``ready_rows`` over ``search_rows``, if the caller has them already.
     """
-    if kept is not None and fit_rows is None:
-        combinations, scores, fits = _search(kept, len(features), label, grid, folds, seed, parallelism, params)
+    searched = df if fit_rows is None else _fit_rows(df, fit_rows, label, seed, keys)
+
+    def run(rows: DataFrame) -> ForestSearch:
+        combinations, scores, fits = _search(rows, len(features), label, grid, folds, seed, parallelism, params)
         means = [sum(s) / len(s) for s in scores]
         best = means.index(max(means))
-        return ForestSearch(combinations, scores, best, fits, _refit(kept, combinations[best], label, seed, params))
-    searched = df if fit_rows is None else _fit_rows(df, fit_rows, label, seed, keys)
+        again = _refit(rows, combinations[best], label, seed, params) if searched is df else None
+        return ForestSearch(combinations, scores, best, fits, again)
+
+    if searched is df and kept is not None:
+        return run(kept)
     with ready_rows(search_rows(searched, label, folds, seed, keys), features, label, "fold") as rows:
-        found = grid_search_forest(searched, features, label, grid, folds, seed, parallelism, keys, None, rows, **params)
-    if searched is not df:
+        found = run(rows)
+    if found.best_model is None:
         with ready_rows(df, features, label) as rows:
             found.best_model = _refit(rows, found.combinations[found.best], label, seed, params)
     return found
