@@ -388,8 +388,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     return df.mapInArrow(run, schema)
 
 
-def digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and decode in one pass: key, n_tokens, ids_sha256, decoded_sha256, round_trip, one row per input row."""
+def digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass: key, n_tokens, ids_sha256, decoded_sha256, round_trip, one row per input row.
+
+    ``with_ids`` adds the ids themselves (array of int).
+    """
     schema = T.StructType(
         [
             T.StructField(key, df.schema[key].dataType),
@@ -397,6 +400,7 @@ def digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
             T.StructField("ids_sha256", T.StringType()),
             T.StructField("decoded_sha256", T.StringType()),
             T.StructField("round_trip", T.BooleanType()),
+            *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
         ]
     )
 
@@ -407,6 +411,10 @@ def digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
                 plain = [t or "" for t in texts.to_pylist()]
                 ids = auto.encode(plain)
                 back = [auto.decode(x) for x in ids]
+                lists = []
+                if with_ids:
+                    stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                    lists = [pa.ListArray.from_arrays(pa.array(stops), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(texts)),
@@ -414,6 +422,7 @@ def digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
                         pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                         pa.array([hashlib.sha256(x).hexdigest() for x in back]),
                         pa.array([x == t.encode() for x, t in zip(back, plain)]),
+                        *lists,
                     ],
                     schema.names,
                 )

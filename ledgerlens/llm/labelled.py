@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_scope
@@ -41,6 +41,21 @@ def sample(labels: DataFrame, label: str, usable: Column, key: str, rows: int =
     return materialize(ordered, "label-sample")
 
 
+def sample_each(labels: DataFrame, label: str, usable: Column, key: str, rows: int) -> tuple[DataFrame, dict]:
+    """As ``sample``, with the same number of keys for every label (all of a rare one), and what a key of each stands for.
+
+    So a label is learned however rare it is; the weights restore the labels' shares.
+    """
+    wanted = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & usable)
+    one = wanted.groupBy(F.col(key).alias("sample_key")).agg(F.max(F.col(label)).alias("label"))
+    one = materialize(one.withColumn("order", F.xxhash64("sample_key")), "labelled-keys")
+    sizes = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
+    most = max(1, rows // max(1, len(sizes)))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("order", "sample_key"))
+    picked = one.withColumn("place", place).where(F.col("place") <= most).drop("place")
+    return materialize(picked, "label-sample"), {k: n / min(n, most) for k, n in sizes.items()}
+
+
 def shard_of(rows: int) -> Column:
     """The shard of a sampled row, of ``rows`` in all."""
     return F.pmod("order", F.lit(max(1, min(SHARDS, rows // SHARD_ROWS))))

@@ -63,10 +63,12 @@ def _runs(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 def fit(df: DataFrame, label: str, usable: Column, key: str = "doc_id", text: str = "text") -> dict:
     """{languages, landmarks, weights} from at most ``TRAINING_ROWS`` rows with a label for which ``usable`` holds.
 
-    Without any there is no language. The sums that the regressions need are added up in the tasks; only they and the
+    Every language has the same number of rows (all of a rare one), weighed by what they stand for. Without any row there
+    is no language. The sums that the regressions need are added up in the tasks; only they and the
     landmarks reach the driver.
     """
-    picked = labelled.sample(df, label, usable, key, TRAINING_ROWS)
+    picked, stands_for = labelled.sample_each(df, label, usable, key, TRAINING_ROWS)
+    stands_for = {str(name): n for name, n in stands_for.items()}
     texts = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
     texts = materialize(texts.select("text", F.col("label").cast("string").alias("language"), "order"), "language-sample")
     languages = sorted(r[0] for r in texts.select("language").distinct().collect())
@@ -87,20 +89,21 @@ def fit(df: DataFrame, label: str, usable: Column, key: str = "doc_id", text: st
                 k = kernel(part, marks).astype(np.float64)
                 told = batch.column(1).slice(at, len(part)).to_pylist()
                 target = np.array([[1.0 if t == name else -1.0 for name in languages] for t in told])
-                square += k.T @ k
-                right += k.T @ target
+                weighed = k * np.array([[stands_for[t]] for t in told])
+                square += weighed.T @ k
+                right += weighed.T @ target
         sums = np.concatenate([square.ravel(), right.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.float64()))], ["sums"])
 
     training = texts.select("text", "language").repartition(labelled.SHARDS)
+    total_weight = sum(stands_for[r["language"]] * r["count"] for r in texts.groupBy("language").count().collect())
     parts = [np.array(r["sums"]) for r in training.mapInArrow(run, "sums array<double>").collect()]
     total = np.sum(parts, axis=0)
     m = len(landmarks)
     square, right = total[: m * m].reshape(m, m), total[m * m :].reshape(m, -1)
     size = np.maximum(landmarks.sum(1), 1)
     between = (landmarks @ landmarks.T / np.sqrt(np.outer(size, size))).astype(np.float64)
-    rows = max(1, texts.count())
-    weights = np.linalg.solve(square + RIDGE * rows / m * between + 1e-6 * np.eye(m), right)
+    weights = np.linalg.solve(square + RIDGE * total_weight / m * between + 1e-6 * np.eye(m), right)
     return {"languages": languages, "landmarks": landmarks, "weights": weights.astype(np.float32)}
 
 

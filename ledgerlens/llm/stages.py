@@ -15,7 +15,11 @@ NEAR = (80, 100)  # similarity from which documents are near duplicates; op6 has
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.
+
+    Null and empty texts have a score like others; of rows with one key, those with a rejected text go, repeated rows
+    together. Without labels every text gets about one half and stays.
+    """
     scored = quality_classifier.score(docs, quality_model(spark, sf_dir))
     marks = scored.select("key", "text_hash", (F.col("score") >= KEEP_FROM).alias("kept"))
     return drop_marked(docs, materialize(marks, "quality-marks"), "doc_id", "text")
@@ -38,5 +42,8 @@ def decontaminate_docs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document, and digests of ids and of the text decoded from them."""
-    return bpe.digest(docs, vocabulary_path())
+    """The token ids of every document, and digests of ids and of the text decoded from them.
+
+    Null and empty texts have no tokens; repeated rows and keys give a row each.
+    """
+    return bpe.digest(docs, vocabulary_path(), with_ids=True)

@@ -181,3 +181,36 @@ def test_every_frequent_feature_is_kept(spark):
     assert toxicity._frequent(made, 2).tolist() == [*range(7), last]
     assert toxicity._frequent(made, 1).tolist() == [*range(7), *range(100, 130), last]
     assert toxicity._frequent(made.limit(0), 1).tolist() == []
+
+
+def test_rare_language_is_learned(spark, monkeypatch):
+    """Three rows in 3,000 of a language, and a sample of 90 rows."""
+    monkeypatch.setattr(language, "TRAINING_ROWS", 90)
+    rng = random.Random(1)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(30))
+    rows = [(i, text("abcdefg"), "aa") for i in range(2000)] + [(i, text("ghijklm"), "bb") for i in range(2000, 2997)]
+    rows += [(i, text("nopqrst"), "cc") for i in range(2997, 3000)] + [(5000, text("nopqrst"), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.fit(df, "lang", F.lit(True))
+    assert model["languages"] == ["aa", "bb", "cc"]
+    found = {r.key: r.language for r in language.predict(df, model).collect()}
+    assert found[5000] == "cc" and sum(found[k] == lang for k, _, lang in rows if lang) > 2_980
+
+
+def test_ridge_equals_a_dense_solve_over_set_arithmetic(spark):
+    """Kernel values from sets of hashed n-grams, regressions with every row in memory."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["un deux", "eins zwei", "one two", "tre"]) for _ in range(6)), ["x", "y"][i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, "lang", F.lit(True))
+    texts = pa.array([t for _, t, _ in rows])
+    sets = [set(np.flatnonzero(p).tolist()) for p in language.presence(texts)]
+    marks = [set(np.flatnonzero(p).tolist()) for p in model["landmarks"]]
+    k = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    cross = np.array([[k(a, b) for b in marks] for a in sets])
+    assert language.kernel(texts, model["landmarks"]) == pytest.approx(cross, abs=1e-5)
+    between = np.array([[k(a, b) for b in marks] for a in marks])
+    target = np.array([[1.0 if lang == name else -1.0 for name in model["languages"]] for _, _, lang in rows])
+    m = len(marks)
+    want = np.linalg.solve(cross.T @ cross + language.RIDGE * len(rows) / m * between + 1e-6 * np.eye(m), cross.T @ target)
+    assert cross @ model["weights"] == pytest.approx(cross @ want, abs=2e-3)

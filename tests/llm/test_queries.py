@@ -77,5 +77,15 @@ def test_pipeline_stage_by_stage(spark, sf_small):
     assert kept.columns == docs.columns
     last = stages.tokens(spark, kept, sf_small).collect()
     assert {r.doc_id for r in last} == set(pairs(kept)) and all(r.round_trip for r in last)
+    assert all(len(r.ids) == r.n_tokens for r in last)
     whole = corpus_pipeline.run(spark, sf_small).collect()
     assert sorted(whole) == sorted(last)
+
+
+@pytest.mark.parametrize("empty", ["documents", "labels", "benchmark"])
+def test_pipeline_with_an_empty_table(spark, sf_small, tmp_path, empty):
+    for name in ("documents", "labels", "benchmark"):
+        table = spark.read.parquet(f"{sf_small}/{name}.parquet")
+        (table.limit(0) if name == empty else table.limit(40)).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert (found == []) == (empty == "documents") and all(r.round_trip for r in found)
