@@ -22,6 +22,7 @@ from .words import ALNUM, mix, slices, word_hashes
 BITS = 24  # hash space of the features
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 2.0, 0.0
 ROUNDS = 8
+ROWS = 512  # feature rows that a task handles at once
 RANGES = 64  # parts of the hash space that features are counted in
 SKIP_SEED, PAIR_SEED = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
@@ -56,13 +57,12 @@ def weights(state: State, at: np.ndarray | slice = slice(None)) -> np.ndarray:
 
 def _train(shard: Shard, state: State, number: int) -> State:
     """One pass of FTRL-proximal over the rows of a shard; the last coordinate is the bias, without L1."""
-    z, n = state["z"].astype(np.float64), state["n"].astype(np.float64)
-    now = {"z": z, "n": n}
+    z, n = state["z"], state["n"]  # changed in place: a shard's copy
     bias = len(z) - 1
     order = np.random.default_rng(number).permutation(len(shard.label))
     for i in order.tolist():
         at = shard.index[shard.begins[i] : shard.ends[i]]
-        w = weights(now, at)
+        w = weights(state, at)
         b = -z[bias] / ((BETA + np.sqrt(n[bias])) / ALPHA)
         g = float(sigmoid(w.sum() + b)) - float(shard.label[i])
         sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
@@ -70,7 +70,7 @@ def _train(shard: Shard, state: State, number: int) -> State:
         n[at] += g * g
         z[bias] += g - (np.sqrt(n[bias] + g * g) - np.sqrt(n[bias])) / ALPHA * b
         n[bias] += g * g
-    return {"z": z.astype(np.float32), "n": n.astype(np.float32)}
+    return state
 
 
 def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str = "doc_id", text: str = "text") -> dict:
@@ -124,7 +124,7 @@ def _shards(made: DataFrame, schema: str) -> tuple[np.ndarray, DataFrame]:
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << BITS, -1, dtype=np.int32)
         place[shared.value] = np.arange(len(shared.value), dtype=np.int32)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             lists = batch.column("index")
             index = place[lists.flatten().to_numpy(zero_copy_only=False)]
             sums = np.concatenate([[0], np.cumsum(index >= 0)])
@@ -159,8 +159,10 @@ def _frequent(made: DataFrame, least: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BITS, dtype=np.uint8)
         for batch in batches:
-            at, seen = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
-            counts[at] = np.minimum(counts[at] + seen, least)
+            for begin in range(0, batch.num_rows, ROWS):
+                index = batch.column(0).slice(begin, ROWS).flatten().to_numpy(zero_copy_only=False)
+                at, seen = np.unique(index, return_counts=True)
+                counts[at] = np.minimum(counts[at] + seen, least)
         packed = [zlib.compress(part.tobytes(), 1) for part in counts.reshape(RANGES, wide)]
         yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array(packed, pa.binary())], ["range", "counts"])
 
