@@ -23,6 +23,7 @@ from ledgerlens.operators import (  # noqa: E402
     explore,
     features,
     models,
+    neighbours,
     profile,
     reports,
     sampling,
@@ -170,6 +171,14 @@ def feat_clip(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(table.select("id", "amount_zscore"), "amount_zscore")
 
 
+def smote_knn_hashed(spark: SparkSession, sf: str) -> DataFrame:
+    """How many of the exact neighbours the hashed search is held against, and whether it finds nine in ten."""
+    train = materialize(sampling.stratified_split(_stored_features(spark, sf)).where("split = 'train'"), "train")
+    exact = materialize(sampling.smote_knn(train), "exact-neighbours")
+    told = neighbours.neighbour_recall(exact, sampling.smote_knn(train, method="lsh"))
+    return told.select("wanted", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 # ---------------------------------------------------------------- training
 def _settings(model) -> dict:
     """What was fitted: number of trees, deepest tree, and the settings behind them."""
@@ -543,6 +552,10 @@ def _core_queries() -> dict[str, Query]:
             ),
             "distance",
         ),
+        "smote_knn_hashed": smote_knn_hashed,
+        "roc_curve_bounded": lambda s, d: evaluate.roc_curve(_scored(s, d), max_points=40).agg(
+            (F.count(F.lit(1)) <= 41).alias("few_points"), F.max("tpr").alias("last_tpr"), F.max("fpr").alias("last_fpr")
+        ),
         "confusion_square": confusion_square,
         "report_summary_formatted": report_summary_formatted,
         "report_summary_scaled": report_summary_scaled,

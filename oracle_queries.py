@@ -426,6 +426,9 @@ def all_queries() -> dict[str, str]:
         "train_all": f"""{TESTED}, mo as ({values('name, position, auc_above_floor, n_trees',
             [(n, i + 1, True, FITTED[n][0]) for i, n in enumerate(baselines)])})
             select name, position, auc_above_floor, n as n_test, frauds as test_fraud, n_trees from mo, ts""",
+        "smote_knn_hashed": f"""{SPLIT} select 5 * count(*) as wanted, true as recall_reached from sp
+            where split = 'train' and class = 1""",
+        "roc_curve_bounded": "select true as few_points, 1.0::double as last_tpr, 1.0::double as last_fpr",
         "grid_search_forest": f"""{SPLIT}, tr as (select 2 * count(*) as n_train from sp where split = 'train' and class = 0),
             gr as ({grid}) select combination, params, n_train, recall_in_range, best_is_highest from gr, tr""",
         "feature_importance": f"""{BASE} select count(*) as n_rows, cast(35 as bigint) as n_features,
