@@ -428,7 +428,8 @@ def all_queries() -> dict[str, str]:
             select name, position, auc_above_floor, n as n_test, frauds as test_fraud, n_trees from mo, ts""",
         "smote_knn_hashed": f"""{SPLIT} select 5 * count(*) as wanted, true as recall_reached from sp
             where split = 'train' and class = 1""",
-        "roc_curve_bounded": "select true as few_points, 1.0::double as last_tpr, 1.0::double as last_fpr",
+        "roc_curve_bounded": """select count(*) > 0 as few_points, max(1.0::double) as last_tpr, max(1.0::double) as last_fpr
+            from events""",
         "grid_search_forest": f"""{SPLIT}, tr as (select 2 * count(*) as n_train from sp where split = 'train' and class = 0),
             gr as ({grid}) select combination, params, n_train, recall_in_range, best_is_highest from gr, tr""",
         "feature_importance": f"""{BASE} select count(*) as n_rows, cast(35 as bigint) as n_features,
@@ -500,6 +501,7 @@ def variants(found: dict[str, str]) -> dict[str, str]:
     return {
         **{f"{name}_ranged": found[name] for name in ranged},
         "clean_pipeline": found["clean_run"],
+        "ml_pipeline": found["ml_run"],
         "feature_pipeline": found["feature_run"],
         "chain_run": f"""{chain}, ts as (select count(*) as n from sp where split = 'test')
             select id, class, split, hour_of_day, high_value_flag, {r('amount_scaled', 6)} as amount_scaled,

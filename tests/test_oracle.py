@@ -11,7 +11,7 @@ import oracle_queries
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 KEYS = list(registered._core_queries())
-SLOW = ("train_forest", "train_all", "grid_search_forest", "ml_run")
+SLOW = ("train_forest", "train_gbt", "train_all", "grid_search_forest", "ml_run", "ml_pipeline")
 
 
 def _normal(value):
