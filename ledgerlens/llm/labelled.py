@@ -143,12 +143,13 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
         shape = "name string, at bigint, shard bigint, data binary"
         with scratch_scope(spark):
             made = materialize(shards.mapInArrow(run, shape), "shard-models")
+            shared.destroy()
+            del shared, run  # what was sent takes no room while the average is made
             state = {name: np.zeros_like(values) for name, values in start.items()}
             for told in sorted(sizes):  # in this order, so that sums do not depend on which shard ended first
                 for row in made.where(F.col("shard") == told).select("name", "at", "data").coalesce(1).toLocalIterator():
                     part = np.frombuffer(zlib.decompress(bytes(row["data"])), dtype=np.float32)
                     state[row["name"]].reshape(-1)[row["at"] : row["at"] + len(part)] += part
-        shared.destroy()
     return state
 
 

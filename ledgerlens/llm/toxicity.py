@@ -101,11 +101,10 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
         kept, shards = _shards(made, schema)
     start = {name: np.zeros(len(kept) + 1, dtype=np.float32) for name in ("z", "n")}
     state = labelled.fit(shards, start, _train, ROUNDS)
-    state = {name: values.astype(np.float64) for name, values in state.items()}
-    w = weights(state)[:-1]
-    some = np.flatnonzero(w)
-    bias = -state["z"][-1] / ((BETA + np.sqrt(state["n"][-1])) / ALPHA)
-    return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w[some].astype(np.float32)}
+    some = np.flatnonzero(np.abs(state["z"][:-1]) > L1)
+    w = weights({name: values[some].astype(np.float64) for name, values in state.items()})
+    bias = -float(state["z"][-1]) / ((BETA + float(state["n"][-1]) ** 0.5) / ALPHA)
+    return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w.astype(np.float32)}
 
 
 def _dense(model: dict) -> np.ndarray:
@@ -134,7 +133,9 @@ def _shards(made: DataFrame, schema: str) -> tuple[np.ndarray, DataFrame]:
             columns = [batch.column("order"), batch.column("label"), fewer, batch.column("dense")]
             yield pa.RecordBatch.from_arrays(columns, ["order", "label", "index", "dense"])
 
-    return kept, labelled.pack(made.mapInArrow(renumber, schema), trained_rows)
+    shards = labelled.pack(made.mapInArrow(renumber, schema), trained_rows)
+    shared.destroy()
+    return kept, shards
 
 
 def _least_rows(made: DataFrame, rows: int) -> int:
