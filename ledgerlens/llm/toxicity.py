@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored_while
+from ..session import materialize, stored_while
 from . import labelled
 from .labelled import Shard, State, sigmoid
 from .words import ALNUM, mix, slices, word_hashes
@@ -98,13 +98,13 @@ def fit(df: DataFrame, labels: DataFrame, label: str, usable: Column, key: str =
     rows = labelled.sampled_texts(df, picked, key, [df[text].cast("string").alias("text")])
     schema = labelled.ROWS
     with stored_while(rows.mapInArrow(run, schema), "toxicity-features") as made:
-        kept, shards = _shards(made, schema)
-    start = {name: np.zeros(len(kept) + 1, dtype=np.float32) for name in ("z", "n")}
+        frequent, size, shards = _shards(made, schema)
+    start = {name: np.zeros(size + 1, dtype=np.float32) for name in ("z", "n")}
     state = labelled.fit(shards, start, _train, ROUNDS)
     some = np.flatnonzero(np.abs(state["z"][:-1]) > L1)
     w = weights({name: values[some].astype(np.float64) for name, values in state.items()})
     bias = -float(state["z"][-1]) / ((BETA + float(state["n"][-1]) ** 0.5) / ALPHA)
-    return {"bias": float(bias), "index": kept[some].astype(np.int32), "weight": w.astype(np.float32)}
+    return {"bias": float(bias), "index": _numbers(frequent)[some].astype(np.int32), "weight": w.astype(np.float32)}
 
 
 def _dense(model: dict) -> np.ndarray:
@@ -114,10 +114,14 @@ def _dense(model: dict) -> np.ndarray:
     return out
 
 
-def _shards(made: DataFrame, schema: str) -> tuple[np.ndarray, DataFrame]:
-    """The features that may get a weight, and the feature rows ``made`` as shards, with these features numbered."""
+def _shards(made: DataFrame, schema: str) -> tuple[DataFrame, int, DataFrame]:
+    """The features that may get a weight and their number, and the rows ``made`` as shards, with these features numbered.
+
+    The driver holds the features only while they are sent, not while it averages models.
+    """
     trained_rows = made.count()
-    kept = _frequent(made, _least_rows(made, trained_rows))
+    frequent = _frequent(made, _least_rows(made, trained_rows))
+    kept = _numbers(frequent)
     shared = made.sparkSession.sparkContext.broadcast(kept)
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +139,7 @@ def _shards(made: DataFrame, schema: str) -> tuple[np.ndarray, DataFrame]:
 
     shards = labelled.pack(made.mapInArrow(renumber, schema), trained_rows)
     shared.destroy()
-    return kept, shards
+    return frequent, len(kept), shards
 
 
 def _least_rows(made: DataFrame, rows: int) -> int:
@@ -153,8 +157,8 @@ def _least_rows(made: DataFrame, rows: int) -> int:
     return 2 if max(bounds) <= L1 else 1
 
 
-def _frequent(made: DataFrame, least: int) -> np.ndarray:
-    """The features that stand in at least ``least`` rows of the sample, counted range by range in tasks."""
+def _frequent(made: DataFrame, least: int) -> DataFrame:
+    """Stored (found): the features that stand in at least ``least`` rows of the sample, counted range by range in tasks."""
     wide = (1 << BITS) // RANGES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +179,13 @@ def _frequent(made: DataFrame, least: int) -> np.ndarray:
         return pa.table({"found": pa.array([found.tobytes()], pa.binary())})
 
     counted = made.select("index").mapInArrow(count, "range int, counts binary")
-    rows = counted.groupBy("range").applyInArrow(add, "found binary").collect()
-    return np.sort(np.concatenate([np.frombuffer(r["found"], dtype=np.int32) for r in rows] or [np.zeros(0, dtype=np.int32)]))
+    return materialize(counted.groupBy("range").applyInArrow(add, "found binary"), "frequent-features")
+
+
+def _numbers(frequent: DataFrame) -> np.ndarray:
+    """All features of ``_frequent``, in order."""
+    found = [np.frombuffer(r["found"], dtype=np.int32) for r in frequent.collect()]
+    return np.sort(np.concatenate(found or [np.zeros(0, dtype=np.int32)]))
 
 
 def score(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
