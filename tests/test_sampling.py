@@ -1,9 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import hash32
-from ledgerlens.operators import sampling
+from ledgerlens.operators import neighbours, sampling
 from ledgerlens.operators.neighbours import approximate_neighbours, nearest_neighbours, neighbour_recall
 
 
@@ -172,3 +173,23 @@ def test_hashed_neighbours_find_nearly_all(spark):
     rows = {(r.id, r.neighbour_id): r.distance for r in found.collect()}
     same = {(r.id, r.neighbour_id): r.distance for r in exact.collect()}
     assert all(rows[k] == pytest.approx(d) for k, d in same.items() if k in rows)
+
+
+def test_neighbour_tables_in_a_task_are_bounded(monkeypatch):
+    """With more pivots or members a task looks at fewer rows at once, and finds the same."""
+    rng = np.random.default_rng(3)
+    pivots, x = rng.normal(size=(300, 4)), rng.normal(size=(200, 4))
+    home = neighbours._home_kernel(pivots)(pd.Series(list(x)))
+    rows = pd.DataFrame({"id": range(200), "x": list(x), "cell": home["cell"], "reach": np.full(200, 1.5)})
+    members = pd.DataFrame({"member_id": range(100, 400), "member_x": list(rng.normal(size=(300, 4)))})
+
+    def found():
+        tables = list(neighbours._visit_kernel(pivots, np.full(300, 0.5), 3, None)(iter([rows])))
+        visits = {i: list(v) for t in tables for i, v in zip(t["id"], t["visit"])}
+        return max(map(len, tables)), visits, neighbours._search_kernel(5)(rows[["id", "x"]], members)
+
+    most, visits, near = found()
+    monkeypatch.setattr(neighbours, "BATCH_CELLS", 3000)
+    few, same_visits, same_near = found()
+    assert most > 100 and few <= 10
+    assert visits == same_visits and near.equals(same_near)
