@@ -243,6 +243,14 @@ def _linked(both: Column, either: Column, threshold: tuple[int, int]) -> Column:
     return threshold[1] * both >= threshold[0] * either
 
 
+def _shared_rows(sketch: DataFrame) -> DataFrame:
+    """(band, bucket, class) of the buckets that hold several classes; stored. Only these can ever link anything, and a
+    class stands in a bucket once, so that counting tells them: the keys alone are shuffled, and once for all steps."""
+    placed = sketch.select("class", F.posexplode("bands").alias("band", "bucket"))
+    several = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    return materialize(placed.join(materialize(several, "shared-buckets"), "bucket"), "shared-rows")
+
+
 def _open_rows(placed: DataFrame) -> DataFrame:
     """The rows (bucket, class, component, size) of buckets that hold several components; stored."""
     spread = placed.groupBy("bucket").agg(
@@ -305,9 +313,9 @@ def linked_classes(df: DataFrame, key: str, text: str, sketch: DataFrame, thresh
     """
     found = df.sparkSession.createDataFrame([], "node bigint, component bigint")
     linked = None
+    shared = _shared_rows(sketch)
     for step in ("few", "all", "rest"):
-        count = FIRST_BANDS if step == "few" else BANDS
-        placed = sketch.select("class", F.explode(F.slice("bands", 1, count)).alias("bucket"))
+        placed = shared.where(F.col("band") < FIRST_BANDS) if step == "few" else shared
         placed = placed.join(found.withColumnRenamed("node", "class"), "class", "left")
         rows = _open_rows(placed.select("bucket", "class", F.coalesce("component", "class").alias("component")))
         size = rows.count()

@@ -135,3 +135,10 @@ def test_a_class_with_many_partners_is_copied(spark, monkeypatch):
     pairs = spark.createDataFrame([(1, b) for b in range(2, 12)] + [(2, 3)], "a long, b long")
     parts = near_dup._parted(pairs).groupBy("a", "part").count().collect()
     assert len({r.part for r in parts if r.a == 1}) > 1 and {r.part for r in parts if r.a == 2} == {0}
+
+
+def test_only_buckets_of_several_classes_are_placed(spark):
+    """A bucket of one class never links anything: its rows are left before components are looked up."""
+    sketch = spark.createDataFrame([(1, [10, 20, 30]), (2, [10, 21, 31]), (3, [11, 22, 31])], "class bigint, bands array<bigint>")
+    found = {(r.band, r.bucket, r["class"]) for r in near_dup._shared_rows(sketch).collect()}
+    assert found == {(0, 10, 1), (0, 10, 2), (2, 31, 2), (2, 31, 3)}
