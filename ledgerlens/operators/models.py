@@ -69,7 +69,10 @@ def ready_rows(train: DataFrame, features: list[str], *keep: str):
     """
     rows = _assembler(features).transform(train).select("features", *keep)
     cores = train.sparkSession.sparkContext.defaultParallelism
-    rows = rows.repartition(max(cores, math.ceil(train.count() / TASK_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
+    # dealt by place: dealing in turn would hold and sort all rows of a task first
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    rows = placed.repartition(max(cores, math.ceil(train.count() / TASK_ROWS)), "_place").drop("_place")
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
     finally:

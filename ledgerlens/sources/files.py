@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 
 from .schema import RAW_SCHEMA, V_COLUMNS
 
+PART_ROWS = 100_000  # rows of a part file of compressed CSV
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def load_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Read a CSV with a header and a stated schema; a malformed row fails the read."""
@@ -34,11 +37,18 @@ def transactions_to_raw(df: DataFrame) -> DataFrame:
     )
 
 
-def save(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write a folder of part files; CSV parts carry a header. Missing parents are created."""
+def save(df: DataFrame, path: str, fmt: str = "csv", compression: str | None = None) -> None:
+    """Write a folder of part files; CSV parts carry a header. Missing parents are created.
+
+    Compressed CSV cannot be split, so its parts hold at most ``PART_ROWS`` rows: that many tasks can read them.
+    """
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
+    if compression:
+        writer = writer.option("compression", compression)
+        if fmt == "csv":
+            writer = writer.option("maxRecordsPerFile", PART_ROWS)
     writer.format(fmt).save(path)
 
 
@@ -49,8 +59,17 @@ def register_table(df: DataFrame, name: str = "transactions") -> DataFrame:
 
 
 def save_splits(splits: DataFrame, path: str) -> None:
-    """One folder per split, so loading one side reads only its files."""
-    splits.write.mode("overwrite").partitionBy("split").parquet(path)
+    """One folder per split, so loading one side reads only its files.
+
+    A task writes the few folders side by side: it need not hold and sort its rows by split first.
+    """
+    conf = splits.sparkSession.conf
+    before = conf.get(_WRITERS, None)
+    conf.set(_WRITERS, "8")
+    try:
+        splits.write.mode("overwrite").partitionBy("split").parquet(path)
+    finally:
+        conf.unset(_WRITERS) if before is None else conf.set(_WRITERS, before)
 
 
 def load_splits(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

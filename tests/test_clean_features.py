@@ -1,12 +1,13 @@
 import math
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.labels import DASHBOARD_BANDS, risk_band, risk_level_by_amount, risk_level_by_flags, time_block
 from ledgerlens.functions.numeric import half_up, percent
 from ledgerlens.operators import clean, features, profile
-from ledgerlens.sources import fixtures
+from ledgerlens.sources import files, fixtures
 
 
 def _column(df, name="x"):
@@ -156,3 +157,30 @@ def test_more_repeated_hashes_than_a_broadcast_takes(spark, monkeypatch):
     assert clean.dedup_rows(df).count() == want == 22_000
     monkeypatch.setattr(clean, "BROADCAST_KEYS", 3)
     assert clean.dedup_rows(df).count() == want
+
+
+def test_compressed_csv_is_read_back_in_parts_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PART_ROWS", 10)
+    rows = spark.range(95).selectExpr("id", "id / 7 as value").coalesce(1)
+    path = str(tmp_path / "rows")
+    files.save(rows, path, compression="gzip")
+    parts = list((tmp_path / "rows").glob("*.csv.gz"))
+    assert len(parts) == 10
+    assert sorted(files.load_raw(spark, path, rows.schema).collect()) == sorted(rows.collect())
+
+
+def test_splits_are_written_without_sorting_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    """With open files for each split a task need not hold its rows; the setting holds for this write alone."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    plain, before = DataFrameWriter.parquet, spark.conf.get(name)
+
+    def parquet(writer, path, *args, **options):
+        seen.append(int(spark.conf.get(name)))
+        return plain(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    rows = spark.range(100).selectExpr("id", "if(id % 5 = 0, 'test', 'train') as split").coalesce(1)
+    files.save_splits(rows, str(tmp_path / "splits"))
+    assert seen == [8] and spark.conf.get(name) == before
+    assert files.load_splits(spark, str(tmp_path / "splits"), "test").count() == 20
+    assert files.load_splits(spark, str(tmp_path / "splits")).count() == 100

@@ -111,3 +111,14 @@ def test_csv_round_trip_with_nulls(spark, sf_small):
     back = files.raw_to_transactions(files.load_raw(spark, path))
     assert back.exceptAll(dirty).count() == 0 and back.count() == dirty.count() == 1100
     assert len(FEATURES) == 35
+
+
+def test_kept_rows_are_dealt_without_sorting_a_task(spark, capsys):
+    """Dealing rows in turn holds and sorts all rows of a task first; dealing them by their place does not."""
+    rows = spark.range(2000).selectExpr("id", "cast(id % 2 as int) as class", "cast(id as double) as x")
+    with models.ready_rows(rows, ["x"], "class") as kept:
+        sizes = [len(part) for part in kept.rdd.glom().collect()]
+        kept.explain()
+        assert kept.count() == 2000 and kept.columns == ["features", "class"]
+    assert "RoundRobin" not in capsys.readouterr().out
+    assert max(sizes) < 2 * 2000 / len(sizes)
