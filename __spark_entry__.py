@@ -154,8 +154,8 @@ def _section_sizes(sections: dict[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------- cleaning and features
 def clean_run(spark: SparkSession, sf: str) -> DataFrame:
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "cleaned")
-    files.save(files.transactions_to_raw(_dirty(spark, sf)), raw)
-    return _rounded(pipelines.clean_pipeline(spark, raw, out), "amount_scaled")
+    files.save(files.transactions_to_raw(_dirty(spark, sf)), raw, compression="gzip")
+    return _rounded(pipelines.clean_pipeline(spark, raw, out, compression="gzip"), "amount_scaled")
 
 
 def _feature_columns(df: DataFrame) -> DataFrame:
@@ -362,8 +362,8 @@ def chain_run(spark: SparkSession, sf: str) -> DataFrame:
     them.
     """
     raw, cleaned, featured, splits, model = (scratch_path(spark, n) for n in ("raw", "cleaned", "features", "splits", "model"))
-    files.save(files.transactions_to_raw(_complete_dirty(spark, sf)), raw)
-    table = pipelines.clean_pipeline(spark, raw, cleaned)
+    files.save(files.transactions_to_raw(_complete_dirty(spark, sf)), raw, compression="gzip")
+    table = pipelines.clean_pipeline(spark, raw, cleaned, compression="gzip")
     stored = pipelines.features_and_splits(table, featured, splits)
     train = files.load_splits(spark, splits, "train")
     files.save_model(models.train_tree(train), model)

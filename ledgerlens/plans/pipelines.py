@@ -35,8 +35,8 @@ def clean_table(df: DataFrame, hash_col: str | None = None) -> DataFrame:
     return clean.reorder_label_last(clean.drop_columns(scaled, "amount"))
 
 
-def clean_pipeline(spark: SparkSession, raw_path: str, out_path: str) -> DataFrame:
-    """Raw CSV to cleaned CSV; returns the cleaned table as read back from ``out_path``.
+def clean_pipeline(spark: SparkSession, raw_path: str, out_path: str, compression: str | None = None) -> DataFrame:
+    """Raw CSV to cleaned CSV (compressed if asked for); returns the cleaned table as read back from ``out_path``.
 
     The text is parsed once, into a columnar copy with the row hash: finding repeats reads only the
     hash, fitting the scaler the hash and the amount.
@@ -44,7 +44,7 @@ def clean_pipeline(spark: SparkSession, raw_path: str, out_path: str) -> DataFra
     raw = files.raw_to_transactions(files.load_raw(spark, raw_path))
     with scratch_scope(spark):
         staged = materialize(raw.withColumn("_h", clean.row_hash(raw.columns)), "staged")
-        files.save(clean_table(staged, hash_col="_h"), out_path)
+        files.save(clean_table(staged, hash_col="_h"), out_path, compression=compression)
     return files.load_raw(spark, out_path, CLEANED_SCHEMA)
 
 
