@@ -109,14 +109,19 @@ def from_bytes(packed: dict[str, tuple[bytes, tuple[int, ...]]]) -> State:
     return {name: np.frombuffer(zlib.decompress(d), dtype=np.float32).reshape(shape).copy() for name, (d, shape) in packed.items()}
 
 
+def changes(now: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The bits in which 32-bit numbers differ from those before: zero, which packs to almost nothing, where they are kept."""
+    return now.ravel().view(np.uint32) ^ before.ravel().view(np.uint32)
+
+
 def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], State], rounds: int) -> State:
     """Rounds of training: each shard goes on from the last average; the average weighs shards by their rows.
 
-    Without rows the start is returned. What the shards give is stored in parts, already weighed; one part at a time
-    reaches the driver and is added up, shard after shard.
+    Without rows the start is returned. A shard gives the bits that it changed, stored in parts. One array of one shard at a
+    time reaches the driver and is added up, shard after shard.
     """
     spark = shards.sparkSession
-    state = {name: values.copy() for name, values in start.items()}
+    state = {name: values.astype(np.float32) for name, values in start.items()}
     sizes = {r["shard"]: r["n"] for r in shards.select("shard", F.size("label").alias("n")).collect()}
     if not sizes:
         return state
@@ -128,14 +133,14 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
             for batch in batches:
                 for row in range(batch.num_rows):
                     shard = Shard(batch, row)
-                    now = from_bytes(shared.value)
+                    now, before = from_bytes(shared.value), from_bytes(shared.value)
                     for again in range(passes(len(shard.label))):
                         now = train(shard, now, 100 * number + again)
                     told = batch.column("shard")[row].as_py()
                     for name, values in now.items():
-                        flat = values.ravel()
+                        flat = changes(values.astype(np.float32, copy=False), before[name])
                         for at in range(0, len(flat), PART):
-                            packed = zlib.compress((flat[at : at + PART] * share[told]).astype(np.float32).tobytes(), 1)
+                            packed = zlib.compress(flat[at : at + PART].tobytes(), 1)
                             cells = [[name], [at], [told], [packed]]
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], names)
 
@@ -145,11 +150,15 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
             made = materialize(shards.mapInArrow(run, shape), "shard-models")
             shared.destroy()
             del shared, run  # what was sent takes no room while the average is made
-            state = {name: np.zeros_like(values) for name, values in start.items()}
-            for told in sorted(sizes):  # in this order, so that sums do not depend on which shard ended first
-                for row in made.where(F.col("shard") == told).select("name", "at", "data").coalesce(1).toLocalIterator():
-                    part = np.frombuffer(zlib.decompress(bytes(row["data"])), dtype=np.float32)
-                    state[row["name"]].reshape(-1)[row["at"] : row["at"] + len(part)] += part
+            for name, before in state.items():
+                total, bits = np.zeros(before.size, dtype=np.float32), before.ravel().view(np.uint32)
+                for told in sorted(sizes):  # in this order, so that sums do not depend on which shard ended first
+                    mine = made.where((F.col("shard") == told) & (F.col("name") == name)).select("at", "data")
+                    for row in mine.coalesce(1).toLocalIterator():
+                        changed = np.frombuffer(zlib.decompress(bytes(row["data"])), dtype=np.uint32)
+                        part = slice(row["at"], row["at"] + len(changed))
+                        total[part] += (bits[part] ^ changed).view(np.float32) * share[told]
+                state[name] = total.reshape(before.shape)
     return state
 
 

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -214,3 +215,12 @@ def test_ridge_equals_a_dense_solve_over_set_arithmetic(spark):
     m = len(marks)
     want = np.linalg.solve(cross.T @ cross + language.RIDGE * len(rows) / m * between + 1e-6 * np.eye(m), cross.T @ target)
     assert cross @ model["weights"] == pytest.approx(cross @ want, abs=2e-3)
+
+
+def test_a_shard_gives_only_the_bits_that_it_changed():
+    before = np.random.default_rng(3).normal(size=(400, 100)).astype(np.float32)
+    now = before.copy()
+    now[7] *= 1.5
+    told = labelled.changes(now, before)
+    assert len(zlib.compress(told.tobytes(), 1)) < before.nbytes / 100
+    assert np.array_equal((before.ravel().view(np.uint32) ^ told).view(np.float32), now.ravel())
