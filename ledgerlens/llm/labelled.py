@@ -117,8 +117,8 @@ def changes(now: np.ndarray, before: np.ndarray) -> np.ndarray:
 def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], State], rounds: int) -> State:
     """Rounds of training: each shard goes on from the last average; the average weighs shards by their rows.
 
-    Without rows the start is returned. A shard gives the bits that it changed, stored in parts. One array of one shard at a
-    time reaches the driver and is added up, shard after shard.
+    Without rows the start is returned. A shard gives the bits that it changed, stored in parts. One part at a time
+    reaches the driver and is added up, shard after shard.
     """
     spark = shards.sparkSession
     state = {name: values.astype(np.float32) for name, values in start.items()}
@@ -150,15 +150,14 @@ def fit(shards: DataFrame, start: State, train: Callable[[Shard, State, int], St
             made = materialize(shards.mapInArrow(run, shape), "shard-models")
             shared.destroy()
             del shared, run  # what was sent takes no room while the average is made
-            for name, before in state.items():
-                total, bits = np.zeros(before.size, dtype=np.float32), before.ravel().view(np.uint32)
-                for told in sorted(sizes):  # in this order, so that sums do not depend on which shard ended first
-                    mine = made.where((F.col("shard") == told) & (F.col("name") == name)).select("at", "data")
-                    for row in mine.coalesce(1).toLocalIterator():
-                        changed = np.frombuffer(zlib.decompress(bytes(row["data"])), dtype=np.uint32)
-                        part = slice(row["at"], row["at"] + len(changed))
-                        total[part] += (bits[part] ^ changed).view(np.float32) * share[told]
-                state[name] = total.reshape(before.shape)
+            total = {name: np.zeros_like(values) for name, values in state.items()}
+            for told in sorted(sizes):  # in this order, so that sums do not depend on which shard ended first
+                for row in made.where(F.col("shard") == told).select("name", "at", "data").coalesce(1).toLocalIterator():
+                    changed = np.frombuffer(zlib.decompress(bytes(row["data"])), dtype=np.uint32)
+                    part = slice(row["at"], row["at"] + len(changed))
+                    before = state[row["name"]].reshape(-1)[part].view(np.uint32)
+                    total[row["name"]].reshape(-1)[part] += (before ^ changed).view(np.float32) * share[told]
+            state = total
     return state
 
 
