@@ -17,6 +17,7 @@ import functools
 import hashlib
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -347,6 +348,16 @@ def automaton(path: str) -> Automaton:
     return _compiled[path]
 
 
+@contextmanager
+def automaton_while(path: str):
+    """The automaton for one task. A Python worker lives on and runs the tasks of other steps: what it compiled and the
+    words that it remembered (above 150 MB) would be held beside their work."""
+    try:
+        yield automaton(path)
+    finally:
+        _compiled.pop(path, None)
+
+
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out`` (array of int): the token ids of every whole text. Null texts count as empty: no tokens.
 
@@ -357,16 +368,16 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = automaton(path)
-        for batch in batches:
-            for at, texts in slices(batch.column(batch.schema.get_field_index(text))):
-                ids = auto.encode([t or "" for t in texts.to_pylist()])
-                stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-                rows = batch.select(kept).slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.ListArray.from_arrays(pa.array(stops), flat)], [*kept, out]
-                )
+        with automaton_while(path) as auto:
+            for batch in batches:
+                for at, texts in slices(batch.column(batch.schema.get_field_index(text))):
+                    ids = auto.encode([t or "" for t in texts.to_pylist()])
+                    stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                    flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+                    rows = batch.select(kept).slice(at, len(texts))
+                    yield pa.RecordBatch.from_arrays(
+                        [*rows.columns, pa.ListArray.from_arrays(pa.array(stops), flat)], [*kept, out]
+                    )
 
     return df.mapInArrow(run, schema)
 
@@ -377,13 +388,15 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = automaton(path)
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            texts = [
-                auto.decode(np.array(x or [], dtype="<u4").tobytes()).decode() for x in column.to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(texts, pa.string())], [*kept, out])
+        with automaton_while(path) as auto:
+            for batch in batches:
+                column = batch.column(batch.schema.get_field_index(ids))
+                texts = [
+                    auto.decode(np.array(x or [], dtype="<u4").tobytes()).decode() for x in column.to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.select(kept).columns, pa.array(texts, pa.string())], [*kept, out]
+                )
 
     return df.mapInArrow(run, schema)
 
@@ -405,26 +418,26 @@ def digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", wi
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = automaton(path)
-        for batch in batches:
-            for at, texts in slices(batch.column(1), 1 << 20):
-                plain = [t or "" for t in texts.to_pylist()]
-                ids = auto.encode(plain)
-                back = [auto.decode(x) for x in ids]
-                lists = []
-                if with_ids:
-                    stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-                    lists = [pa.ListArray.from_arrays(pa.array(stops), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, len(texts)),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in back]),
-                        pa.array([x == t.encode() for x, t in zip(back, plain)]),
-                        *lists,
-                    ],
-                    schema.names,
-                )
+        with automaton_while(path) as auto:
+            for batch in batches:
+                for at, texts in slices(batch.column(1), 1 << 20):
+                    plain = [t or "" for t in texts.to_pylist()]
+                    ids = auto.encode(plain)
+                    back = [auto.decode(x) for x in ids]
+                    lists = []
+                    if with_ids:
+                        stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                        lists = [pa.ListArray.from_arrays(pa.array(stops), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(at, len(texts)),
+                            pa.array([len(x) // 4 for x in ids], pa.int64()),
+                            pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                            pa.array([hashlib.sha256(x).hexdigest() for x in back]),
+                            pa.array([x == t.encode() for x, t in zip(back, plain)]),
+                            *lists,
+                        ],
+                        schema.names,
+                    )
 
     return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema)

@@ -76,3 +76,18 @@ def test_columns_and_digests(spark, library):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digest(df, vocabulary_path()).collect() == []
+
+
+def test_a_worker_does_not_hold_the_automaton_after_a_task(spark):
+    """Workers run the tasks of later steps too: what tokens needed must not stand beside these."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string").repartition(4)
+    assert bpe.digest(docs, vocabulary_path()).where("round_trip").count() == 40
+
+    def held(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe._compiled)] * batch.num_rows, pa.int64())], ["n"])
+
+    probed = spark.range(0, 40, 1, 8).mapInArrow(held, "n long")
+    assert {r["n"] for r in probed.collect()} == {0}
