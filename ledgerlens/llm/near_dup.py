@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import batch_rows, materialize
 from .components import components
 from .marks import few_tasks, keep_marked, text_hash
 from .words import NOT_SPACE, grams, mix, slices, word_hashes
@@ -38,6 +38,7 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # sketch parameters b, a and q
 THRESHOLD = (85, 100)  # least similarity of linked rows, where a caller names no other
 ERRORS = 5  # standard errors that the likelihood estimate may be off
 TASK_ROWS, TASK_SETS, TASK_PAIRS = 50_000, 4_000, 4_000  # rows of small steps that a task takes
+BATCH_ROWS = 1_000  # texts or sketches of pairs in an Arrow batch
 PARTNERS = 2_000  # partners that one copy of a class meets
 BROADCAST_ROWS = 200_000  # classes whose rows may be looked up by a broadcast table; more are shuffled
 
@@ -351,9 +352,10 @@ def near_classes(
     the row that has it stays (of repeated rows with that key, one). A null key is larger than any other. Rows without
     words (null, empty or blank texts) have an empty set, are linked with nothing and stay.
     """
-    rows = sketches(df, key, text)
-    members, sketch = _classes(rows)
-    found = linked_classes(df, key, text, sketch, threshold)
+    with batch_rows(df.sparkSession, BATCH_ROWS):
+        rows = sketches(df, key, text)
+        members, sketch = _classes(rows)
+        found = linked_classes(df, key, text, sketch, threshold)
     joined = members.join(found.withColumnRenamed("node", "class"), "class", "left")
     joined = joined.select("row", "key", F.coalesce("component", "class").alias("component"))
     order = F.struct(F.col("key").isNull().alias("last"), F.col("key"), F.col("row"))

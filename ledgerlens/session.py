@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _scratch_paths: list[str] = []
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def get_session(app_name: str = "ledgerlens", **conf: str) -> SparkSession:
@@ -84,6 +85,19 @@ def stored_while(df: DataFrame, label: str):
         _delete(spark, path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """At most ``rows`` rows in an Arrow batch, for the jobs that run inside: a batch of wide rows stands in the JVM and
+    in the Python worker at once."""
+    before = spark.conf.get(_BATCH_ROWS)
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(_BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Scratch folders made inside are deleted at the end: for work whose results are stored elsewhere by then."""

@@ -142,3 +142,21 @@ def test_only_buckets_of_several_classes_are_placed(spark):
     sketch = spark.createDataFrame([(1, [10, 20, 30]), (2, [10, 21, 31]), (3, [11, 22, 31])], "class bigint, bands array<bigint>")
     found = {(r.band, r.bucket, r["class"]) for r in near_dup._shared_rows(sketch).collect()}
     assert found == {(0, 10, 1), (0, 10, 2), (2, 31, 2), (2, 31, 3)}
+
+
+def test_texts_and_sketches_go_in_small_batches(spark, monkeypatch):
+    """A batch of 10,000 texts stands in the JVM and in the worker at once; the session's setting comes back after."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, store = spark.conf.get(setting), [], near_dup.materialize
+
+    def watched(df, label):
+        seen.append((label, int(spark.conf.get(setting))))
+        return store(df, label)
+
+    monkeypatch.setattr(near_dup, "materialize", watched)
+    docs = spark.createDataFrame(_rows(), "doc_id long, text string")
+    assert near_dup.near_classes(docs).count() == len(_rows())
+    sizes = dict(seen)
+    assert {"sketches", "shingle-sets", "plausible-pairs"} <= sizes.keys()
+    assert max(sizes[k] for k in ("sketches", "shingle-sets", "plausible-pairs")) <= near_dup.BATCH_ROWS < 10_000
+    assert spark.conf.get(setting) == before
