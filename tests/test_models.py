@@ -86,6 +86,22 @@ def test_registered_search_is_the_whole_grid_on_all_rows(spark, monkeypatch):
     assert seen == {"grid": models.FULL_GRID, "folds": 5, "rows": 600, "size": 35}
 
 
+def test_registered_search_leaves_out_no_rows(spark, monkeypatch):
+    """More rows than a search was once cut to: all of them are searched."""
+    rows = spark.range(21_000).select("id", (F.col("id") % 2).cast("int").alias("class"), *[F.lit(0.5).alias(c) for c in FEATURES])
+    seen = []
+
+    def search(kept, *_):
+        seen.append(kept.count())
+        raise StopIteration
+
+    monkeypatch.setattr(models, "_search", search)
+    monkeypatch.setattr(registered, "_train_test", lambda *_: (rows.withColumn("copy_no", F.lit(0)), None))
+    with pytest.raises(StopIteration):
+        registered.grid_search_forest(spark, "")
+    assert seen == [21_000]
+
+
 def test_report_is_written_and_read_back(spark, sf_small):
     table = fixtures.transactions(spark, sf_small)
     root = scratch_path(spark, "test-report")
