@@ -94,3 +94,31 @@ def test_few_files_are_scored_on_all_cores(spark, table):
     one = rows.drop("features").coalesce(1)
     assert models.score(model, one).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert models.score(model, one).count() == 3000
+
+
+def test_forest_stays_in_its_table(spark, table, tmp_path):
+    """No model object holds the trees: rows meet them in tasks, whatever the rows' partitions, also when read back."""
+    rows, x, _ = table
+    model = models.fit_forest(rows, 4, trees=23, depth=12)
+    assert isinstance(model, forests.ForestModel) and not hasattr(model, "_java_obj")
+    told = model.transform(rows.withColumn("name", F.when(F.col("id") % 2 == 0, F.concat(F.lit("n"), "id"))))
+    got = told.orderBy("id").collect()
+    assert len(got) == 3000 and got[0].name == "n0" and got[1].name is None and (got[7].features.toArray() == x[7]).all()
+    flat = forests.flatten(spark, model)
+    want = forests.nested_votes(flat, x, [23], [12], [0])[23, 12, 0]
+    assert [r.probability[1] * 23 for r in got] == pytest.approx(list(want))
+    assert [r.prediction for r in got] == [float(r.probability[1] > 0.5) for r in got]
+    assert model.totalNumNodes == len(flat.left) and len(model.trees) == 23 and max(t.depth for t in model.trees) <= 12
+    model.write().overwrite().save(str(tmp_path / "m"))
+    back = forests.ForestModel.load(str(tmp_path / "m"))
+    again = [r.probability[1] for r in back.transform(rows.repartition(7)).orderBy("id").select("probability").collect()]
+    assert again == [r.probability[1] for r in got]
+    assert (back.featureImportances.toArray() == model.featureImportances.toArray()).all()
+
+
+def test_trees_sent_in_turns_are_the_same(spark, table, monkeypatch):
+    rows, _, _ = table
+    told = lambda: sorted(tuple(r) for r in bagging.fit_forest(rows, "class", 3, 9, 5, 2, 1, 500).nodes(spark).collect())
+    whole = told()
+    monkeypatch.setattr(bagging, "SENT_BYTES", 20_000)
+    assert told() == whole and len(whole) == 3
