@@ -193,3 +193,53 @@ def test_neighbour_tables_in_a_task_are_bounded(monkeypatch):
     few, same_visits, same_near = found()
     assert most > 100 and few <= 10
     assert visits == same_visits and near.equals(same_near)
+
+
+def test_far_cells_are_neither_measured_nor_sorted(monkeypatch):
+    """Work of a row follows the cells in its reach, and the visits are those of ordering all cells."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 6)) * 100
+    pivots = centres[rng.integers(0, 40, 2000)] + rng.normal(size=(2000, 6))
+    x = pivots[rng.integers(0, 2000, 150)] + rng.normal(size=(150, 6)) * 0.1
+    home = neighbours._home_kernel(pivots)(pd.Series(list(x)))
+    rows = pd.DataFrame({"id": range(150), "x": list(x), "cell": home["cell"], "reach": np.full(150, 1.0)})
+    radius = np.full(2000, 0.5)
+    gaps = np.sqrt(((x[:, None] - pivots[None]) ** 2).sum(axis=2))
+    between = np.sqrt(((pivots[home["cell"]][:, None] - pivots[None]) ** 2).sum(axis=2))
+    own = np.take_along_axis(gaps, home["cell"].to_numpy()[:, None], axis=1)
+    plane = np.divide(gaps**2 - own**2, 2 * between, out=np.zeros_like(gaps), where=between > 0)
+    least = np.maximum(np.maximum(gaps - 0.5, plane), 0.0)
+    least[np.arange(150), home["cell"]] = -1.0
+    sizes = []
+    for name in ("argsort", "lexsort"):
+        plain = getattr(np, name)
+        monkeypatch.setattr(np, name, lambda a, *o, plain=plain, **kw: sizes.append(np.size(a)) or plain(a, *o, **kw))
+    seen = [{}, {}]
+    for found, (begin, end) in zip(seen, ((0, 3), (3, None))):
+        for t in neighbours._visit_kernel(pivots, radius, begin, end)(iter([rows])):
+            found.update({i: list(v) for i, v in zip(t["id"], t["visit"])})
+    assert sum(sizes) < 150 * 2000
+    monkeypatch.undo()
+    for i in range(150):
+        near = [c for c in np.argsort(least[i], kind="stable")[1:] if least[i, c] <= 1.0]
+        assert set(seen[0].get(i, []) + seen[1].get(i, [])) == set(near)
+        assert len(seen[0].get(i, [])) == min(3, len(near))
+        assert sorted(least[i, seen[0].get(i, [])]) == pytest.approx(sorted(least[i, near[:3]]), abs=1e-3)
+
+
+def test_hash_tables_in_turns_find_the_same(spark, monkeypatch):
+    """Rows sent for one table at a time; tables of earlier turns and rounds are deleted."""
+    from ledgerlens import session
+
+    points, _ = _clustered(spark, 500)
+    told = lambda: sorted(tuple(r) for r in approximate_neighbours(points, 5, tables=4).collect())
+    whole = told()
+    monkeypatch.setattr(neighbours, "SENT_BYTES", 1)
+    before = len(session._scratch_paths)
+    assert told() == whole
+    kept = [p.split("ledgerlens-")[1].split("-")[0] for p in session._scratch_paths[before:]]
+    assert kept.count("near") == 1 and "hashed" not in kept
+    before = len(session._scratch_paths)
+    nearest_neighbours(points, 5, cell_rows=8)
+    kept = [p.split("ledgerlens-")[1].split("-")[0] for p in session._scratch_paths[before:]]
+    assert sorted(kept) == ["members", "near"]
